@@ -11,10 +11,11 @@ from linepulse.functions import elapsed_micros, hours_from_micros, txn_date
 from linepulse.schemas import DOWN_STATES, PROD_STATES
 
 
-def machine_time(machine_state: DataFrame, machine: DataFrame,
-                 prod_states: Sequence[str] = PROD_STATES,
-                 down_states: Sequence[str] = DOWN_STATES) -> DataFrame:
-    """Production and down hours per (machine_id, line_id, txndate).
+def machine_micros(machine_state: DataFrame, machine: DataFrame,
+                   prod_states: Sequence[str] = PROD_STATES,
+                   down_states: Sequence[str] = DOWN_STATES) -> DataFrame:
+    """Exact production and down microseconds (``prod_us``, ``down_us``) per
+    (machine_id, line_id, txndate); :func:`machine_time` converts to hours.
 
     Intervals join the machine dimension (unknown machines are dropped) and
     count wholly on their start date.  The reference's two-level aggregate
@@ -30,17 +31,28 @@ def machine_time(machine_state: DataFrame, machine: DataFrame,
     zero = F.lit(0).cast("bigint")
     prod = F.when(F.col("state").isin(*prod_states), F.col("_us")).otherwise(zero)
     down = F.when(F.col("state").isin(*down_states), F.col("_us")).otherwise(zero)
-    agg = joined.groupBy("machine_id", "line_id", "txndate").agg(
-        F.sum(prod).alias("_prod_us"), F.sum(down).alias("_down_us"))
-    return agg.select("machine_id", "line_id", "txndate",
-                      hours_from_micros("_prod_us").alias("prod_time"),
-                      hours_from_micros("_down_us").alias("down_time"))
+    return joined.groupBy("machine_id", "line_id", "txndate").agg(
+        F.sum(prod).alias("prod_us"), F.sum(down).alias("down_us"))
+
+
+def machine_time(machine_state: DataFrame, machine: DataFrame,
+                 prod_states: Sequence[str] = PROD_STATES,
+                 down_states: Sequence[str] = DOWN_STATES) -> DataFrame:
+    """K1: production and down hours per (machine_id, line_id, txndate)."""
+    us = machine_micros(machine_state, machine, prod_states, down_states)
+    return us.select("machine_id", "line_id", "txndate",
+                     hours_from_micros("prod_us").alias("prod_time"),
+                     hours_from_micros("down_us").alias("down_time"))
 
 
 def downtime_ranking(machine_time_df: DataFrame, top: int | None = None) -> DataFrame:
-    """Total down hours per machine, largest first (NULLs first, as the host
-    database sorts them on DESC).  ``top`` keeps the first k (a top-k report)."""
-    out = (machine_time_df.groupBy("machine_id")
-           .agg(F.sum("down_time").alias("total_down_time"))
+    """K7: total down hours per machine, largest first (NULLs first, as the
+    host database sorts them on DESC).  ``top`` keeps the first k rows (a
+    top-k report).  Given :func:`machine_micros` output the sum is exact."""
+    if "down_us" in machine_time_df.columns:
+        total = hours_from_micros(F.sum("down_us"))
+    else:
+        total = F.sum("down_time")
+    out = (machine_time_df.groupBy("machine_id").agg(total.alias("total_down_time"))
            .orderBy(F.col("total_down_time").desc_nulls_first(), "machine_id"))
     return out.limit(top) if top else out
