@@ -94,13 +94,14 @@ def window_counts(events: DataFrame, time_col: str, windows: DataFrame,
     win = (windows.filter(F.col(end).isNotNull() & (F.col(end) > F.col(start)))
            .select(*group_by, *[k for k in keys if k not in group_by],
                    epoch_micros(start).alias("_s"), epoch_micros(end).alias("_e")))
-    bounds = (win.select(*keys, F.col("_s").alias("us"))
-              .unionByName(win.select(*keys, F.col("_e").alias("us"))).distinct())
+    # each window contributes C(<end) with sign +1 and C(<start) with -1
+    signed = win.select(*group_by, *[k for k in keys if k not in group_by],
+                        F.explode(F.array(
+                            F.struct(F.col("_e").alias("us"), F.lit(1).alias("sign")),
+                            F.struct(F.col("_s").alias("us"), F.lit(-1).alias("sign"))))
+                        .alias("_bd")).select("*", "_bd.us", "_bd.sign").drop("_bd")
+    bounds = signed.select(*keys, "us").distinct()
     before = counts_before(ev, bounds, keys, names)
-    at_s = before.select(*keys, F.col("us").alias("_s"),
-                         *[F.col(f"c_{m}").alias(f"_cs_{m}") for m in names])
-    at_e = before.select(*keys, F.col("us").alias("_e"),
-                         *[F.col(f"c_{m}").alias(f"_ce_{m}") for m in names])
-    per_window = win.join(at_s, [*keys, "_s"]).join(at_e, [*keys, "_e"])
-    return per_window.groupBy(*group_by).agg(*[
-        F.sum(F.col(f"_ce_{m}") - F.col(f"_cs_{m}")).alias(m) for m in names])
+    per_bound = signed.join(before, [*keys, "us"])
+    return per_bound.groupBy(*group_by).agg(*[
+        F.sum(F.col("sign") * F.col(f"c_{m}")).alias(m) for m in names])

@@ -1,13 +1,28 @@
-"""A bundle of the domain tables one plan reads."""
+"""A bundle of the domain tables one plan reads, and their staging.
+
+In production the domain tables (machines, state intervals, lots, sensor
+events, calendar, config) are stored tables.  Over the driver's test data
+they are derived by ``sources.adapters``; ``from_testdata`` runs that
+derivation once per data folder as Spark jobs and stores the results as
+parquet under the shared working folder, so every query plans against plain
+table scans (column pruning and filter pushdown reach the files) instead of
+re-deriving the tables inside each plan.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
+from linepulse.operators import sequence as _sequence
 from linepulse.schemas import DEFAULT_POLICY, DOWN_STATES, PROD_STATES
+from linepulse.session import work_path
 from linepulse.sources import adapters
 
 
@@ -19,6 +34,7 @@ class Plant:
     sensor_events: DataFrame
     calendar: DataFrame
     config: DataFrame
+    machine_state_input: DataFrame | None = None
     policy: Mapping[str, str] = field(default_factory=lambda: dict(DEFAULT_POLICY))
     prod_states: Sequence[str] = PROD_STATES
     down_states: Sequence[str] = DOWN_STATES
@@ -27,13 +43,75 @@ class Plant:
         return replace(self, **kw)
 
 
-def from_testdata(spark: SparkSession, sf_dir: str, drift_calendar: bool = False) -> Plant:
-    """Domain tables derived from the driver's parquet files (see adapters)."""
-    return Plant(
-        machine=adapters.machine(spark, sf_dir),
-        machine_state=adapters.machine_state(spark, sf_dir),
-        lot=adapters.lot(spark, sf_dir),
-        sensor_events=adapters.sensor_events(spark, sf_dir),
-        calendar=adapters.calendar(spark, drift=drift_calendar),
-        config=adapters.config(spark),
-    )
+def derive_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The domain tables as lazy derivations from the raw parquet files."""
+    return {
+        "machine": adapters.machine(spark, sf_dir),
+        "machine_state": adapters.machine_state(spark, sf_dir),
+        "machine_state_input": adapters.machine_state_input(spark, sf_dir),
+        "lot": adapters.lot(spark, sf_dir),
+        "sensor_events": adapters.sensor_events(spark, sf_dir),
+        "calendar": adapters.calendar(spark, drift=False),
+        "calendar_drift": adapters.calendar(spark, drift=True),
+        "config": adapters.config(spark),
+    }
+
+
+def _stage_key(sf_dir: str) -> str:
+    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    for name in ("events",):
+        path = os.path.join(sf_dir, f"{name}.parquet")
+        if os.path.exists(path):
+            st = os.stat(path)
+            h.update(f"{st.st_size}:{st.st_mtime_ns}".encode())
+    for mod in (adapters, _sequence):
+        h.update(inspect.getsource(mod).encode())
+    return h.hexdigest()[:16]
+
+
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def stage_testdata(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
+    """Derive and store the domain tables once; returns their folder."""
+    key = _stage_key(sf_dir)
+    root = work_path(spark, "domain", key)
+    memo = (spark.conf.get("spark.app.id", ""), root)
+    if not force and memo in _STAGED:
+        return root
+    done = False
+    if not force:
+        try:
+            spark.read.parquet(f"{root}/_complete")
+            done = True
+        except AnalysisException:
+            done = False
+    if not done:
+        for name, df in derive_tables(spark, sf_dir).items():
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+        spark.createDataFrame([(key,)], "key string").write.mode("overwrite").parquet(
+            f"{root}/_complete")
+    _STAGED[memo] = root
+    return root
+
+
+def from_testdata(spark: SparkSession, sf_dir: str, drift_calendar: bool = False,
+                  staged: bool = True) -> Plant:
+    """Domain tables over the driver's parquet files (see ``adapters``).
+
+    ``staged=False`` keeps every table a lazy derivation of the raw files.
+    """
+    if staged:
+        root = stage_testdata(spark, sf_dir)
+        t = {name: spark.read.parquet(f"{root}/{name}")
+             for name in ("machine", "machine_state", "machine_state_input", "lot",
+                          "sensor_events", "config")}
+        t["calendar"] = spark.read.parquet(
+            f"{root}/{'calendar_drift' if drift_calendar else 'calendar'}")
+    else:
+        t = derive_tables(spark, sf_dir)
+        t["calendar"] = t.pop("calendar_drift") if drift_calendar else t["calendar"]
+        t.pop("calendar_drift", None)
+    return Plant(machine=t["machine"], machine_state=t["machine_state"], lot=t["lot"],
+                 sensor_events=t["sensor_events"], calendar=t["calendar"],
+                 config=t["config"], machine_state_input=t["machine_state_input"])

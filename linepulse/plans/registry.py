@@ -247,12 +247,12 @@ ISLAND_CTES = [("islands", _islands_sql())]
 
 @register("state_islands", Q.with_ctes("SELECT * FROM islands", ISLAND_CTES))
 def q_state_islands(spark, d):
-    return I.state_islands(A.machine_state_input(spark, d))
+    return I.state_islands(from_testdata(spark, d).machine_state_input)
 
 
 @register("state_islands_rownum", Q.with_ctes("SELECT * FROM islands", ISLAND_CTES))
 def q_state_islands_rownum(spark, d):
-    return I.islands_from_row_numbers(A.machine_state_input(spark, d))
+    return I.islands_from_row_numbers(from_testdata(spark, d).machine_state_input)
 
 
 @register("state_row_numbers", Q.with_ctes("""
@@ -262,7 +262,7 @@ SELECT machine_id, state, time_input, event_id,
          AS rn_state
 FROM machine_state_input"""))
 def q_state_row_numbers(spark, d):
-    s = A.machine_state_input(spark, d)
+    s = from_testdata(spark, d).machine_state_input
     s = I.row_numbers(s, ["machine_id"], "time_input", "event_id", "rn")
     s = I.row_numbers(s, ["machine_id", "state"], "time_input", "event_id", "rn_state")
     return s.select("machine_id", "state", "time_input", "event_id", "rn", "rn_state")
@@ -274,7 +274,7 @@ SELECT g.machine_id, g.state, g.start_time, g.end_time,
                      WHERE m2.machine_id = g.machine_id) AS is_last
 FROM islands g""", ISLAND_CTES))
 def q_last_interval_flag(spark, d):
-    return I.state_islands(A.machine_state_input(spark, d), with_last_flag=True)
+    return I.state_islands(from_testdata(spark, d).machine_state_input, with_last_flag=True)
 
 
 # -------------------------------------------------- timeline, throughput ----
@@ -417,7 +417,7 @@ WHERE CAST(time_input AS DATE) = (SELECT MAX(CAST(time_input AS DATE)) FROM mach
 
 
 def _last_day_input(spark, d):
-    s = A.machine_state_input(spark, d)
+    s = from_testdata(spark, d).machine_state_input
     last_day = s.select(F.max(F.to_date("time_input"))).scalar()
     return s.filter(F.to_date("time_input") == last_day)
 
@@ -430,7 +430,7 @@ SELECT machine_id, start_time, end_time, state FROM new_islands""",
     [("last_day_input", LAST_DAY_INPUT), ("new_islands", _islands_sql("last_day_input"))]))
 def q_machine_state_keyed_replace(spark, d):
     table = V.VersionedTable(spark, work_path(spark, "tables", "machine_state", unique=True))
-    V.snapshot(table, A.machine_state(spark, d))
+    V.snapshot(table, from_testdata(spark, d).machine_state)
     new = I.state_islands(_last_day_input(spark, d))
     replaced = V.keyed_replace(table.read(), new, "machine_id")
     return V.snapshot(table, replaced)
@@ -440,7 +440,7 @@ def q_machine_state_keyed_replace(spark, d):
     "SELECT * FROM islands UNION ALL SELECT * FROM islands", ISLAND_CTES))
 def q_append_result(spark, d):
     table = V.VersionedTable(spark, work_path(spark, "tables", "islands_log", unique=True))
-    islands = I.state_islands(A.machine_state_input(spark, d))
+    islands = I.state_islands(from_testdata(spark, d).machine_state_input)
     table.append(islands)
     table.append(islands)
     return table.read()

@@ -1,13 +1,24 @@
-"""The batch report (K12) and the views it is made of, over a ``Plant``."""
+"""The batch report (K12) and the views it is made of, over a ``Plant``.
+
+As in the source's report procedure, the steps are materialised: the
+machine-time view is snapshotted into a table (A6), the lot table is
+refreshed (counters then write-back, K11) and stored, and OEE reads those
+tables.  Each stored step also cuts the lineage, so a lost executor
+recomputes from the last stored table, not from the raw samples.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 
 from linepulse.operators import lots as L
 from linepulse.operators import oee as O
 from linepulse.operators.machine_time import machine_time
 from linepulse.plans.plant import Plant
+from linepulse.session import work_path
+from linepulse.sources.versioned import VersionedTable, snapshot
 
 
 def plant_machine_time(p: Plant, down_states=None) -> DataFrame:
@@ -19,18 +30,31 @@ def refreshed_lots(p: Plant) -> DataFrame:
     return L.refresh_lots(p.lot, p.sensor_events, p.policy)
 
 
-def oee_inputs(p: Plant, machine_time_snapshot: DataFrame | None = None):
-    """(K1, calendar, K3 on refreshed lots, K4 on the snapshot, config)."""
-    mt = plant_machine_time(p)
-    snap = mt if machine_time_snapshot is None else machine_time_snapshot
-    return (mt, p.calendar, L.line_quality(refreshed_lots(p), p.policy),
-            O.work_time(snap, p.config), p.config)
+@dataclass(frozen=True)
+class ReportTables:
+    machine_time: DataFrame      # A6 snapshot of K1
+    lot: DataFrame               # K11-refreshed lot table
+
+
+def store_report_tables(p: Plant, root: str | None = None) -> ReportTables:
+    """Run the report's write steps; returns the stored tables."""
+    spark = p.lot.sparkSession
+    root = root or work_path(spark, "report", unique=True)
+    mt_table = VersionedTable(spark, f"{root}/machine_time", partition_by=("txndate",))
+    mt = snapshot(mt_table, plant_machine_time(p).repartition("txndate"))
+    lot_table = VersionedTable(spark, f"{root}/lot")
+    lots = snapshot(lot_table, refreshed_lots(p))
+    return ReportTables(machine_time=mt, lot=lots)
+
 
+def oee_inputs(p: Plant, tables: ReportTables | None = None):
+    """(K1, calendar, K3, K4, config) for the OEE operators, read from the
+    stored report tables (stored first when not given)."""
+    t = tables or store_report_tables(p)
+    return (t.machine_time, p.calendar, L.line_quality(t.lot, p.policy),
+            O.work_time(t.machine_time, p.config), p.config)
 
-def run_report(p: Plant, machine_time_snapshot: DataFrame | None = None) -> DataFrame:
-    """Snapshot machine time, refresh lots, OEE distinct, ``oee > 0``.
 
-    ``machine_time_snapshot`` is the stored table the work-time view reads
-    (see ``sources.versioned.snapshot``); by default the view itself.
-    """
-    return O.positive_oee(O.oee(*oee_inputs(p, machine_time_snapshot)))
+def run_report(p: Plant, tables: ReportTables | None = None) -> DataFrame:
+    """Snapshot machine time, refresh lots, OEE distinct, ``oee > 0``."""
+    return O.positive_oee(O.oee(*oee_inputs(p, tables)))
