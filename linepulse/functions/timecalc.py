@@ -1,9 +1,12 @@
 """Time arithmetic on TIMESTAMP_NTZ, exact in BIGINT microseconds.
 
 Spark has no ``EXTRACT(EPOCH ...)`` and ``unix_micros`` rejects
-TIMESTAMP_NTZ, so elapsed time is ``timestampdiff(MICROSECOND, a, b)``; it is
-time-zone free for NTZ values.  Sums stay BIGINT and are divided once at the
-end, so results do not depend on summation order.
+TIMESTAMP_NTZ.  Epoch microseconds are assembled from date parts (days since
+1970, hour, minute, seconds with fraction), which for NTZ values never
+consult the session time zone, so results are the same under any
+``spark.sql.session.timeZone`` and across daylight-saving changes.  Sums stay
+BIGINT and are divided once at the end, so results do not depend on
+summation order.
 """
 
 from __future__ import annotations
@@ -22,14 +25,19 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def elapsed_micros(start: Column | str, end: Column | str) -> Column:
-    """``end - start`` in microseconds (BIGINT); NULL if either is NULL."""
-    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
-
-
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ (BIGINT)."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH), _c(ts))
+    t = _c(ts)
+    days = F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return (days * F.lit(MICROS_PER_DAY)
+            + F.hour(t).cast("bigint") * F.lit(MICROS_PER_HOUR)
+            + F.minute(t).cast("bigint") * F.lit(60 * MICROS_PER_SECOND)
+            + (F.extract(F.lit("SECOND"), t) * F.lit(MICROS_PER_SECOND)).cast("bigint"))
+
+
+def elapsed_micros(start: Column | str, end: Column | str) -> Column:
+    """``end - start`` in microseconds (BIGINT); NULL if either is NULL."""
+    return epoch_micros(end) - epoch_micros(start)
 
 
 def from_epoch_micros(us: Column | str) -> Column:

@@ -36,13 +36,17 @@ def counts_goods(policy: Mapping[str, str]) -> Column:
     return F.col("line_id").isin(*_lines_with(policy, "good"))
 
 
-def lot_quality(lot: DataFrame, policy: Mapping[str, str] = DEFAULT_POLICY) -> DataFrame:
-    """K2: distinct lots with the missing quantity derived (stored value wins)."""
+def _quality_columns(policy: Mapping[str, str]) -> list[Column]:
     qo, qr, qg = F.col("qty_out"), F.col("qty_rej"), F.col("qty_good")
     rej = F.when(counts_goods(policy), F.coalesce(qr, qo - qg)).otherwise(qr)
     good = F.when(counts_rejects(policy), F.coalesce(qg, qo - qr)).otherwise(qg)
-    return lot.select("line_id", "lot_id", "start_time", "qty_in", "qty_out",
-                      rej.alias("qty_rej"), good.alias("qty_good")).distinct()
+    return [F.col("line_id"), F.col("lot_id"), F.col("start_time"), F.col("qty_in"), qo,
+            rej.alias("qty_rej"), good.alias("qty_good")]
+
+
+def lot_quality(lot: DataFrame, policy: Mapping[str, str] = DEFAULT_POLICY) -> DataFrame:
+    """K2: distinct lots with the missing quantity derived (stored value wins)."""
+    return lot.select(*_quality_columns(policy)).distinct()
 
 
 def line_quality(lot: DataFrame, policy: Mapping[str, str] = DEFAULT_POLICY) -> DataFrame:
@@ -127,7 +131,7 @@ def writeback_quality(lot: DataFrame, policy: Mapping[str, str] = DEFAULT_POLICY
     (lot_id, line_id).  Matched NULLs overwrite.  When several view rows share
     a key the host database picks any; we pick the greatest
     (start_time, qty_in, qty_out, qty_rej, qty_good)."""
-    v = lot_quality(lot, policy)
+    v = lot.select(*_quality_columns(policy))     # DISTINCT is moot under max()
     pick = (v.groupBy("lot_id", "line_id")
             .agg(F.max(F.struct("start_time", "qty_in", "qty_out", "qty_rej", "qty_good"))
                  .alias("_v")))

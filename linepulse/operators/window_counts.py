@@ -45,33 +45,39 @@ def counts_before(events: DataFrame, boundaries: DataFrame, keys: Sequence[str],
     ``events`` has columns keys, ``us`` (BIGINT epoch micros) and the
     measures (BIGINT); ``boundaries`` has keys and ``us``.
     Returns keys, ``us`` and one ``c_<measure>`` column per measure.
+
+    Each level aggregates the events directly (map-side partial sums), so
+    only the exact level shuffles one row per distinct event timestamp; the
+    second and day levels shuffle per-second and per-day partial sums.
     """
     keys = list(keys)
     zero = [F.lit(0).cast("bigint").alias(m) for m in measures]
-    tagged = events.select(*keys, "us", *measures, F.lit(False).alias("_b"))
-    marks = boundaries.select(*keys, "us", *zero, F.lit(True).alias("_b"))
     sums = [F.sum(m).alias(m) for m in measures]
-    pts = (tagged.unionByName(marks).groupBy(*keys, "us").agg(*sums, F.max("_b").alias("_b"))
-           .withColumn("_sec", floor_div("us", MICROS_PER_SECOND)))
-
-    p2 = [f"_p2_{m}" for m in measures]
-    exact = _prefix(pts, [*keys, "_sec"], "us", measures, p2)
-    at_exact = exact.filter("_b").select(*keys, "us", "_sec", *p2)
-
-    secs = (exact.groupBy(*keys, "_sec").agg(*sums, F.max("_b").alias("_b"))
-            .withColumn("_day", floor_div("_sec", MICROS_PER_DAY // MICROS_PER_SECOND)))
-    p1 = [f"_p1_{m}" for m in measures]
-    by_sec = _prefix(secs, [*keys, "_day"], "_sec", measures, p1)
-    at_sec = by_sec.filter("_b").select(*keys, "_sec", "_day", *p1)
-
-    days = by_sec.groupBy(*keys, "_day").agg(*sums, F.max("_b").alias("_b"))
-    p0 = [f"_p0_{m}" for m in measures]
-    at_day = _prefix(days, keys, "_day", measures, p0).filter("_b").select(*keys, "_day", *p0)
 
-    joined = at_exact.join(at_sec, [*keys, "_sec"]).join(at_day, [*keys, "_day"])
+    def units(df: DataFrame) -> DataFrame:
+        return (df.withColumn("_sec", floor_div("us", MICROS_PER_SECOND))
+                .withColumn("_day", floor_div("us", MICROS_PER_DAY)))
+
+    ev = units(events.select(*keys, "us", *measures))
+    bnd = units(boundaries.select(*keys, "us"))
+
+    def level(part: list[str], order: str, prefix: str) -> DataFrame:
+        cols = [*part, order]
+        marks = bnd.select(*cols).distinct().select(*cols, *zero, F.lit(True).alias("_b"))
+        pts = (ev.select(*cols, *measures, F.lit(False).alias("_b")).unionByName(marks)
+               .groupBy(*cols).agg(*sums, F.max("_b").alias("_b")))
+        out = [f"{prefix}{m}" for m in measures]
+        return _prefix(pts, part, order, measures, out).filter("_b").select(*cols, *out)
+
+    exact = level([*keys, "_sec"], "us", "_p2_")      # earlier in the same second
+    secs = level([*keys, "_day"], "_sec", "_p1_")     # earlier seconds of the day
+    days = level(keys, "_day", "_p0_")                # earlier days
+    joined = (bnd.join(exact, [*keys, "_sec", "us"])
+              .join(secs, [*keys, "_day", "_sec"])
+              .join(days, [*keys, "_day"]))
     return joined.select(*keys, "us", *[
-        (F.col(a) + F.col(b) + F.col(c)).alias(f"c_{m}")
-        for m, a, b, c in zip(measures, p0, p1, p2)])
+        (F.col(f"_p0_{m}") + F.col(f"_p1_{m}") + F.col(f"_p2_{m}")).alias(f"c_{m}")
+        for m in measures])
 
 
 def window_counts(events: DataFrame, time_col: str, windows: DataFrame,

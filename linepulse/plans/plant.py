@@ -14,8 +14,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import os
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
@@ -26,21 +25,46 @@ from linepulse.session import work_path
 from linepulse.sources import adapters
 
 
-@dataclass(frozen=True)
+TABLES = ("machine", "machine_state", "machine_state_input", "lot", "sensor_events",
+          "calendar", "config")
+
+
 class Plant:
-    machine: DataFrame
-    machine_state: DataFrame
-    lot: DataFrame
-    sensor_events: DataFrame
-    calendar: DataFrame
-    config: DataFrame
-    machine_state_input: DataFrame | None = None
-    policy: Mapping[str, str] = field(default_factory=lambda: dict(DEFAULT_POLICY))
-    prod_states: Sequence[str] = PROD_STATES
-    down_states: Sequence[str] = DOWN_STATES
+    """Domain tables plus the report parameters.
+
+    Tables are given as DataFrames or as zero-argument callables; a callable
+    is opened the first time a plan reads that table.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                 policy: Mapping[str, str] | None = None,
+                 prod_states: Sequence[str] = PROD_STATES,
+                 down_states: Sequence[str] = DOWN_STATES):
+        unknown = set(tables) - set(TABLES)
+        if unknown:
+            raise ValueError(f"unknown tables {sorted(unknown)}")
+        self._sources = dict(tables)
+        self._opened: dict[str, DataFrame] = {}
+        self.policy = dict(DEFAULT_POLICY if policy is None else policy)
+        self.prod_states = tuple(prod_states)
+        self.down_states = tuple(down_states)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise AttributeError(name)
+        if name not in self._opened:
+            src = self._sources.get(name)
+            if src is None:
+                raise AttributeError(f"plant has no table {name!r}")
+            self._opened[name] = src() if callable(src) else src
+        return self._opened[name]
 
     def with_(self, **kw) -> "Plant":
-        return replace(self, **kw)
+        tables = {**self._sources, **{k: v for k, v in kw.items() if k in TABLES}}
+        params = dict(policy=self.policy, prod_states=self.prod_states,
+                      down_states=self.down_states)
+        params.update({k: v for k, v in kw.items() if k not in TABLES})
+        return Plant(tables, **params)
 
 
 def derive_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -100,18 +124,13 @@ def from_testdata(spark: SparkSession, sf_dir: str, drift_calendar: bool = False
     """Domain tables over the driver's parquet files (see ``adapters``).
 
     ``staged=False`` keeps every table a lazy derivation of the raw files.
+    Tables are opened on first use.
     """
+    cal = "calendar_drift" if drift_calendar else "calendar"
+    names = {t: (cal if t == "calendar" else t) for t in TABLES}
     if staged:
         root = stage_testdata(spark, sf_dir)
-        t = {name: spark.read.parquet(f"{root}/{name}")
-             for name in ("machine", "machine_state", "machine_state_input", "lot",
-                          "sensor_events", "config")}
-        t["calendar"] = spark.read.parquet(
-            f"{root}/{'calendar_drift' if drift_calendar else 'calendar'}")
-    else:
-        t = derive_tables(spark, sf_dir)
-        t["calendar"] = t.pop("calendar_drift") if drift_calendar else t["calendar"]
-        t.pop("calendar_drift", None)
-    return Plant(machine=t["machine"], machine_state=t["machine_state"], lot=t["lot"],
-                 sensor_events=t["sensor_events"], calendar=t["calendar"],
-                 config=t["config"], machine_state_input=t["machine_state_input"])
+        return Plant({t: (lambda n=n: spark.read.parquet(f"{root}/{n}"))
+                      for t, n in names.items()})
+    derived = derive_tables(spark, sf_dir)
+    return Plant({t: derived[n] for t, n in names.items()})
