@@ -69,20 +69,43 @@ def event_lot_lookup(events: DataFrame, lots: DataFrame, t: str = "input_time",
             .drop("us", "lot_start_us"))
 
 
+def last_hits(events: DataFrame, lots: DataFrame, t: str = "input_time",
+              line: str = "line_id", tie: str = "event_id") -> DataFrame:
+    """Per lot id, the last event (by instant, then ``tie``) whose lookup
+    found it: ``lot_id, us, last_tie, lot_start_us, line_id``."""
+    best = containing_lot(events, lots, t, line, tie)
+    last = best.groupBy("lot_id").agg(
+        F.max_by(F.struct("us", "last_tie", "lot_start_us", line), F.struct("us", "last_tie"))
+        .alias("_h"))
+    return last.select("lot_id", "_h.us", "_h.last_tie", "_h.lot_start_us",
+                       F.col(f"_h.{line}").alias(line))
+
+
+def throughput_value(hits: DataFrame) -> DataFrame:
+    """``coalesce(qty_out, 0) / elapsed minutes`` from (lot_id, us,
+    lot_start_us, qty_out); 0 when the elapsed time is not positive."""
+    elapsed_s = (F.col("us") - F.col("lot_start_us")).cast("double") / F.lit(1e6)
+    qty = F.coalesce(F.col("qty_out"), F.lit(0)).cast("double")
+    value = F.when(elapsed_s > 0, qty / (elapsed_s / F.lit(60.0))).otherwise(F.lit(0.0))
+    return hits.select("lot_id", value.alias("throughput"))
+
+
+def matched_quantity(hits: DataFrame, lots: DataFrame, line: str = "line_id") -> DataFrame:
+    """Attach the matched lot row's ``qty_out`` (row = lot id, line, start)."""
+    rows = (lots.select("lot_id", line, epoch_micros("start_time").alias("lot_start_us"),
+                        "qty_out")
+            .groupBy("lot_id", line, "lot_start_us").agg(F.max("qty_out").alias("qty_out")))
+    return hits.join(rows, ["lot_id", line, "lot_start_us"], "left")
+
+
 def lot_throughput(events: DataFrame, lots: DataFrame, t: str = "input_time",
                    line: str = "line_id", tie: str = "event_id") -> DataFrame:
     """Per lot id, ``coalesce(qty_out, 0) / (elapsed minutes)`` at the
     last event (by instant, then ``tie``) whose lookup found that lot id;
     0 when elapsed <= 0.  ``qty_out`` is the matched lot row's.  Lots no
     event found get no row."""
-    best = containing_lot(events, lots, t, line, tie, lot_columns=("qty_out",))
-    last = best.groupBy("lot_id").agg(
-        F.max_by(F.struct("us", "lot_start_us", "qty_out"), F.struct("us", "last_tie"))
-        .alias("_l"))
-    elapsed_s = (F.col("_l.us") - F.col("_l.lot_start_us")).cast("double") / F.lit(1e6)
-    qty = F.coalesce(F.col("_l.qty_out"), F.lit(0)).cast("double")
-    value = F.when(elapsed_s > 0, qty / (elapsed_s / F.lit(60.0))).otherwise(F.lit(0.0))
-    return last.select("lot_id", value.alias("throughput"))
+    hits = last_hits(events, lots, t, line, tie)
+    return throughput_value(matched_quantity(hits, lots, line))
 
 
 def set_throughput(lot: DataFrame, throughput: DataFrame) -> DataFrame:

@@ -28,6 +28,8 @@ from linepulse.schemas import ALL_DOWN_STATES
 from linepulse.session import work_path
 from linepulse.sources import adapters as A
 from linepulse.sources import versioned as V
+from linepulse.streaming import islands_job as IJ
+from linepulse.streaming import sensor_job as SJ
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -446,5 +448,42 @@ def q_append_result(spark, d):
     return table.read()
 
 
+# -------------------------------------------------------------- streaming ----
+def _sensor_job(spark, d, with_oee):
+    root = work_path(spark, "streams", "sensors", unique=True)
+    job = SJ.SensorJob(spark, root, from_testdata(spark, d), as_of=TODAY, with_oee=with_oee)
+    stream = A.sensors_of(A.event_stream(spark, d, pattern="events.parquet"))
+    job.run(stream, f"{root}/_checkpoint")
+    return job
+
+
+@register("stream_islands", Q.with_ctes("SELECT * FROM islands", ISLAND_CTES))
+def q_stream_islands(spark, d):
+    root = work_path(spark, "streams", "islands", unique=True)
+    stream = A.samples_of(A.event_stream(spark, d, pattern="events.parquet"))
+    return IJ.IslandsJob(spark, root).run(stream, f"{root}/_checkpoint")
+
+
+@register("stream_lot_counts", Q.with_ctes("""
+SELECT o.lot_id, COALESCE(r.c, 0) AS reject_count, COALESCE(g.c, 0) AS good_count,
+       o.c AS output_count
+FROM output_counts o LEFT JOIN reject_counts r ON r.lot_id = o.lot_id
+LEFT JOIN good_counts g ON g.lot_id = o.lot_id"""))
+def q_stream_lot_counts(spark, d):
+    c = _sensor_job(spark, d, with_oee=False).counters()
+    return c.filter(F.col("output_count") > 0).select("lot_id", *L.SENSOR_MEASURES)
+
+
+@register("stream_throughput", Q.with_ctes("SELECT * FROM throughput", THROUGHPUT_CTES))
+def q_stream_throughput(spark, d):
+    return _sensor_job(spark, d, with_oee=False).throughput()
+
+
+@register("stream_today_oee", Q.with_ctes(
+    f"SELECT DISTINCT * FROM v_oee WHERE txndate = DATE '{TODAY}'"))
+def q_stream_today_oee(spark, d):
+    return _sensor_job(spark, d, with_oee=True).today.read()
+
+
 def queries() -> dict[str, Builder]:
     return {name: fn for name, (fn, _) in REGISTRY.items()}

@@ -73,14 +73,18 @@ def machine(spark: SparkSession, sf_dir: str) -> DataFrame:
                         line_of(uid).alias("line_id"))
 
 
-def machine_state_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State samples (machine_id, state, time_input, event_id)."""
-    ev = events(spark, sf_dir)
+def samples_of(ev: DataFrame) -> DataFrame:
+    """Events (batch or stream) as state samples."""
     return ev.select(machine_id_of(F.col("user_id")).alias("machine_id"),
                      state_of(F.col("event_type")).alias("state"),
                      F.col("ts").alias("time_input"), "event_id")
 
 
+def machine_state_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State samples (machine_id, state, time_input, event_id)."""
+    return samples_of(events(spark, sf_dir))
+
+
 def machine_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State intervals: each sample lasts until the machine's next sample,
     at most one hour; ties on a timestamp keep the last sample (event_id)."""
@@ -182,9 +186,24 @@ def sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Equal to ``tag_sensors(ss_reject, ss_good, ss_output)`` (each sensor row
     counted by its own indicator) but reads ``events`` once.
     """
+    return sensors_of(events(spark, sf_dir))
+
+
+def sensors_of(ev: DataFrame) -> DataFrame:
+    """Events (batch or stream) as tagged sensor rows."""
     et = F.col("event_type")
-    return events(spark, sf_dir).select(
+    return ev.select(
         line_of(F.col("user_id")).alias("line_id"), F.col("ts").alias("input_time"), "event_id",
         et.isin(*REJECT_EVENTS).cast("bigint").alias("is_reject"),
         et.isin(*GOOD_EVENTS).cast("bigint").alias("is_good"),
         F.lit(1).cast("bigint").alias("is_output"))
+
+
+def event_stream(spark: SparkSession, folder: str, pattern: str = "events*.parquet",
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """``readStream`` over the event parquet files of a folder."""
+    schema = spark.read.parquet(f"{folder.rstrip('/')}/{pattern}").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(folder).select("event_id", "ts", "user_id", "event_type")

@@ -31,6 +31,13 @@ class VersionedTable:
             return None
         return df.select(F.max("version")).first()[0]
 
+    def latest_before(self, version: int) -> int | None:
+        """Highest stored version strictly below ``version``."""
+        df = self._read_all()
+        if df is None:
+            return None
+        return df.filter(F.col("version") < version).select(F.max("version")).first()[0]
+
     def read(self, version: int | None = None) -> DataFrame:
         df = self._read_all()
         if df is None:
