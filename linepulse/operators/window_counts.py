@@ -1,4 +1,17 @@
-"""Exact event counts per time window without a join of events to windows.
+"""Exact event counts per time window.
+
+Two exact plans, chosen per call:
+
+* **broadcast** -- when the windows, cut into time buckets, are proven small
+  (at most ``MAX_BROADCAST_ROWS`` bucket rows and at most ``MAX_CANDIDATES``
+  windows in any (key, bucket)), they are broadcast and each event probes
+  its own bucket: no shuffle of events, a constant number of candidate
+  windows per event, partial sums per group before the only shuffle;
+* **prefix** -- otherwise (windows grow with the data, or pile up in one
+  bucket), counts come from prefix sums and no (event, window) pair is
+  formed at all, as described below.
+
+Prefix plan:
 
 ``count of events in [s, e)`` equals ``C(<e) - C(<s)``, where ``C(<x)`` is the
 number of events (with the same key) strictly before ``x``.  ``C`` is needed
@@ -23,7 +36,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linepulse.functions import MICROS_PER_DAY, MICROS_PER_SECOND, epoch_micros, floor_div
+from linepulse.functions import (MICROS_PER_DAY, MICROS_PER_HOUR, MICROS_PER_SECOND,
+                                 epoch_micros, floor_div)
+
+# Bounds under which the window side may be broadcast (see window_counts).
+MAX_BROADCAST_ROWS = 1_000_000
+MAX_CANDIDATES = 64
 
 _BEFORE = (Window.unboundedPreceding, -1)
 
@@ -80,17 +98,38 @@ def counts_before(events: DataFrame, boundaries: DataFrame, keys: Sequence[str],
         for m in measures])
 
 
+def _bucketed_windows(win: DataFrame, keys: list[str], group_by: Sequence[str],
+                      bucket_us: int) -> DataFrame:
+    first = floor_div("_s", bucket_us)
+    last = floor_div(F.col("_e") - 1, bucket_us)          # end is exclusive
+    return win.select(*group_by, *[k for k in keys if k not in group_by], "_s", "_e",
+                      F.explode(F.sequence(first, last)).alias("_bkt"))
+
+
+def broadcast_bound_holds(bucketed: DataFrame, keys: Sequence[str],
+                          max_rows: int = MAX_BROADCAST_ROWS,
+                          max_candidates: int = MAX_CANDIDATES) -> bool:
+    """One small job over the window side: total bucket rows and the
+    largest number of windows sharing a (key, bucket)."""
+    stats = (bucketed.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_c"))
+             .agg(F.sum("_c").alias("rows"), F.max("_c").alias("peak")).first())
+    rows, peak = stats["rows"] or 0, stats["peak"] or 0
+    return rows <= max_rows and peak <= max_candidates
+
+
 def window_counts(events: DataFrame, time_col: str, windows: DataFrame,
                   measures: Mapping[str, Column], *, keys: Sequence[str] = (),
                   start: str = "start_time", end: str = "end_time",
-                  group_by: Sequence[str] = ("lot_id",)) -> DataFrame:
+                  group_by: Sequence[str] = ("lot_id",), strategy: str = "auto",
+                  bucket_us: int = MICROS_PER_HOUR) -> DataFrame:
     """Sum of ``measures`` over events in each window ``[start, end)``,
     summed over the window rows sharing ``group_by``.
 
     ``keys`` are equality keys present in both inputs (empty: any event may
     fall in any window).  Windows with a NULL or non-positive range match
     nothing.  Groups without any valid window are absent; groups whose
-    windows matched no event are present with 0.
+    windows matched no event are present with 0.  ``strategy``: 'auto'
+    (broadcast when the bound holds, else prefix), 'broadcast' or 'prefix'.
     """
     keys = list(keys)
     names = list(measures)
@@ -100,6 +139,28 @@ def window_counts(events: DataFrame, time_col: str, windows: DataFrame,
     win = (windows.filter(F.col(end).isNotNull() & (F.col(end) > F.col(start)))
            .select(*group_by, *[k for k in keys if k not in group_by],
                    epoch_micros(start).alias("_s"), epoch_micros(end).alias("_e")))
+    if strategy not in ("auto", "broadcast", "prefix"):
+        raise ValueError(strategy)
+    if strategy != "prefix":
+        bucketed = _bucketed_windows(win, keys, group_by, bucket_us)
+        if strategy == "broadcast" or broadcast_bound_holds(bucketed, keys):
+            return _broadcast_counts(ev, win, bucketed, keys, group_by, names, bucket_us)
+    return _prefix_counts(ev, win, keys, group_by, names)
+
+
+def _broadcast_counts(ev: DataFrame, win: DataFrame, bucketed: DataFrame, keys: list[str],
+                      group_by: Sequence[str], names: list[str], bucket_us: int) -> DataFrame:
+    probe = ev.withColumn("_bkt", floor_div("us", bucket_us))
+    hits = (probe.join(F.broadcast(bucketed), [*keys, "_bkt"])
+            .filter((F.col("us") >= F.col("_s")) & (F.col("us") < F.col("_e"))))
+    sums = hits.groupBy(*group_by).agg(*[F.sum(m).alias(m) for m in names])
+    groups = win.select(*group_by).distinct()
+    return groups.join(sums, list(group_by), "left").select(
+        *group_by, *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in names])
+
+
+def _prefix_counts(ev: DataFrame, win: DataFrame, keys: list[str], group_by: Sequence[str],
+                   names: list[str]) -> DataFrame:
     # each window contributes C(<end) with sign +1 and C(<start) with -1
     signed = win.select(*group_by, *[k for k in keys if k not in group_by],
                         F.explode(F.array(

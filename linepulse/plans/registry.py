@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.functions import parse_text_time
+from linepulse.functions import MICROS_PER_DAY, parse_text_time
 from linepulse.operators import containment as C
 from linepulse.operators import islands as I
 from linepulse.operators import lots as L
@@ -23,7 +23,8 @@ from linepulse.operators.machine_time import downtime_ranking, machine_micros
 from linepulse.operators.window_counts import window_counts
 from linepulse.plans import oracle as Q
 from linepulse.plans.plant import from_testdata
-from linepulse.plans.report import oee_inputs, plant_machine_time, refreshed_lots, run_report
+from linepulse.plans.report import (oee_inputs, plant_machine_time, refreshed_lots,
+                                     run_report, today_report)
 from linepulse.schemas import ALL_DOWN_STATES
 from linepulse.session import work_path
 from linepulse.sources import adapters as A
@@ -145,7 +146,7 @@ def q_order_window_ship_count(spark, d):
     counts = window_counts(
         A.shipments(spark, d), "t", A.order_windows(spark, d),
         {"ship_count": F.lit(1), "return_count": F.col("is_return").cast("bigint")},
-        keys=["k"], group_by=["lot_id"])
+        keys=["k"], group_by=["lot_id"], bucket_us=MICROS_PER_DAY)
     return counts.filter(F.col("ship_count") > 0)
 
 
@@ -225,7 +226,7 @@ TODAY = "2024-01-15"
 @register("today_oee", Q.with_ctes(
     f"SELECT DISTINCT * FROM v_oee WHERE txndate = DATE '{TODAY}'"))
 def q_today_oee(spark, d):
-    return O.today_oee(O.oee(*oee_inputs(from_testdata(spark, d))), TODAY)
+    return today_report(from_testdata(spark, d), TODAY)
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,9 +9,11 @@ recomputes from the last stored table, not from the raw samples.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from linepulse.operators import lots as L
 from linepulse.operators import oee as O
@@ -47,14 +49,56 @@ def store_report_tables(p: Plant, root: str | None = None) -> ReportTables:
     return ReportTables(machine_time=mt, lot=lots)
 
 
+def live_tables(p: Plant) -> ReportTables:
+    """The report tables as views (nothing written): K1 and refreshed lots."""
+    return ReportTables(machine_time=plant_machine_time(p), lot=refreshed_lots(p))
+
+
 def oee_inputs(p: Plant, tables: ReportTables | None = None):
-    """(K1, calendar, K3, K4, config) for the OEE operators, read from the
-    stored report tables (stored first when not given)."""
-    t = tables or store_report_tables(p)
+    """(K1, calendar, K3, K4, config) for the OEE operators over the given
+    report tables (default: the live views, nothing stored)."""
+    t = tables or live_tables(p)
     return (t.machine_time, p.calendar, L.line_quality(t.lot, p.policy),
             O.work_time(t.machine_time, p.config), p.config)
 
 
 def run_report(p: Plant, tables: ReportTables | None = None) -> DataFrame:
-    """Snapshot machine time, refresh lots, OEE distinct, ``oee > 0``."""
-    return O.positive_oee(O.oee(*oee_inputs(p, tables)))
+    """Snapshot machine time, refresh lots, OEE distinct, ``oee > 0``.
+    Without ``tables`` the report's write steps run first."""
+    return O.positive_oee(O.oee(*oee_inputs(p, tables or store_report_tables(p))))
+
+
+def today_report(p: Plant, as_of: str | None = None) -> DataFrame:
+    """K13 with the inputs pruned to what one day needs.
+
+    * state intervals starting on the day (a range on ``start_time``, pushed
+      into the scan);
+    * every row of the lot ids with a window starting on the day (counts
+      pool over all rows of an id, whatever their day);
+    * sensor events inside those windows' overall range (two scalars read
+      from the small lot subset, then a range filter pushed into the scan).
+
+    Equal to ``today_oee(oee(...), as_of)`` on the full tables.
+    """
+    spark = p.lot.sparkSession
+    day = (spark.range(1).select(F.current_date()).first()[0] if as_of is None
+           else dt.date.fromisoformat(as_of))
+    lo = dt.datetime.combine(day, dt.time())
+    hi = lo + dt.timedelta(days=1)
+    ntz = "timestamp_ntz"
+    in_day = ((F.col("start_time") >= F.lit(lo).cast(ntz))
+              & (F.col("start_time") < F.lit(hi).cast(ntz)))
+    states = p.machine_state.filter(in_day)
+    ids = p.lot.filter(in_day).select("lot_id")
+    lots = p.lot.join(ids.distinct(), "lot_id", "left_semi")
+    first, last = lots.agg(F.min("start_time"), F.max("end_time")).first()
+    events = p.sensor_events
+    if first is not None and last is not None:
+        events = events.filter((F.col("input_time") >= F.lit(first).cast(ntz))
+                               & (F.col("input_time") < F.lit(last).cast(ntz)))
+    else:
+        events = events.limit(0)
+    sub = p.with_(machine_state=states, lot=lots, sensor_events=events)
+    mt = plant_machine_time(sub)
+    t = ReportTables(machine_time=mt, lot=L.refresh_lots(lots, events, p.policy))
+    return O.today_oee(O.oee(*oee_inputs(sub, t)), day.isoformat())

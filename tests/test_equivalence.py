@@ -34,8 +34,10 @@ def rand_time(rng, days=3):
     return BASE + dt.timedelta(microseconds=rng.randrange(days * 86400 * 10**6))
 
 
-@pytest.mark.parametrize("seed,keyed", [(1, False), (2, True), (3, False)])
-def test_window_counts_brute_force(spark, seed, keyed):
+@pytest.mark.parametrize("seed,keyed,strategy", [
+    (1, False, "prefix"), (2, True, "prefix"), (3, False, "prefix"),
+    (1, False, "broadcast"), (2, True, "broadcast"), (4, True, "auto")])
+def test_window_counts_brute_force(spark, seed, keyed, strategy):
     rng = random.Random(seed)
     events = [(rng.choice("ab") if keyed else "a", rand_time(rng), rng.random() < 0.3)
               for _ in range(400)]
@@ -49,7 +51,7 @@ def test_window_counts_brute_force(spark, seed, keyed):
     wn = spark.createDataFrame(wins, "lot_id string, k string, start_time timestamp_ntz, "
                                      "end_time timestamp_ntz")
     got = window_counts(ev, "t", wn, {"n": F.lit(1), "f": F.col("flag")},
-                        keys=["k"] if keyed else [])
+                        keys=["k"] if keyed else [], strategy=strategy)
     got = {r.lot_id: (r.n, r.f) for r in got.collect()}
     want = defaultdict(lambda: [0, 0])
     for lot, k, s, e in wins:
