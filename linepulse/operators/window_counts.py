@@ -41,7 +41,7 @@ from linepulse.functions import (MICROS_PER_DAY, MICROS_PER_HOUR, MICROS_PER_SEC
 
 # Bounds under which the window side may be broadcast (see window_counts).
 MAX_BROADCAST_ROWS = 1_000_000
-MAX_CANDIDATES = 64
+MAX_CANDIDATES = 16
 
 _BEFORE = (Window.unboundedPreceding, -1)
 

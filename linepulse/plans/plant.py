@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import os
+import threading
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,7 @@ def _stage_key(sf_dir: str) -> str:
 
 
 _STAGED: dict[tuple[str, str], str] = {}
+_STAGE_LOCK = threading.Lock()
 
 
 def stage_testdata(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
@@ -101,6 +103,13 @@ def stage_testdata(spark: SparkSession, sf_dir: str, force: bool = False) -> str
     key = _stage_key(sf_dir)
     root = work_path(spark, "domain", key)
     memo = (spark.conf.get("spark.app.id", ""), root)
+    if not force and memo in _STAGED:
+        return root
+    with _STAGE_LOCK:
+        return _stage_locked(spark, sf_dir, key, root, memo, force)
+
+
+def _stage_locked(spark, sf_dir, key, root, memo, force) -> str:
     if not force and memo in _STAGED:
         return root
     done = False
