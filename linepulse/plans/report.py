@@ -68,7 +68,8 @@ def run_report(p: Plant, tables: ReportTables | None = None) -> DataFrame:
     return O.positive_oee(O.oee(*oee_inputs(p, tables or store_report_tables(p))))
 
 
-def today_report(p: Plant, as_of: str | None = None) -> DataFrame:
+def today_report(p: Plant, as_of: str | None = None,
+                 refresh=None) -> DataFrame:
     """K13 with the inputs pruned to what one day needs.
 
     * state intervals starting on the day (a range on ``start_time``, pushed
@@ -79,26 +80,32 @@ def today_report(p: Plant, as_of: str | None = None) -> DataFrame:
       from the small lot subset, then a range filter pushed into the scan).
 
     Equal to ``today_oee(oee(...), as_of)`` on the full tables.
+    ``refresh(lots) -> lots`` replaces the lot refresh from sensor events
+    (the streaming job refreshes from its stored counters instead).
     """
     spark = p.lot.sparkSession
     day = (spark.range(1).select(F.current_date()).first()[0] if as_of is None
            else dt.date.fromisoformat(as_of))
-    lo = dt.datetime.combine(day, dt.time())
-    hi = lo + dt.timedelta(days=1)
-    ntz = "timestamp_ntz"
-    in_day = ((F.col("start_time") >= F.lit(lo).cast(ntz))
-              & (F.col("start_time") < F.lit(hi).cast(ntz)))
+    lo = F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
+    hi = F.lit(dt.datetime.combine(day + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+    in_day = (F.col("start_time") >= lo) & (F.col("start_time") < hi)
     states = p.machine_state.filter(in_day)
-    ids = p.lot.filter(in_day).select("lot_id")
-    lots = p.lot.join(ids.distinct(), "lot_id", "left_semi")
-    first, last = lots.agg(F.min("start_time"), F.max("end_time")).first()
-    events = p.sensor_events
-    if first is not None and last is not None:
-        events = events.filter((F.col("input_time") >= F.lit(first).cast(ntz))
-                               & (F.col("input_time") < F.lit(last).cast(ntz)))
+    ids = p.lot.filter(in_day).select("lot_id").distinct()
+    lots = p.lot.join(ids, "lot_id", "left_semi")
+    if refresh is None:
+        fresh = L.refresh_lots(lots, _events_in_windows(p.sensor_events, lots), p.policy)
     else:
-        events = events.limit(0)
-    sub = p.with_(machine_state=states, lot=lots, sensor_events=events)
-    mt = plant_machine_time(sub)
-    t = ReportTables(machine_time=mt, lot=L.refresh_lots(lots, events, p.policy))
-    return O.today_oee(O.oee(*oee_inputs(sub, t)), day.isoformat())
+        fresh = refresh(lots)
+    mt = machine_time(states, p.machine, p.prod_states, p.down_states)
+    t = ReportTables(machine_time=mt, lot=fresh)
+    return O.today_oee(O.oee(*oee_inputs(p, t)), day.isoformat())
+
+
+def _events_in_windows(events: DataFrame, lots: DataFrame) -> DataFrame:
+    """Events inside the overall range of the (few) lot windows: two scalars
+    from the small lot subset become a range filter pushed into the scan."""
+    first, last = lots.agg(F.min("start_time"), F.max("end_time")).first()
+    if first is None or last is None:
+        return events.limit(0)
+    return events.filter((F.col("input_time") >= F.lit(first).cast("timestamp_ntz"))
+                         & (F.col("input_time") < F.lit(last).cast("timestamp_ntz")))

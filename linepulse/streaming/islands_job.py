@@ -1,43 +1,89 @@
 """Continuous island maintenance.
 
-Per micro-batch: store the batch's samples (partition = batch id), rebuild
-the islands of the machines the batch touched from *all* their stored
-samples, and replace those machines' rows (A7) in a new version of the
-islands table.  Machines not in the batch keep their rows.  The result
-equals batch ``state_islands`` over everything received, in any arrival
-order.
+Per micro-batch: store the batch's samples, rebuild the islands of the
+machines the batch touched from *all* their stored samples, and replace
+those machines' rows (A7).  Machines not in the batch keep their rows.  The
+result equals batch ``state_islands`` over everything received, in any
+arrival order.
+
+Layout: samples and islands are partitioned by a machine hash bucket, so a
+batch reads and rewrites only the buckets it touches.  The touched bucket
+ids (at most ``buckets`` small integers) become a literal partition filter.
+Islands keep one version per (bucket, batch id): a batch writes version
+``batch_id`` of its buckets from the newest older version, so nothing being
+read is overwritten and a replayed batch rewrites the same partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from linepulse.operators.islands import state_islands
-from linepulse.sources.versioned import VersionedTable, keyed_replace
+
+DEFAULT_BUCKETS = 16
+
+
+def machine_bucket(machine_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(machine_id), F.lit(buckets)).cast("int")
+
+
+def _overwrite(df: DataFrame, path: str, *parts: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
+
+
+def current_versions(df: DataFrame) -> DataFrame:
+    """Rows of the newest version of each bucket."""
+    newest = df.groupBy("mbucket").agg(F.max("version").alias("version"))
+    return df.join(newest, ["mbucket", "version"], "left_semi")
 
 
 class IslandsJob:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self.samples_path = f"{self.root}/samples"
-        self.islands = VersionedTable(spark, f"{self.root}/islands")
+        self.islands_path = f"{self.root}/islands"
+
+    def _islands(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.islands_path)
+        except AnalysisException:
+            return None
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.samples_path))
-        stored = self.spark.read.parquet(self.samples_path).drop("batch_id")
-        touched = batch.select("machine_id").distinct()
-        rebuilt = state_islands(stored.join(touched, "machine_id", "left_semi"))
-        prev = self.islands.latest_before(batch_id)
-        table = rebuilt if prev is None else keyed_replace(self.islands.read(prev), rebuilt,
-                                                           "machine_id")
-        self.islands.write(table, version=batch_id)
+        batch = batch.withColumn("mbucket", machine_bucket(F.col("machine_id"), self.buckets))
+        _overwrite(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                   self.samples_path, "mbucket", "batch_id")
+        touched = batch.select("mbucket", "machine_id").distinct()
+        ids = [r[0] for r in touched.select("mbucket").distinct().collect()]
+        if not ids:
+            return
+        in_buckets = F.col("mbucket").isin(ids)
+        stored = (self.spark.read.parquet(self.samples_path).filter(in_buckets)
+                  .join(touched, ["mbucket", "machine_id"], "left_semi"))
+        rebuilt = state_islands(stored).withColumn(
+            "mbucket", machine_bucket(F.col("machine_id"), self.buckets))
+        old = self._islands()
+        if old is not None:
+            old = current_versions(old.filter(in_buckets & (F.col("version") < batch_id)))
+            kept = old.drop("version").join(touched, ["mbucket", "machine_id"], "left_anti")
+            rebuilt = kept.unionByName(rebuilt)
+        # islands are few per machine: cluster them by bucket, one file each
+        _overwrite(rebuilt.withColumn("version", F.lit(batch_id).cast("bigint"))
+                   .repartition("mbucket"), self.islands_path, "mbucket", "version")
+
+    def read(self) -> DataFrame:
+        df = self._islands()
+        if df is None:
+            raise FileNotFoundError(self.islands_path)
+        return current_versions(df).select("machine_id", "state", "start_time", "end_time")
 
     def run(self, samples_stream: DataFrame, checkpoint: str) -> DataFrame:
         q = (samples_stream.writeStream.foreachBatch(self.handle)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         q.awaitTermination()
-        return self.islands.read()
+        return self.read()

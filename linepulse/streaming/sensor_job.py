@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 
 from linepulse.operators import containment as C
 from linepulse.operators import lots as L
-from linepulse.operators import oee as O
 from linepulse.plans.plant import Plant
-from linepulse.plans.report import ReportTables, oee_inputs, plant_machine_time
+from linepulse.plans.report import today_report
 from linepulse.sources.versioned import VersionedTable
 
 
@@ -43,7 +42,6 @@ class SensorJob:
         self.deltas_path = f"{self.root}/count_deltas"
         self.hits_path = f"{self.root}/last_hits"
         self.today = VersionedTable(spark, f"{self.root}/today_oee")
-        self._machine_time = None
 
     # ---- reads of the current state -------------------------------------
     def counters(self) -> DataFrame:
@@ -74,11 +72,16 @@ class SensorJob:
             self.today.write(self.today_oee(), version=batch_id)
 
     def today_oee(self) -> DataFrame:
+        """Today's OEE from the day's intervals and the day's lots refreshed
+        from the stored counters (inputs pruned to the day)."""
         p = self.plant
-        if self._machine_time is None:
-            self._machine_time = plant_machine_time(p)
-        t = ReportTables(machine_time=self._machine_time, lot=self.lots())
-        return O.today_oee(O.oee(*oee_inputs(p, t)), self.as_of)
+
+        def from_counters(lots: DataFrame) -> DataFrame:
+            counts = self.counters().join(lots.select("lot_id").distinct(), "lot_id",
+                                          "left_semi")
+            return L.writeback_quality(L.apply_sensor_counts(lots, counts, p.policy), p.policy)
+
+        return today_report(p, self.as_of, refresh=from_counters)
 
     def run(self, sensor_stream: DataFrame, checkpoint: str) -> None:
         q = (sensor_stream.writeStream.foreachBatch(self.handle)
