@@ -55,12 +55,14 @@ def _level(summary: DataFrame, part: Sequence[str], order: str) -> DataFrame:
 
 def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_input",
                   state: str = "state", tie: str | None = "event_id",
-                  with_last_flag: bool = False) -> DataFrame:
-    """(key, state, start_time, end_time[, is_last]) per run of equal states.
+                  with_last_flag: bool = False, with_first_tie: bool = False) -> DataFrame:
+    """(key, state, start_time, end_time[, is_last][, first_tie]) per run
+    of equal states.
 
     ``tie`` orders samples sharing a timestamp (the host database leaves
     that order arbitrary); NULL states form runs like any other value.
-    ``is_last`` (C9) marks intervals ending at the machine's last sample.
+    ``is_last`` (C9) marks intervals ending at the machine's last sample;
+    ``first_tie`` is the tie value of the island's first sample.
     """
     order = [F.col("_us")] + ([F.col(tie)] if tie else [F.col(state)])
     base = _with_time_levels(samples.select(key, ts, state, *([tie] if tie else [])), ts)
@@ -70,9 +72,11 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     change = (first | ~F.col(state).eqNullSafe(prev)).cast("bigint")
     base = base.withColumn("_j", F.sum(change).over(w0.rowsBetween(Window.unboundedPreceding, 0)))
 
+    first_tie = ([F.min(F.struct("_us", tie)).getField(tie).alias("_ft")]
+                 if with_first_tie and tie else [])
     local = (base.groupBy(key, "_day", "_sec", "_j")
              .agg(F.first(state).alias(state), F.min(ts).alias("start_time"),
-                  F.max(ts).alias("end_time")))
+                  F.max(ts).alias("end_time"), *first_tie))
     secs = (local.groupBy(key, "_day", "_sec")
             .agg(F.max("_j").alias("_n"), F.min_by(state, "_j").alias("_first"),
                  F.max_by(state, "_j").alias("_last"), F.max("end_time").alias("_end")))
@@ -97,10 +101,14 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
             F.max("end_time").alias("end_time")]
     if with_last_flag:
         aggs.append(F.max("_machine_end").alias("_machine_end"))
+    if first_tie:
+        aggs.append(F.min(F.struct("start_time", "_ft")).getField("_ft").alias("first_tie"))
     out = j.groupBy(key, "_island").agg(*aggs)
     cols: list[Column | str] = [key, state, "start_time", "end_time"]
     if with_last_flag:
         cols.append((F.col("end_time") == F.col("_machine_end")).alias("is_last"))
+    if first_tie:
+        cols.append("first_tie")
     return out.select(*cols)
 
 

@@ -1,17 +1,27 @@
-"""Continuous island maintenance.
-
-Per micro-batch: store the batch's samples, rebuild the islands of the
-machines the batch touched from *all* their stored samples, and replace
-those machines' rows (A7).  Machines not in the batch keep their rows.  The
-result equals batch ``state_islands`` over everything received, in any
-arrival order.
-
-Layout: samples and islands are partitioned by a machine hash bucket, so a
-batch reads and rewrites only the buckets it touches.  The touched bucket
-ids (at most ``buckets`` small integers) become a literal partition filter.
-Islands keep one version per (bucket, batch id): a batch writes version
-``batch_id`` of its buckets from the newest older version, so nothing being
-read is overwritten and a replayed batch rewrites the same partitions.
+"""Continuous island maintenance, incremental.
+
+The source rebuilds every touched machine from its whole history on each
+insert.  The result only changes from the point where the new samples land,
+so per micro-batch and per touched machine:
+
+* ``cut`` = the first sample (time, tie) of the machine's last stored island
+  that starts before the batch's earliest sample (no such island: the
+  machine's first sample);
+* islands before the cut cannot change (the run before the cut is closed by
+  a sample that is not new), so only samples at or after the cut are
+  re-islanded, and the machine's stored islands from the cut on are replaced.
+
+The result equals batch ``state_islands`` over everything received, in any
+arrival order (a late sample just moves the cut back).
+
+Layout: samples are partitioned by (machine hash bucket, day): a batch reads
+only its touched buckets and the days from the earliest cut on (literal
+partition filters built from at most ``buckets`` ids and one date).  Islands
+are partitioned by (bucket, version): a batch writes version ``batch_id`` of
+the buckets it touches from the newest older version, so nothing being read
+is overwritten and a replayed batch rewrites the same partitions.  A
+replayed batch appends its samples again; duplicate samples do not change
+any run, so the islands stay the same.
 """
 
 from __future__ import annotations
@@ -23,23 +33,24 @@ from pyspark.sql.utils import AnalysisException
 from linepulse.operators.islands import state_islands
 
 DEFAULT_BUCKETS = 16
+ISLAND_COLUMNS = ["machine_id", "state", "start_time", "end_time"]
 
 
 def machine_bucket(machine_id: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(machine_id), F.lit(buckets)).cast("int")
 
 
-def _overwrite(df: DataFrame, path: str, *parts: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
-
-
 def current_versions(df: DataFrame) -> DataFrame:
     """Rows of the newest version of each bucket."""
     newest = df.groupBy("mbucket").agg(F.max("version").alias("version"))
     return df.join(newest, ["mbucket", "version"], "left_semi")
 
 
+def _at_or_after(t: Column, tie: Column, cut_t: Column, cut_tie: Column) -> Column:
+    """(t, tie) >= (cut_t, cut_tie); a NULL cut means from the beginning."""
+    return cut_t.isNull() | (t > cut_t) | ((t == cut_t) & (tie >= cut_tie))
+
+
 class IslandsJob:
     def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
         self.spark = spark
@@ -48,39 +59,71 @@ class IslandsJob:
         self.samples_path = f"{self.root}/samples"
         self.islands_path = f"{self.root}/islands"
 
-    def _islands(self) -> DataFrame | None:
+    def _read(self, path: str) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(self.islands_path)
+            return self.spark.read.parquet(path)
         except AnalysisException:
             return None
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("mbucket", machine_bucket(F.col("machine_id"), self.buckets))
-        _overwrite(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-                   self.samples_path, "mbucket", "batch_id")
-        touched = batch.select("mbucket", "machine_id").distinct()
+        batch = (batch.withColumn("mbucket", machine_bucket(F.col("machine_id"), self.buckets))
+                 .withColumn("day", F.to_date("time_input")))
+        (batch.repartition("mbucket", "day").sortWithinPartitions("machine_id", "time_input")
+         .write.mode("append").partitionBy("mbucket", "day").parquet(self.samples_path))
+        touched = batch.groupBy("mbucket", "machine_id").agg(
+            F.min(F.struct("time_input", "event_id")).alias("_new"))
         ids = [r[0] for r in touched.select("mbucket").distinct().collect()]
         if not ids:
             return
         in_buckets = F.col("mbucket").isin(ids)
-        stored = (self.spark.read.parquet(self.samples_path).filter(in_buckets)
-                  .join(touched, ["mbucket", "machine_id"], "left_semi"))
-        rebuilt = state_islands(stored).withColumn(
-            "mbucket", machine_bucket(F.col("machine_id"), self.buckets))
-        old = self._islands()
+        old = self._read(self.islands_path)
         if old is not None:
             old = current_versions(old.filter(in_buckets & (F.col("version") < batch_id)))
-            kept = old.drop("version").join(touched, ["mbucket", "machine_id"], "left_anti")
+            old = old.drop("version")
+            before = (old.join(touched, ["mbucket", "machine_id"])
+                      .filter(F.struct("start_time", "first_tie") < F.col("_new"))
+                      .groupBy("mbucket", "machine_id")
+                      .agg(F.max(F.struct("start_time", "first_tie")).alias("_cut")))
+            cuts = touched.join(before, ["mbucket", "machine_id"], "left")
+        else:
+            cuts = touched.withColumn("_cut", F.lit(None).cast(
+                "struct<start_time:timestamp_ntz,first_tie:bigint>"))
+        cuts = cuts.select("mbucket", "machine_id", F.col("_cut.start_time").alias("_cut_t"),
+                           F.col("_cut.first_tie").alias("_cut_tie"))
+        lo_day, uncut = cuts.agg(F.min(F.to_date("_cut_t")),
+                                 F.count_if(F.col("_cut_t").isNull())).first()
+        in_days = in_buckets if uncut or lo_day is None else (
+            in_buckets & (F.col("day") >= F.lit(lo_day)))
+        stored = (self.spark.read.parquet(self.samples_path)
+                  .filter(in_days)
+                  .join(cuts, ["mbucket", "machine_id"])
+                  .filter(_at_or_after(F.col("time_input"), F.col("event_id"),
+                                       F.col("_cut_t"), F.col("_cut_tie")))
+                  .select("machine_id", "state", "time_input", "event_id"))
+        rebuilt = state_islands(stored, with_first_tie=True).withColumn(
+            "mbucket", machine_bucket(F.col("machine_id"), self.buckets))
+        if old is not None:
+            kept = self._kept(old, cuts)
             rebuilt = kept.unionByName(rebuilt)
         # islands are few per machine: cluster them by bucket, one file each
-        _overwrite(rebuilt.withColumn("version", F.lit(batch_id).cast("bigint"))
-                   .repartition("mbucket"), self.islands_path, "mbucket", "version")
+        (rebuilt.withColumn("version", F.lit(batch_id).cast("bigint")).repartition("mbucket")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("mbucket", "version").parquet(self.islands_path))
+
+    @staticmethod
+    def _kept(old: DataFrame, cuts: DataFrame) -> DataFrame:
+        """Stored islands that stay: untouched machines, and touched
+        machines' islands starting before their cut."""
+        j = old.join(cuts.withColumn("_touched", F.lit(True)), ["mbucket", "machine_id"], "left")
+        replaced = F.col("_touched").isNotNull() & _at_or_after(
+            F.col("start_time"), F.col("first_tie"), F.col("_cut_t"), F.col("_cut_tie"))
+        return j.filter(~replaced).select(*old.columns)
 
     def read(self) -> DataFrame:
-        df = self._islands()
+        df = self._read(self.islands_path)
         if df is None:
             raise FileNotFoundError(self.islands_path)
-        return current_versions(df).select("machine_id", "state", "start_time", "end_time")
+        return current_versions(df).select(*ISLAND_COLUMNS)
 
     def run(self, samples_stream: DataFrame, checkpoint: str) -> DataFrame:
         q = (samples_stream.writeStream.foreachBatch(self.handle)

@@ -72,3 +72,31 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     first = _rows(job.counters())
     job.handle(batch, 0)            # replay of the same batch id
     assert _rows(job.counters()) == first
+
+
+def test_incremental_islands_cuts(spark, tmp_path):
+    """Hand-made batches: runs extended across batches, a late sample that
+    splits a stored island, ties at an island's first timestamp, a replay."""
+    import datetime as dt
+
+    def t(h, m=0, d=1):
+        return dt.datetime(2024, 1, d, h, m)
+
+    batches = [
+        [("M1", "PROD", t(8), 1), ("M1", "PROD", t(9), 2), ("M1", "DOWN", t(10), 3),
+         ("M2", "IDLE", t(8), 4)],
+        [("M1", "DOWN", t(11), 5), ("M1", "PROD", t(1, 0, 2), 6)],       # next day
+        [("M1", "DOWN", t(8, 30), 7)],                                   # late: splits
+        [("M1", "SETUP", t(10), 0), ("M2", "IDLE", t(9), 8)],           # tie before eid 3
+        [("M1", "SETUP", t(10), 0)],                                     # duplicate
+    ]
+    schema = "machine_id string, state string, time_input timestamp_ntz, event_id bigint"
+    job = IslandsJob(spark, str(tmp_path / "job"))
+    seen = []
+    for i, rows in enumerate(batches):
+        seen += rows
+        job.handle(spark.createDataFrame(rows, schema), i)
+        want = state_islands(spark.createDataFrame(seen, schema))
+        assert _rows(job.read()) == _rows(want), i
+    job.handle(spark.createDataFrame(batches[1], schema), 1)             # replay of batch 1
+    assert _rows(job.read()) == _rows(state_islands(spark.createDataFrame(seen, schema)))
