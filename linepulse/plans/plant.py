@@ -15,6 +15,7 @@ import hashlib
 import inspect
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,8 +121,10 @@ def _stage_locked(spark, sf_dir, key, root, memo, force) -> str:
         except AnalysisException:
             done = False
     if not done:
-        for name, df in derive_tables(spark, sf_dir).items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
+        tables = derive_tables(spark, sf_dir)
+        with ThreadPoolExecutor(max_workers=4) as pool:      # independent jobs
+            list(pool.map(lambda item: item[1].write.mode("overwrite").parquet(
+                f"{root}/{item[0]}"), tables.items()))
         spark.createDataFrame([(key,)], "key string").write.mode("overwrite").parquet(
             f"{root}/_complete")
     _STAGED[memo] = root

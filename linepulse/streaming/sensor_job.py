@@ -3,8 +3,9 @@
 Per micro-batch, in the order the source's triggers fire (counters before
 throughput):
 
-* I2: the batch's events are counted into the static lot windows with the
-  prefix-count operator; the per-lot deltas are stored under the batch id.
+* I2: the batch's events are counted into the lot windows near the batch
+  (lots are pruned by the batch's time range first) with the range-count
+  operator; the per-lot deltas are stored under the batch id.
   Current counters = sum of all stored deltas (equals batch C3).
 * I3: each batch event is looked up to its containing lot (C6); the batch's
   last hit per lot id is stored under the batch id.  Throughput = value at
@@ -62,11 +63,25 @@ class SensorJob:
         return C.throughput_value(C.matched_quantity(last, self.lots()))
 
     # ---- per batch --------------------------------------------------------
+    def lots_for(self, batch: DataFrame) -> DataFrame:
+        """Only lots whose window can hold an event of the batch: started by
+        its last event and not ended before its first (open lots kept).  Two
+        scalars from the batch become a range filter on the lot scan."""
+        first, last = batch.agg(F.min("input_time"), F.max("input_time")).first()
+        lot = self.plant.lot
+        if first is None:
+            return lot.limit(0)
+        lo = F.lit(first).cast("timestamp_ntz")
+        hi = F.lit(last).cast("timestamp_ntz")
+        return lot.filter((F.col("start_time") <= hi)
+                          & (F.col("end_time").isNull() | (F.col("end_time") >= lo)))
+
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        p = self.plant
-        deltas = L.sensor_counts(p.lot, batch)
+        lots = self.lots_for(batch)
+        # rows of an id far from the batch would add 0 to this batch's count
+        deltas = L.sensor_counts(lots, batch)
         _overwrite_batch(deltas, self.deltas_path, batch_id)                  # I2
-        hits = C.last_hits(batch, p.lot)
+        hits = C.last_hits(batch, lots)
         _overwrite_batch(hits, self.hits_path, batch_id)                      # I3
         if self.with_oee:                                                     # I4
             self.today.write(self.today_oee(), version=batch_id)
