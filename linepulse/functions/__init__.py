@@ -11,6 +11,7 @@ from linepulse.functions.timecalc import (
     from_epoch_micros,
     hours_from_micros,
     month_abbr,
+    ntz_literal,
     txn_date,
 )
 from linepulse.functions.textdates import parse_text_time
@@ -18,6 +19,6 @@ from linepulse.functions.textdates import parse_text_time
 __all__ = [
     "MICROS_PER_DAY", "MICROS_PER_HOUR", "MICROS_PER_SECOND",
     "elapsed_micros", "epoch_micros", "floor_div", "from_epoch_micros",
-    "hours_from_micros", "month_abbr", "txn_date", "parse_text_time",
+    "hours_from_micros", "month_abbr", "ntz_literal", "txn_date", "parse_text_time",
     "round_half_even", "round_numeric", "safe_div",
 ]

@@ -64,3 +64,16 @@ def txn_date(ts: Column | str) -> Column:
 def month_abbr(d: Column | str) -> Column:
     """``TO_CHAR(d, 'MON')``: upper-case English month abbreviation."""
     return F.upper(F.date_format(_c(d), "MMM"))
+
+
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ (or DATE) literal from a Python datetime/date, built
+    from its ISO text so neither the Python nor the session time zone
+    shifts it (``F.lit(datetime)`` goes through the local zone)."""
+    import datetime as _dt
+
+    if isinstance(value, _dt.datetime):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(value, _dt.date):
+        return F.lit(value.isoformat()).cast("date")
+    raise TypeError(type(value))

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linepulse.functions import ntz_literal
 from linepulse.operators import lots as L
 from linepulse.operators import oee as O
 from linepulse.operators.machine_time import machine_time
@@ -94,8 +95,8 @@ def today_report(p: Plant, as_of: str | None = None,
     spark = p.lot.sparkSession
     day = (spark.range(1).select(F.current_date()).first()[0] if as_of is None
            else dt.date.fromisoformat(as_of))
-    lo = F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
-    hi = F.lit(dt.datetime.combine(day + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")
+    lo = ntz_literal(dt.datetime.combine(day, dt.time()))
+    hi = ntz_literal(dt.datetime.combine(day + dt.timedelta(days=1), dt.time()))
     in_day = (F.col("start_time") >= lo) & (F.col("start_time") < hi)
     states = p.machine_state.filter(in_day)
     ids = p.lot.filter(in_day).select("lot_id").distinct()
@@ -115,5 +116,5 @@ def _events_in_windows(events: DataFrame, lots: DataFrame) -> DataFrame:
     first, last = lots.agg(F.min("start_time"), F.max("end_time")).first()
     if first is None or last is None:
         return events.limit(0)
-    return events.filter((F.col("input_time") >= F.lit(first).cast("timestamp_ntz"))
-                         & (F.col("input_time") < F.lit(last).cast("timestamp_ntz")))
+    return events.filter((F.col("input_time") >= ntz_literal(first))
+                         & (F.col("input_time") < ntz_literal(last)))

@@ -8,7 +8,6 @@ unset (local runs, tests) do we create one of our own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -39,13 +38,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared working folder (``spark.checkpoint.dir``).
 
-    Read from the session; when unset (tests, local runs) a fresh folder is
-    created and registered as the checkpoint dir so ``checkpoint()`` works too.
+    Read from the session.  When unset, a local run (tests) gets a fresh
+    folder, registered as the checkpoint dir so ``checkpoint()`` works too;
+    a cluster run fails rather than fall back to a machine-local folder.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="linepulse-")
         spark.conf.set(CHECKPOINT_CONF, root)
         spark.sparkContext.setCheckpointDir(root)
@@ -58,9 +60,3 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         segs.append(uuid.uuid4().hex[:12])
     return "/".join(segs)
-
-
-def ensure_local_parent(path: str) -> None:
-    """Create parent folders for plain local paths (no-op for URIs)."""
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from linepulse.functions import ntz_literal
 from linepulse.operators.islands import state_islands
 
 DEFAULT_BUCKETS = 16
@@ -93,7 +94,7 @@ class IslandsJob:
         lo_day, uncut = cuts.agg(F.min(F.to_date("_cut_t")),
                                  F.count_if(F.col("_cut_t").isNull())).first()
         in_days = in_buckets if uncut or lo_day is None else (
-            in_buckets & (F.col("day") >= F.lit(lo_day)))
+            in_buckets & (F.col("day") >= ntz_literal(lo_day)))
         stored = (self.spark.read.parquet(self.samples_path)
                   .filter(in_days)
                   .join(cuts, ["mbucket", "machine_id"])

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linepulse.functions import ntz_literal
 from linepulse.operators import containment as C
 from linepulse.operators import lots as L
 from linepulse.plans.plant import Plant
@@ -71,8 +72,7 @@ class SensorJob:
         lot = self.plant.lot
         if first is None:
             return lot.limit(0)
-        lo = F.lit(first).cast("timestamp_ntz")
-        hi = F.lit(last).cast("timestamp_ntz")
+        lo, hi = ntz_literal(first), ntz_literal(last)
         return lot.filter((F.col("start_time") <= hi)
                           & (F.col("end_time").isNull() | (F.col("end_time") >= lo)))
 
