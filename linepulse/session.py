@@ -60,3 +60,29 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     if unique:
         segs.append(uuid.uuid4().hex[:12])
     return "/".join(segs)
+
+
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
+    """Settings the operators are planned for at ~100 TB on a large cluster.
+
+    * shuffle partitions ~ 4x total cores, AQE coalesces them down for the
+      small aggregated stages and splits skewed ones (skew join);
+    * 256 MB advisory partitions and 512 MB scan splits keep tasks in memory
+      with room to spill;
+    * broadcast joins are also decided at runtime on measured sizes.
+    ``spark.checkpoint.dir`` must name a folder every executor can reach.
+    """
+    cores = executors * cores_per_executor
+    return {
+        "spark.sql.shuffle.partitions": str(4 * cores),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }
