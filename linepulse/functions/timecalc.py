@@ -46,7 +46,11 @@ def from_epoch_micros(us: Column | str) -> Column:
 
 
 def floor_div(value: Column | str, divisor: int) -> Column:
-    """Floor division of a BIGINT by a positive constant (also below zero)."""
+    """Floor division of a BIGINT by a positive constant (also below zero).
+
+    The dividend is first made an exact multiple, so the division is exact
+    for magnitudes below 2^53 (epoch microseconds up to the year 2255).
+    """
     v = _c(value)
     return ((v - F.pmod(v, F.lit(divisor))) / F.lit(divisor)).cast("bigint")
 

@@ -96,9 +96,20 @@ def _stage_key(sf_dir: str) -> str:
 
 
 _STAGED: dict[tuple[str, str], str] = {}
+_SCHEMAS: dict[str, object] = {}          # path -> StructType, saves inference jobs
 _STAGE_LOCK = threading.Lock()
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """Read a stored table; the schema is inferred once per process."""
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
 def stage_testdata(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     """Derive and store the domain tables once; returns their folder."""
     key = _stage_key(sf_dir)
@@ -122,9 +133,14 @@ def _stage_locked(spark, sf_dir, key, root, memo, force) -> str:
             done = False
     if not done:
         tables = derive_tables(spark, sf_dir)
+
+        def store(item):
+            name, df = item
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+            _SCHEMAS[f"{root}/{name}"] = df.schema
+
         with ThreadPoolExecutor(max_workers=4) as pool:      # independent jobs
-            list(pool.map(lambda item: item[1].write.mode("overwrite").parquet(
-                f"{root}/{item[0]}"), tables.items()))
+            list(pool.map(store, tables.items()))
         spark.createDataFrame([(key,)], "key string").write.mode("overwrite").parquet(
             f"{root}/_complete")
     _STAGED[memo] = root
@@ -142,7 +158,7 @@ def from_testdata(spark: SparkSession, sf_dir: str, drift_calendar: bool = False
     names = {t: (cal if t == "calendar" else t) for t in TABLES}
     if staged:
         root = stage_testdata(spark, sf_dir)
-        return Plant({t: (lambda n=n: spark.read.parquet(f"{root}/{n}"))
+        return Plant({t: (lambda n=n: read_stored(spark, f"{root}/{n}"))
                       for t, n in names.items()})
     derived = derive_tables(spark, sf_dir)
     return Plant({t: derived[n] for t, n in names.items()})

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 
@@ -18,9 +19,12 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = tuple(partition_by)
+        self._schema: T.StructType | None = None     # known after a write
 
     def _read_all(self) -> DataFrame | None:
         try:
+            if self._schema is not None:
+                return self.spark.read.schema(self._schema).parquet(self.path)
             return self.spark.read.parquet(self.path)
         except AnalysisException:
             return None
@@ -50,16 +54,25 @@ class VersionedTable:
         if version is None:
             latest = self.latest_version()
             version = 0 if latest is None else latest + 1
-        (df.withColumn("version", F.lit(version).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out = df.withColumn("version", F.lit(version).cast("bigint"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("version", *self.partition_by).parquet(self.path))
+        self._remember(out.schema)
         return version
 
+    def _remember(self, schema: T.StructType) -> None:
+        """Data columns first, then partition columns, as a scan returns them."""
+        parts = ["version", *self.partition_by]
+        fields = [f for f in schema.fields if f.name not in parts]
+        fields += [schema[p] for p in parts]
+        self._schema = T.StructType(fields)
+
     def append(self, df: DataFrame) -> None:
         """Add rows to the latest version (no dedupe: twice = doubled)."""
         v = self.latest_version()
-        (df.withColumn("version", F.lit(0 if v is None else v).cast("bigint"))
-         .write.mode("append").partitionBy("version", *self.partition_by).parquet(self.path))
+        out = df.withColumn("version", F.lit(0 if v is None else v).cast("bigint"))
+        out.write.mode("append").partitionBy("version", *self.partition_by).parquet(self.path)
+        self._remember(out.schema)
 
 
 def snapshot(table: VersionedTable, view: DataFrame) -> DataFrame:
