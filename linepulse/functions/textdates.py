@@ -17,3 +17,12 @@ def parse_text_time(text: Column) -> Column:
         F.try_to_timestamp(text, F.lit(US_LAYOUT)),
         F.try_to_timestamp(text, F.lit(ISO_LAYOUT)),
     ).cast("timestamp_ntz")
+
+
+def parse_text_date(text: Column) -> Column:
+    """DATE from either timestamp layout or the same layouts without time."""
+    return F.coalesce(
+        parse_text_time(text),
+        F.try_to_timestamp(text, F.lit(US_LAYOUT.split(" ")[0])).cast("timestamp_ntz"),
+        F.try_to_timestamp(text, F.lit(ISO_LAYOUT.split(" ")[0])).cast("timestamp_ntz"),
+    ).cast("date")

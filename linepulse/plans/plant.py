@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
 from linepulse.operators import sequence as _sequence
+from linepulse import schemas as S
 from linepulse.schemas import DEFAULT_POLICY, DOWN_STATES, PROD_STATES
 from linepulse.session import work_path
 from linepulse.sources import adapters
@@ -69,6 +70,39 @@ class Plant:
         return Plant(tables, **params)
 
 
+# table name -> schema of the files a user exports (the sensors are three tables)
+FOLDER_TABLES = {
+    "machine": S.MACHINE, "machine_state": S.MACHINE_STATE, "lot": S.LOT,
+    "calendar": S.CALENDAR, "config": S.CONFIG,
+    "ss_reject": S.SENSOR, "ss_good": S.SENSOR, "ss_output": S.SENSOR,
+    "machine_state_input": S.MACHINE_STATE_INPUT,
+}
+
+
+def from_folder(spark: SparkSession, folder: str, fmt: str = "parquet",
+                policy: Mapping[str, str] | None = None) -> Plant:
+    """A plant over exported tables ``<folder>/<table>.<fmt>`` (parquet or
+    csv), read with the domain schemas.  The three sensor tables are tagged
+    and unioned into ``sensor_events``; ``machine_state_input`` is optional.
+    """
+    from linepulse.operators.lots import tag_sensors
+    from linepulse.sources.tables import read_csv_table, read_table
+
+    def load(name: str) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}.{fmt}"
+        if fmt == "csv":
+            return read_csv_table(spark, path, FOLDER_TABLES[name])
+        return read_table(spark, path, FOLDER_TABLES[name])
+
+    tables: dict[str, DataFrame | Callable[[], DataFrame]] = {
+        name: (lambda n=name: load(n))
+        for name in ("machine", "machine_state", "lot", "calendar", "config",
+                     "machine_state_input")}
+    tables["sensor_events"] = lambda: tag_sensors(load("ss_reject"), load("ss_good"),
+                                                  load("ss_output"))
+    return Plant(tables, policy=policy)
+
+
 def derive_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The domain tables as lazy derivations from the raw parquet files."""
     return {

@@ -24,6 +24,34 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
+                   header: bool = True) -> DataFrame:
+    """CSV export with an explicit schema (no inference).
+
+    Time columns (TIMESTAMP_NTZ / DATE) are read as text and parsed in either
+    load layout (``MM/dd/yyyy HH:mm:ss`` or ISO; dates also without the
+    time); unparseable text gives NULL.
+    Rows with fewer fields get NULL in the missing trailing columns.
+    """
+    from linepulse.functions.textdates import parse_text_date, parse_text_time
+
+    timey = (T.TimestampNTZType, T.TimestampType, T.DateType)
+    text_schema = T.StructType([
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, timey) else f.dataType,
+                      True) for f in schema.fields])
+    raw = spark.read.schema(text_schema).option("header", header).option("mode", "PERMISSIVE") \
+        .csv(path)
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DateType):
+            c = parse_text_date(c)
+        elif isinstance(f.dataType, timey):
+            c = parse_text_time(c).cast(f.dataType)
+        cols.append(c.alias(f.name))
+    return raw.select(*cols)
+
+
 def literal_rows(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
     """Rows given positionally; missing trailing columns become NULL."""
     width = len(schema.fields)
