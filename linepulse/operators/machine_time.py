@@ -17,22 +17,26 @@ def machine_micros(machine_state: DataFrame, machine: DataFrame,
     """Exact production and down microseconds (``prod_us``, ``down_us``) per
     (machine_id, line_id, txndate); :func:`machine_time` converts to hours.
 
-    Intervals join the machine dimension (unknown machines are dropped) and
-    count wholly on their start date.  The reference's two-level aggregate
-    (per state, then per machine) collapses into one group-by with two
-    conditional sums of exact BIGINT microseconds, divided once at the end;
-    groups with neither state give 0 and 0.
+    Intervals count wholly on their start date and join the machine
+    dimension (unknown machines are dropped).  The source's two-level
+    aggregate (per state, then per machine) collapses into one group-by with
+    two conditional sums of exact BIGINT microseconds, divided once at the
+    end; groups with neither state give 0 and 0.
     """
     st = machine_state.select("machine_id", "state",
                               txn_date("start_time").alias("txndate"),
                               elapsed_micros("start_time", "end_time").alias("_us"))
-    dim = machine.select("machine_id", "line_id")
-    joined = st.join(dim, "machine_id")
     zero = F.lit(0).cast("bigint")
     prod = F.when(F.col("state").isin(*prod_states), F.col("_us")).otherwise(zero)
     down = F.when(F.col("state").isin(*down_states), F.col("_us")).otherwise(zero)
-    return joined.groupBy("machine_id", "line_id", "txndate").agg(
+    # aggregate first (map-side partial sums), then attach the line: the join
+    # sees one row per machine-day, and a machine listed twice in the
+    # dimension still gets its full sums on each line, as in the source
+    per_day = st.groupBy("machine_id", "txndate").agg(
         F.sum(prod).alias("prod_us"), F.sum(down).alias("down_us"))
+    dim = machine.select("machine_id", "line_id")
+    return per_day.join(dim, "machine_id").select(
+        "machine_id", "line_id", "txndate", "prod_us", "down_us")
 
 
 def machine_time(machine_state: DataFrame, machine: DataFrame,
