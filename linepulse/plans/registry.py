@@ -31,6 +31,7 @@ from linepulse.sources import adapters as A
 from linepulse.sources import versioned as V
 from linepulse.streaming import islands_job as IJ
 from linepulse.streaming import sensor_job as SJ
+from linepulse.streaming import stateful_islands as SI
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -467,6 +468,13 @@ def q_stream_islands(spark, d):
     return IJ.IslandsJob(spark, root).run(stream, f"{root}/_checkpoint")
 
 
+@register("stream_islands_stateful", Q.with_ctes("SELECT * FROM islands", ISLAND_CTES))
+def q_stream_islands_stateful(spark, d):
+    root = work_path(spark, "streams", "islands_stateful", unique=True)
+    stream = A.samples_of(A.event_stream(spark, d, pattern="events.parquet"))
+    return SI.StatefulIslandsJob(spark, root).run(stream, f"{root}/_checkpoint")
+
+
 @register("stream_lot_counts", Q.with_ctes("""
 SELECT o.lot_id, COALESCE(r.c, 0) AS reject_count, COALESCE(g.c, 0) AS good_count,
        o.c AS output_count

@@ -100,3 +100,60 @@ def test_incremental_islands_cuts(spark, tmp_path):
         assert _rows(job.read()) == _rows(want), i
     job.handle(spark.createDataFrame(batches[1], schema), 1)             # replay of batch 1
     assert _rows(job.read()) == _rows(state_islands(spark.createDataFrame(seen, schema)))
+
+
+@pytest.fixture(scope="module")
+def event_files_in_order(spark, tmp_path_factory):
+    """The events split into 3 files by time, written (and named) in order."""
+    folder = tmp_path_factory.mktemp("events_in_order")
+    ev = A.events(spark, SF)
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    step = (hi - lo) / 3
+    for i in range(3):
+        part = ev.filter(F.col("ts") >= lo + step * i)
+        if i < 2:
+            part = part.filter(F.col("ts") < lo + step * (i + 1))
+        part.coalesce(1).write.parquet(str(folder / f"p{i}.tmp"))
+        (f,) = [p for p in (folder / f"p{i}.tmp").iterdir() if p.suffix == ".parquet"]
+        f.rename(folder / f"events_{i}.parquet")
+    return str(folder)
+
+
+def test_stateful_islands_equal_batch_in_order(spark, event_files_in_order, tmp_path):
+    from linepulse.streaming.stateful_islands import StatefulIslandsJob
+
+    stream = A.samples_of(A.event_stream(spark, event_files_in_order, "events_*.parquet",
+                                         max_files_per_trigger=1))
+    job = StatefulIslandsJob(spark, str(tmp_path / "job"))
+    got = job.run(stream, str(tmp_path / "ckpt"))
+    assert spark.read.parquet(job.path).select("batch_id").distinct().count() == 3
+    want = state_islands(A.machine_state_input(spark, SF))
+    assert _rows(got) == _rows(want)
+
+
+def test_stateful_islands_runs_across_batches(spark, tmp_path):
+    """Runs continuing across batches, NULL states and ties, fed in order."""
+    import datetime as dt
+
+    from linepulse.streaming.stateful_islands import StatefulIslandsJob
+
+    def t(h, m=0):
+        return dt.datetime(2024, 1, 1, h, m)
+
+    batches = [
+        [("M1", "PROD", t(8), 1), ("M1", "PROD", t(9), 2), ("M2", None, t(8), 3)],
+        [("M1", "PROD", t(10), 4), ("M1", "DOWN", t(10), 5), ("M2", None, t(9), 6)],
+        [("M1", "DOWN", t(11), 7), ("M2", "IDLE", t(12), 8), ("M3", "PROD", t(12), 9)],
+    ]
+    schema = "machine_id string, state string, time_input timestamp_ntz, event_id bigint"
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"b{i}"))
+        (f,) = [p for p in (tmp_path / f"b{i}").iterdir() if p.suffix == ".parquet"]
+        f.rename(folder / f"s{i}.parquet")
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .parquet(str(folder)))
+    got = StatefulIslandsJob(spark, str(tmp_path / "job")).run(stream, str(tmp_path / "ck"))
+    everything = spark.createDataFrame([r for b in batches for r in b], schema)
+    assert _rows(got) == _rows(state_islands(everything))
