@@ -34,21 +34,56 @@ def _overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 class SensorJob:
+    """``compact_every``: every N batches the stored deltas and hits up to
+    that batch are folded into a new version of a base table, so reads cost
+    the base plus the recent batches (partition-pruned by batch id) however
+    long the stream runs."""
+
     def __init__(self, spark: SparkSession, root: str, plant: Plant,
-                 as_of: str | None = None, with_oee: bool = True):
+                 as_of: str | None = None, with_oee: bool = True, compact_every: int = 50):
         self.spark = spark
         self.root = root.rstrip("/")
         self.plant = plant
         self.as_of = as_of
         self.with_oee = with_oee
+        self.compact_every = compact_every
         self.deltas_path = f"{self.root}/count_deltas"
         self.hits_path = f"{self.root}/last_hits"
+        self.count_base = VersionedTable(spark, f"{self.root}/count_base")
+        self.hits_base = VersionedTable(spark, f"{self.root}/hits_base")
         self.today = VersionedTable(spark, f"{self.root}/today_oee")
 
     # ---- reads of the current state -------------------------------------
-    def counters(self) -> DataFrame:
-        d = self.spark.read.parquet(self.deltas_path)
-        return d.groupBy("lot_id").agg(*[F.sum(m).alias(m) for m in L.SENSOR_MEASURES])
+    def _since_base(self, path: str, base: VersionedTable,
+                    upto: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+        """Stored batches after the newest base (and up to ``upto``), and that base."""
+        v = base.latest_version() if upto is None else base.latest_before(upto + 1)
+        rows = self.spark.read.parquet(path)
+        if v is not None:
+            rows = rows.filter(F.col("batch_id") > v)
+        if upto is not None:
+            rows = rows.filter(F.col("batch_id") <= upto)
+        return rows.drop("batch_id"), (None if v is None else base.read(v))
+
+    def counters(self, upto: int | None = None) -> DataFrame:
+        rows, base = self._since_base(self.deltas_path, self.count_base, upto)
+        if base is not None:
+            rows = rows.unionByName(base)
+        return rows.groupBy("lot_id").agg(*[F.sum(m).alias(m) for m in L.SENSOR_MEASURES])
+
+    def _last_hits(self, upto: int | None = None) -> DataFrame:
+        rows, base = self._since_base(self.hits_path, self.hits_base, upto)
+        if base is not None:
+            rows = rows.unionByName(base)
+        last = rows.groupBy("lot_id").agg(
+            F.max_by(F.struct("us", "last_tie", "lot_start_us", "line_id"),
+                     F.struct("us", "last_tie")).alias("_h"))
+        return last.select("lot_id", "_h.us", "_h.last_tie", "_h.lot_start_us", "_h.line_id")
+
+    def compact(self, batch_id: int) -> None:
+        """Fold everything up to ``batch_id`` into new base versions."""
+        self.count_base.write(self.counters(upto=batch_id), version=batch_id)
+        self.hits_base.write(self._last_hits(upto=batch_id), version=batch_id)
 
     def lots(self) -> DataFrame:
         p = self.plant
@@ -56,12 +91,7 @@ class SensorJob:
                                    p.policy)
 
     def throughput(self) -> DataFrame:
-        hits = self.spark.read.parquet(self.hits_path)
-        last = hits.groupBy("lot_id").agg(
-            F.max_by(F.struct("us", "last_tie", "lot_start_us", "line_id"),
-                     F.struct("us", "last_tie")).alias("_h"))
-        last = last.select("lot_id", "_h.us", "_h.last_tie", "_h.lot_start_us", "_h.line_id")
-        return C.throughput_value(C.matched_quantity(last, self.lots()))
+        return C.throughput_value(C.matched_quantity(self._last_hits(), self.lots()))
 
     # ---- per batch --------------------------------------------------------
     def lots_for(self, batch: DataFrame) -> DataFrame:
@@ -83,6 +113,8 @@ class SensorJob:
         _overwrite_batch(deltas, self.deltas_path, batch_id)                  # I2
         hits = C.last_hits(batch, lots)
         _overwrite_batch(hits, self.hits_path, batch_id)                      # I3
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
+            self.compact(batch_id)
         if self.with_oee:                                                     # I4
             self.today.write(self.today_oee(), version=batch_id)
 

@@ -157,3 +157,18 @@ def test_stateful_islands_runs_across_batches(spark, tmp_path):
     got = StatefulIslandsJob(spark, str(tmp_path / "job")).run(stream, str(tmp_path / "ck"))
     everything = spark.createDataFrame([r for b in batches for r in b], schema)
     assert _rows(got) == _rows(state_islands(everything))
+
+
+def test_compaction_keeps_counters_and_throughput(spark, tmp_path):
+    """Folding batches into a base table changes no result."""
+    p = from_testdata(spark, SF, staged=False)
+    ev = p.sensor_events
+    parts = [ev.filter(F.pmod(F.col("event_id"), F.lit(3)) == i) for i in range(3)]
+    plain = SensorJob(spark, str(tmp_path / "plain"), p, with_oee=False, compact_every=0)
+    folded = SensorJob(spark, str(tmp_path / "folded"), p, with_oee=False, compact_every=2)
+    for i, part in enumerate(parts):
+        plain.handle(part, i)
+        folded.handle(part, i)
+    assert folded.count_base.latest_version() == 1
+    assert _rows(folded.counters()) == _rows(plain.counters())
+    assert _rows(folded.throughput()) == _rows(plain.throughput())
