@@ -15,14 +15,15 @@ import hashlib
 import inspect
 import os
 import threading
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from linepulse.operators import sequence as _sequence
 from linepulse import schemas as S
+from linepulse.operators import sequence as _sequence
 from linepulse.schemas import DEFAULT_POLICY, DOWN_STATES, PROD_STATES
 from linepulse.session import work_path
 from linepulse.sources import adapters
@@ -130,7 +131,7 @@ def _stage_key(sf_dir: str) -> str:
 
 
 _STAGED: dict[tuple[str, str], str] = {}
-_SCHEMAS: dict[str, object] = {}          # path -> StructType, saves inference jobs
+_SCHEMAS: dict[str, T.StructType] = {}    # path -> schema: saves inference jobs
 _STAGE_LOCK = threading.Lock()
 
 

@@ -6,7 +6,7 @@ throughput):
 * I2: the batch's events are counted into the lot windows near the batch
   (lots are pruned by the batch's time range first) with the range-count
   operator; the per-lot deltas are stored under the batch id.
-  Current counters = sum of all stored deltas (equals batch C3).
+  Current counters = newest base + later deltas (equals batch C3).
 * I3: each batch event is looked up to its containing lot (C6); the batch's
   last hit per lot id is stored under the batch id.  Throughput = value at
   the overall last hit with the lot's current quantities (equals batch K10).
