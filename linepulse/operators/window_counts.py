@@ -43,18 +43,6 @@ from linepulse.functions import (MICROS_PER_DAY, MICROS_PER_HOUR, MICROS_PER_SEC
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_CANDIDATES = 16
 
-_BEFORE = (Window.unboundedPreceding, -1)
-
-
-def _prefix(df: DataFrame, part: Sequence[str], order: str, measures: Sequence[str],
-            out: Sequence[str]) -> DataFrame:
-    # No key: one partition over calendar days, bounded by the time span.
-    w = (Window.partitionBy(*part).orderBy(order) if part else Window.orderBy(order))
-    w = w.rowsBetween(*_BEFORE)
-    return df.select("*", *[F.coalesce(F.sum(m).over(w), F.lit(0)).alias(o)
-                            for m, o in zip(measures, out)])
-
-
 def counts_before(events: DataFrame, boundaries: DataFrame, keys: Sequence[str],
                   measures: Sequence[str]) -> DataFrame:
     """For each distinct boundary (keys, ``us``): per measure, the sum over
@@ -64,38 +52,65 @@ def counts_before(events: DataFrame, boundaries: DataFrame, keys: Sequence[str],
     measures (BIGINT); ``boundaries`` has keys and ``us``.
     Returns keys, ``us`` and one ``c_<measure>`` column per measure.
 
-    Each level aggregates the events directly (map-side partial sums), so
-    only the exact level shuffles one row per distinct event timestamp; the
-    second and day levels shuffle per-second and per-day partial sums.
+    Events are aggregated once to distinct (keys, ``us``) (map-side partial
+    sums).  Three window passes then run from coarse to fine, and each hands
+    its result down as one carrier row per partition of the next:
+
+    * days per key: events on earlier days, at each marked day;
+    * seconds per (key, day): plus events in earlier seconds, at each marked
+      second (the day's value arrives as the partition's carrier row);
+    * instants per (key, second): plus events earlier in the second, at each
+      boundary (the second's value arrives as the carrier row).
+
+    Boundary marks sort before the events of their own unit, so only
+    strictly earlier events count.  Coarse levels see marks collapsed to
+    their unit, so every partition is bounded by the calendar; no join.
     """
     keys = list(keys)
-    zero = [F.lit(0).cast("bigint").alias(m) for m in measures]
     sums = [F.sum(m).alias(m) for m in measures]
+    zero = [F.lit(0).cast("bigint").alias(m) for m in measures]
+    carry = [f"_c_{m}" for m in measures]
+    no_carry = [F.lit(None).cast("bigint").alias(c) for c in carry]
 
     def units(df: DataFrame) -> DataFrame:
         return (df.withColumn("_sec", floor_div("us", MICROS_PER_SECOND))
                 .withColumn("_day", floor_div("us", MICROS_PER_DAY)))
 
-    ev = units(events.select(*keys, "us", *measures))
-    bnd = units(boundaries.select(*keys, "us"))
-
-    def level(part: list[str], order: str, prefix: str) -> DataFrame:
-        cols = [*part, order]
-        marks = bnd.select(*cols).distinct().select(*cols, *zero, F.lit(True).alias("_b"))
-        pts = (ev.select(*cols, *measures, F.lit(False).alias("_b")).unionByName(marks)
-               .groupBy(*cols).agg(*sums, F.max("_b").alias("_b")))
-        out = [f"{prefix}{m}" for m in measures]
-        return _prefix(pts, part, order, measures, out).filter("_b").select(*cols, *out)
-
-    exact = level([*keys, "_sec"], "us", "_p2_")      # earlier in the same second
-    secs = level([*keys, "_day"], "_sec", "_p1_")     # earlier seconds of the day
-    days = level(keys, "_day", "_p0_")                # earlier days
-    joined = (bnd.join(exact, [*keys, "_sec", "us"])
-              .join(secs, [*keys, "_day", "_sec"])
-              .join(days, [*keys, "_day"]))
-    return joined.select(*keys, "us", *[
-        (F.col(f"_p0_{m}") + F.col(f"_p1_{m}") + F.col(f"_p2_{m}")).alias(f"c_{m}")
-        for m in measures])
+    per_us = units(events.select(*keys, "us", *measures).groupBy(*keys, "us").agg(*sums))
+    marks = units(boundaries.select(*keys, "us").distinct())
+
+    def level(cols: list[str], part: list[str], order: str,
+              carrier: DataFrame | None) -> DataFrame:
+        """Running sums over ``order`` within ``part``, read at the marks."""
+        totals = (per_us.select(*cols, *measures) if order == "us"
+                  else per_us.groupBy(*cols).agg(*sums))
+        rows = (totals.select(*cols, *measures, F.lit(1).alias("_k"), *no_carry)
+                .unionByName(marks.select(*cols).distinct()
+                             .select(*cols, *zero, F.lit(0).alias("_k"), *no_carry)))
+        if carrier is not None:
+            rows = rows.unionByName(carrier)
+        spec = Window.partitionBy(*part) if part else Window.partitionBy()
+        running = (Window.partitionBy(*part) if part else Window).orderBy(order, "_k") \
+            .rowsBetween(Window.unboundedPreceding, -1)
+        values = [(F.coalesce(F.max(c).over(spec), F.lit(0))
+                   + F.coalesce(F.sum(m).over(running), F.lit(0))).alias(c)
+                  for m, c in zip(measures, carry)]
+        return rows.select(*cols, "_k", *values).filter(F.col("_k") == 0).drop("_k")
+
+    def as_carrier(done: DataFrame, cols: list[str]) -> DataFrame:
+        missing = [c for c in cols if c not in done.columns]
+        return done.select(*[F.lit(None).cast("bigint").alias(c) if c in missing else F.col(c)
+                             for c in cols], *zero, F.lit(2).alias("_k"), *carry)
+
+    day_cols = [*keys, "_day"]
+    sec_cols = [*keys, "_day", "_sec"]
+    us_cols = [*keys, "_sec", "us"]
+    days = level(day_cols, keys, "_day", None)                      # earlier days
+    secs = level(sec_cols, [*keys, "_day"], "_sec", as_carrier(days, sec_cols))
+    exact = level(us_cols, [*keys, "_sec"], "us",
+                  as_carrier(secs.drop("_day"), us_cols))
+    return exact.select(*keys, "us", *[F.col(c).alias(f"c_{m}")
+                                       for m, c in zip(measures, carry)])
 
 
 def _bucketed_windows(win: DataFrame, keys: list[str], group_by: Sequence[str],
