@@ -20,17 +20,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linepulse.functions import MICROS_PER_HOUR, epoch_micros, floor_div
+from linepulse.functions import epoch_micros, floor_div
+from linepulse.operators.buckets import auto_bucket_us
 
 
 def containing_lot(events: DataFrame, lots: DataFrame, t: str = "input_time",
                    line: str = "line_id", tie: str | None = "event_id",
-                   bucket_us: int = MICROS_PER_HOUR,
+                   bucket_us: int | None = None,
                    lot_columns: tuple[str, ...] = ()) -> DataFrame:
     """Per distinct (line, instant): the containing lot with the latest
     (start_time, lot_id).  Output: line, ``us``, ``last_tie`` (largest tie
     value at that instant, if ``tie``), ``lot_id``, ``lot_start_us`` and
-    ``lot_columns``; instants with no containing lot are absent."""
+    ``lot_columns``; instants with no containing lot are absent.
+    ``bucket_us``: bucket width (default: from the lots' median length)."""
+    if bucket_us is None:
+        bucket_us = auto_bucket_us(lots)
     if tie:
         pts = (events.select(line, epoch_micros(t).alias("us"), tie)
                .groupBy(line, "us").agg(F.max(tie).alias("last_tie")))

@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linepulse.functions import MICROS_PER_HOUR, epoch_micros, floor_div
+from linepulse.functions import epoch_micros, floor_div
+from linepulse.operators.buckets import auto_bucket_us
 from linepulse.schemas import DEFAULT_LINE_RANGES
 
 
@@ -26,11 +27,14 @@ def _bucketed(df: DataFrame, s: str, e: str, bucket_us: int, prefix: str) -> Dat
 
 def overlap_join(left: DataFrame, right: DataFrame, key: str,
                  left_span: tuple[str, str], right_span: tuple[str, str],
-                 bucket_us: int = MICROS_PER_HOUR) -> DataFrame:
+                 bucket_us: int | None = None) -> DataFrame:
     """Pairs with equal ``key`` and ``l.start < r.end AND l.end > r.start``.
-    Rows with a NULL bound match nothing."""
+    Rows with a NULL bound match nothing.  ``bucket_us``: bucket width
+    (default: from the right side's median interval length)."""
     ls, le = left_span
     rs, re_ = right_span
+    if bucket_us is None:
+        bucket_us = auto_bucket_us(right, rs, re_)
     lb = _bucketed(left.filter(F.col(ls).isNotNull() & F.col(le).isNotNull()), ls, le,
                    bucket_us, "_l")
     rb = _bucketed(right.filter(F.col(rs).isNotNull() & F.col(re_).isNotNull()), rs, re_,
@@ -54,7 +58,7 @@ def line_by_ranges(machine_id: Column, ranges: Sequence[tuple[str, str, str]]
 def line_state_timeline(machine_state: DataFrame, lot: DataFrame,
                         machine: DataFrame | None = None,
                         ranges: Sequence[tuple[str, str, str]] = DEFAULT_LINE_RANGES,
-                        bucket_us: int = MICROS_PER_HOUR) -> DataFrame:
+                        bucket_us: int | None = None) -> DataFrame:
     """K9: machine state intervals clipped to the lot windows of their line.
 
     The machine -> line rule is the hard-coded id ranges by default, or the
