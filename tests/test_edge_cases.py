@@ -171,3 +171,22 @@ def test_epoch_micros_ignores_session_time_zone(spark):
 def test_parse_text_time_function(spark):
     df = spark.createDataFrame([("01/02/2024 03:04:05",)], "s string")
     assert df.select(parse_text_time(F.col("s"))).first()[0] == dt.datetime(2024, 1, 2, 3, 4, 5)
+
+
+def test_refresh_without_output_sensor_keeps_nulls(spark):
+    """Older walk-through inputs (lot A004, rejects on LINE1, good pieces on
+    LINE2, no output sensor): counted quantities land, qty_out stays NULL
+    and the derived quantities stay NULL (NULL-propagating subtraction)."""
+    day = dt.date(2025, 10, 15)
+    lot = lots(spark, [("A004", "LINE1", at(8, day=day), at(12, day=day), 20),
+                       ("A004", "LINE2", at(13, day=day), at(16, day=day), 20)])
+    rejects = [("LINE1", at(h, m, day=day), 1, 0)
+               for h, m in ((8, 30), (9, 30), (10, 0), (10, 20), (11, 15))]
+    goods = [("LINE2", at(13, 0, day=day) + dt.timedelta(minutes=12 * i), 0, 1)
+             for i in range(15)]                     # 13:00 ... 15:48, then 16:00
+    goods[-1] = ("LINE2", at(16, day=day), 0, 1)
+    ev = spark.createDataFrame([(line, t, i, r, g, 0) for i, (line, t, r, g)
+                                in enumerate(rejects + goods)], SENSOR_SCHEMA)
+    got = {r.line_id: (r.qty_out, r.qty_rej, r.qty_good)
+           for r in L.refresh_lots(lot, ev).collect()}
+    assert got == {"LINE1": (None, 5, None), "LINE2": (None, None, 14)}
