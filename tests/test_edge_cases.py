@@ -190,3 +190,17 @@ def test_refresh_without_output_sensor_keeps_nulls(spark):
     got = {r.line_id: (r.qty_out, r.qty_rej, r.qty_good)
            for r in L.refresh_lots(lot, ev).collect()}
     assert got == {"LINE1": (None, 5, None), "LINE2": (None, None, 14)}
+
+
+def test_zero_actual_work_time(spark):
+    """Down all scheduled hours: availability 0, performance and OEE NULL
+    (division by zero gives NULL here; the host database would raise)."""
+    mt = spark.createDataFrame([("M01", "LINE1", D, 0.0, 23.0)], S.MACHINE_TIME)
+    cal = literal_rows(spark, [("2025", "43", 4, 10, dt.date(2025, 10, 20),
+                                dt.date(2025, 10, 27))], S.CALENDAR)
+    q = spark.createDataFrame([("LINE1", D, 1, 10, 0, 10)],
+                              "line_id string, txndate date, qty_in bigint, qty_out bigint, "
+                              "qty_rej bigint, qty_good bigint")
+    cfg = literal_rows(spark, [S.DEFAULT_CONFIG], S.CONFIG)
+    (r,) = O.oee(mt, cal, q, O.work_time(mt, cfg), cfg).collect()
+    assert (r.availability, r.performance, r.quality, r.oee) == (0.0, None, 100.0, None)
