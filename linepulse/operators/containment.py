@@ -7,7 +7,8 @@ one, so this is not a plain as-of join on start time.
 
 Plan: the best lot depends only on (line, instant), so events are first
 collapsed to distinct (line, instant) (partial aggregation absorbs hot
-instants).  Lot windows are cut into fixed time buckets and joined on
+instants).  Lot windows are cut into time buckets (width from the lots'
+median length, see ``operators.buckets``) and joined on
 (line, bucket) -- an equi-join, broadcast or sort-merge as the planner and
 AQE decide -- then the containment is re-checked and the latest start wins.
 Each instant meets only the lots overlapping its own bucket, so the join is
