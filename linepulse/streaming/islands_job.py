@@ -14,9 +14,11 @@ so per micro-batch and per touched machine:
 The result equals batch ``state_islands`` over everything received, in any
 arrival order (a late sample just moves the cut back).
 
-Layout: samples are partitioned by (machine hash bucket, day): a batch reads
-only its touched buckets and the days from the earliest cut on (literal
-partition filters built from at most ``buckets`` ids and one date).  Islands
+Layout: samples are partitioned by machine hash bucket and each batch's files
+are sorted by (machine, time): a batch reads only its touched buckets (a
+literal partition filter of at most ``buckets`` ids), and the earliest cut
+becomes a pushed ``time_input >=`` filter, so parquet statistics skip the
+files of older batches.  Islands
 are partitioned by (bucket, version): a batch writes version ``batch_id`` of
 the buckets it touches from the newest older version, so nothing being read
 is overwritten and a replayed batch rewrites the same partitions.  A
@@ -67,10 +69,9 @@ class IslandsJob:
             return None
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        batch = (batch.withColumn("mbucket", machine_bucket(F.col("machine_id"), self.buckets))
-                 .withColumn("day", F.to_date("time_input")))
-        (batch.repartition("mbucket", "day").sortWithinPartitions("machine_id", "time_input")
-         .write.mode("append").partitionBy("mbucket", "day").parquet(self.samples_path))
+        batch = batch.withColumn("mbucket", machine_bucket(F.col("machine_id"), self.buckets))
+        (batch.repartition("mbucket").sortWithinPartitions("machine_id", "time_input")
+         .write.mode("append").partitionBy("mbucket").parquet(self.samples_path))
         touched = batch.groupBy("mbucket", "machine_id").agg(
             F.min(F.struct("time_input", "event_id")).alias("_new"))
         ids = [r[0] for r in touched.select("mbucket").distinct().collect()]
@@ -91,12 +92,11 @@ class IslandsJob:
                 "struct<start_time:timestamp_ntz,first_tie:bigint>"))
         cuts = cuts.select("mbucket", "machine_id", F.col("_cut.start_time").alias("_cut_t"),
                            F.col("_cut.first_tie").alias("_cut_tie"))
-        lo_day, uncut = cuts.agg(F.min(F.to_date("_cut_t")),
-                                 F.count_if(F.col("_cut_t").isNull())).first()
-        in_days = in_buckets if uncut or lo_day is None else (
-            in_buckets & (F.col("day") >= ntz_literal(lo_day)))
+        lo, uncut = cuts.agg(F.min("_cut_t"), F.count_if(F.col("_cut_t").isNull())).first()
+        since = in_buckets if uncut or lo is None else (
+            in_buckets & (F.col("time_input") >= ntz_literal(lo)))
         stored = (self.spark.read.parquet(self.samples_path)
-                  .filter(in_days)
+                  .filter(since)
                   .join(cuts, ["mbucket", "machine_id"])
                   .filter(_at_or_after(F.col("time_input"), F.col("event_id"),
                                        F.col("_cut_t"), F.col("_cut_tie")))
