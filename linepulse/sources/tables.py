@@ -11,17 +11,23 @@ from pyspark.sql import types as T
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
                columns: Sequence[str] | None = None) -> DataFrame:
-    """Parquet scan; with ``schema`` the required columns are checked and cast.
+    """Parquet scan; with ``schema`` the columns are checked and cast.
 
-    Only the named columns are selected, so column pruning reaches the scan.
+    Non-nullable schema columns must exist; a missing nullable column reads
+    as NULL (exports made with the older table definitions lack e.g.
+    ``qty_good`` and ``throughput``).  Only the named columns are selected,
+    so column pruning reaches the scan.
     """
     df = spark.read.parquet(path)
     if schema is None:
         return df.select(*columns) if columns else df
     missing = [f.name for f in schema.fields if f.name not in df.columns]
-    if missing:
-        raise ValueError(f"{path}: missing columns {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    required = [f.name for f in schema.fields if f.name in missing and not f.nullable]
+    if required:
+        raise ValueError(f"{path}: missing columns {required}")
+    return df.select(*[
+        (F.lit(None) if f.name in missing else F.col(f.name)).cast(f.dataType).alias(f.name)
+        for f in schema.fields])
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,

@@ -204,3 +204,17 @@ def test_zero_actual_work_time(spark):
     cfg = literal_rows(spark, [S.DEFAULT_CONFIG], S.CONFIG)
     (r,) = O.oee(mt, cal, q, O.work_time(mt, cfg), cfg).collect()
     assert (r.availability, r.performance, r.quality, r.oee) == (0.0, None, 100.0, None)
+
+
+def test_read_table_fills_missing_nullable_columns(spark, tmp_path):
+    from linepulse.sources.tables import read_table
+
+    old = spark.createDataFrame([("A001", "LINE2", at(8), at(10), 100, None, 1)],
+                                "lot_id string, line_id string, start_time timestamp_ntz, "
+                                "end_time timestamp_ntz, qty_in bigint, qty_out bigint, "
+                                "qty_rej bigint")
+    old.write.parquet(str(tmp_path / "lot.parquet"))
+    (r,) = read_table(spark, str(tmp_path / "lot.parquet"), S.LOT).collect()
+    assert (r.qty_rej, r.qty_good, r.throughput) == (1, None, None)
+    with pytest.raises(ValueError):
+        read_table(spark, str(tmp_path / "lot.parquet"), S.MACHINE)
