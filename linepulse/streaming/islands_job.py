@@ -1,29 +1,31 @@
-"""Continuous island maintenance, incremental.
+"""Continuous island maintenance, incremental, append-mostly.
 
 The source rebuilds every touched machine from its whole history on each
-insert.  The result only changes from the point where the new samples land,
-so per micro-batch and per touched machine:
-
-* ``cut`` = the first sample (time, tie) of the machine's last stored island
-  that starts before the batch's earliest sample (no such island: the
-  machine's first sample);
-* islands before the cut cannot change (the run before the cut is closed by
-  a sample that is not new), so only samples at or after the cut are
-  re-islanded, and the machine's stored islands from the cut on are replaced.
-
-The result equals batch ``state_islands`` over everything received, in any
-arrival order (a late sample just moves the cut back).
-
-Layout: samples are partitioned by machine hash bucket and each batch's files
-are sorted by (machine, time): a batch reads only its touched buckets (a
-literal partition filter of at most ``buckets`` ids), and the earliest cut
-becomes a pushed ``time_input >=`` filter, so parquet statistics skip the
-files of older batches.  Islands
-are partitioned by (bucket, version): a batch writes version ``batch_id`` of
-the buckets it touches from the newest older version, so nothing being read
-is overwritten and a replayed batch rewrites the same partitions.  A
-replayed batch appends its samples again; duplicate samples do not change
-any run, so the islands stay the same.
+insert.  The result only changes from the point where new samples land:
+for a touched machine the **cut** is the first sample (time, tie) of its
+last island that starts before the batch's earliest sample; islands before
+the cut cannot change, so only samples from the cut on are re-islanded.
+
+Storage (all under one folder, partitioned by machine hash bucket and the
+batch id that wrote the rows):
+
+* ``samples``  -- every sample, appended (a replay appends duplicates, which
+  change no run);
+* ``closed``   -- finished islands, append-only;
+* ``tails``    -- per machine, the islands from its last cut on, written by
+  the batch that touched the machine; the newest tail is the current one;
+* ``void``     -- rare: (machine, from key) records written when a late
+  sample lands before a machine's tail; they cancel that machine's closed
+  islands from the key on that were written by earlier batches.
+
+Per batch, a machine whose new samples come after its tail's first island
+(the in-order case) only rebuilds its tail: tail islands before the new cut
+move to ``closed``.  Writes are proportional to the batch and the touched
+machines' tails, never to the table.  A late machine also reads its closed
+islands to find the cut.  Each batch reads only what earlier batches wrote,
+so a replayed batch recomputes and overwrites exactly its own partitions.
+Current islands = closed minus voided, plus each machine's newest tail;
+equal to batch ``state_islands`` over everything received, in any order.
 """
 
 from __future__ import annotations
@@ -39,19 +41,35 @@ DEFAULT_BUCKETS = 16
 ISLAND_COLUMNS = ["machine_id", "state", "start_time", "end_time"]
 
 
+def _key() -> Column:
+    """Order of islands: first sample (time, tie)."""
+    return F.struct("start_time", "first_tie")
+
+
 def machine_bucket(machine_id: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(machine_id), F.lit(buckets)).cast("int")
 
 
-def current_versions(df: DataFrame) -> DataFrame:
-    """Rows of the newest version of each bucket."""
-    newest = df.groupBy("mbucket").agg(F.max("version").alias("version"))
-    return df.join(newest, ["mbucket", "version"], "left_semi")
+def _write(df: DataFrame, path: str, batch_id: int, mode: str = "overwrite") -> None:
+    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy("mbucket", "batch_id").parquet(path))
+
 
+def _newest_per_machine(tails: DataFrame) -> DataFrame:
+    newest = tails.groupBy("machine_id").agg(F.max("batch_id").alias("batch_id"))
+    return tails.join(newest, ["machine_id", "batch_id"], "left_semi")
 
-def _at_or_after(t: Column, tie: Column, cut_t: Column, cut_tie: Column) -> Column:
-    """(t, tie) >= (cut_t, cut_tie); a NULL cut means from the beginning."""
-    return cut_t.isNull() | (t > cut_t) | ((t == cut_t) & (tie >= cut_tie))
+
+def _not_voided(closed: DataFrame, void: DataFrame | None) -> DataFrame:
+    if void is None:
+        return closed
+    v = void.select("machine_id", F.col("batch_id").alias("_vb"), "from_start", "from_tie")
+    cancels = ((closed["machine_id"] == v["machine_id"]) & (v["_vb"] > closed["batch_id"])
+               & (v["from_start"].isNull()
+                  | (F.struct(closed["start_time"], closed["first_tie"])
+                     >= F.struct(v["from_start"], v["from_tie"]))))
+    return closed.join(v, cancels, "left_anti")
 
 
 class IslandsJob:
@@ -60,16 +78,33 @@ class IslandsJob:
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.samples_path = f"{self.root}/samples"
-        self.islands_path = f"{self.root}/islands"
+        self.closed_path = f"{self.root}/closed"
+        self.tails_path = f"{self.root}/tails"
+        self.void_path = f"{self.root}/void"
 
-    def _read(self, path: str) -> DataFrame | None:
+    def _read(self, path: str, before: int | None = None,
+              buckets: list[int] | None = None) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(path)
+            df = self.spark.read.parquet(path)
         except AnalysisException:
             return None
+        if before is not None:
+            df = df.filter(F.col("batch_id") < before)
+        if buckets is not None:
+            df = df.filter(F.col("mbucket").isin(buckets))
+        return df
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
+        # several actions read the micro-batch: keep it (bounded by the trigger)
         batch = batch.withColumn("mbucket", machine_bucket(F.col("machine_id"), self.buckets))
+        batch.persist()
+        try:
+            self._handle(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _handle(self, batch: DataFrame, batch_id: int) -> None:
+        b = batch_id
         (batch.repartition("mbucket").sortWithinPartitions("machine_id", "time_input")
          .write.mode("append").partitionBy("mbucket").parquet(self.samples_path))
         touched = batch.groupBy("mbucket", "machine_id").agg(
@@ -77,54 +112,80 @@ class IslandsJob:
         ids = [r[0] for r in touched.select("mbucket").distinct().collect()]
         if not ids:
             return
-        in_buckets = F.col("mbucket").isin(ids)
-        old = self._read(self.islands_path)
-        if old is not None:
-            old = current_versions(old.filter(in_buckets & (F.col("version") < batch_id)))
-            old = old.drop("version")
-            before = (old.join(touched, ["mbucket", "machine_id"])
-                      .filter(F.struct("start_time", "first_tie") < F.col("_new"))
-                      .groupBy("mbucket", "machine_id")
-                      .agg(F.max(F.struct("start_time", "first_tie")).alias("_cut")))
-            cuts = touched.join(before, ["mbucket", "machine_id"], "left")
+        on = ["mbucket", "machine_id"]
+
+        # current tails of the touched machines (state written before this batch)
+        tails = self._read(self.tails_path, before=b, buckets=ids)
+        if tails is not None:
+            tails = _newest_per_machine(tails).drop("batch_id").join(touched, on)
+        state = touched
+        if tails is not None:
+            first = tails.groupBy(*on).agg(F.min(_key()).alias("_tail_from"))
+            cut_in_tail = (tails.filter(_key() < F.col("_new")).groupBy(*on)
+                           .agg(F.max(_key()).alias("_cut_tail")))
+            state = state.join(first, on, "left").join(cut_in_tail, on, "left")
+        else:
+            state = (state.withColumn("_tail_from", F.lit(None).cast(
+                "struct<start_time:timestamp_ntz,first_tie:bigint>"))
+                .withColumn("_cut_tail", F.col("_tail_from")))
+        in_order = F.col("_tail_from").isNotNull() & (F.col("_tail_from") < F.col("_new"))
+        state = state.withColumn("_late", ~in_order)
+
+        # late machines: find the cut among their valid closed islands
+        late = state.filter("_late").select(*on, "_new")
+        closed = self._read(self.closed_path, before=b, buckets=ids)
+        if closed is not None:
+            valid = _not_voided(closed.join(late.select(*on), on, "left_semi"),
+                                self._read(self.void_path, before=b, buckets=ids))
+            cut_closed = (valid.join(late, on).filter(_key() < F.col("_new")).groupBy(*on)
+                          .agg(F.max(_key()).alias("_cut_closed")))
+            state = state.join(cut_closed, on, "left")
         else:
-            cuts = touched.withColumn("_cut", F.lit(None).cast(
+            state = state.withColumn("_cut_closed", F.lit(None).cast(
                 "struct<start_time:timestamp_ntz,first_tie:bigint>"))
-        cuts = cuts.select("mbucket", "machine_id", F.col("_cut.start_time").alias("_cut_t"),
-                           F.col("_cut.first_tie").alias("_cut_tie"))
+        state = state.withColumn(
+            "_cut", F.when(F.col("_late"), F.col("_cut_closed")).otherwise(F.col("_cut_tail")))
+        cuts = state.select(*on, "_late", F.col("_cut.start_time").alias("_cut_t"),
+                            F.col("_cut.first_tie").alias("_cut_tie"))
+
+        # re-island from the cut
         lo, uncut = cuts.agg(F.min("_cut_t"), F.count_if(F.col("_cut_t").isNull())).first()
-        since = in_buckets if uncut or lo is None else (
-            in_buckets & (F.col("time_input") >= ntz_literal(lo)))
-        stored = (self.spark.read.parquet(self.samples_path)
-                  .filter(since)
-                  .join(cuts, ["mbucket", "machine_id"])
-                  .filter(_at_or_after(F.col("time_input"), F.col("event_id"),
-                                       F.col("_cut_t"), F.col("_cut_tie")))
-                  .select("machine_id", "state", "time_input", "event_id"))
-        rebuilt = state_islands(stored, with_first_tie=True).withColumn(
+        since = F.col("mbucket").isin(ids)
+        if not uncut and lo is not None:
+            since = since & (F.col("time_input") >= ntz_literal(lo))
+        after_cut = (F.col("_cut_t").isNull() | (F.col("time_input") > F.col("_cut_t"))
+                     | ((F.col("time_input") == F.col("_cut_t"))
+                        & (F.col("event_id") >= F.col("_cut_tie"))))
+        samples = (self.spark.read.parquet(self.samples_path).filter(since)
+                   .join(cuts, on).filter(after_cut)
+                   .select("machine_id", "state", "time_input", "event_id"))
+        rebuilt = state_islands(samples, with_first_tie=True).withColumn(
             "mbucket", machine_bucket(F.col("machine_id"), self.buckets))
-        if old is not None:
-            kept = self._kept(old, cuts)
-            rebuilt = kept.unionByName(rebuilt)
-        # islands are few per machine: cluster them by bucket, one file each
-        (rebuilt.withColumn("version", F.lit(batch_id).cast("bigint")).repartition("mbucket")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("mbucket", "version").parquet(self.islands_path))
-
-    @staticmethod
-    def _kept(old: DataFrame, cuts: DataFrame) -> DataFrame:
-        """Stored islands that stay: untouched machines, and touched
-        machines' islands starting before their cut."""
-        j = old.join(cuts.withColumn("_touched", F.lit(True)), ["mbucket", "machine_id"], "left")
-        replaced = F.col("_touched").isNotNull() & _at_or_after(
-            F.col("start_time"), F.col("first_tie"), F.col("_cut_t"), F.col("_cut_tie"))
-        return j.filter(~replaced).select(*old.columns)
+
+        # in-order machines: tail islands before the cut become closed
+        if tails is not None:
+            frozen = (tails.join(cuts.filter(~F.col("_late")), on)
+                      .filter(F.struct("start_time", "first_tie")
+                              < F.struct("_cut_t", "_cut_tie"))
+                      .select(*ISLAND_COLUMNS, "first_tie", "mbucket"))
+            _write(frozen, self.closed_path, b)
+        # late machines: cancel their closed islands from the cut on
+        void = cuts.filter("_late").select(
+            *on, F.col("_cut_t").alias("from_start"), F.col("_cut_tie").alias("from_tie"))
+        _write(void, self.void_path, b)
+        _write(rebuilt.select(*ISLAND_COLUMNS, "first_tie", "mbucket").repartition("mbucket"),
+               self.tails_path, b)
 
     def read(self) -> DataFrame:
-        df = self._read(self.islands_path)
-        if df is None:
-            raise FileNotFoundError(self.islands_path)
-        return current_versions(df).select(*ISLAND_COLUMNS)
+        tails = self._read(self.tails_path)
+        if tails is None:
+            raise FileNotFoundError(self.tails_path)
+        current = _newest_per_machine(tails).select(*ISLAND_COLUMNS)
+        closed = self._read(self.closed_path)
+        if closed is not None:
+            valid = _not_voided(closed, self._read(self.void_path))
+            current = valid.select(*ISLAND_COLUMNS).unionByName(current)
+        return current
 
     def run(self, samples_stream: DataFrame, checkpoint: str) -> DataFrame:
         q = (samples_stream.writeStream.foreachBatch(self.handle)

@@ -107,6 +107,14 @@ class SensorJob:
                           & (F.col("end_time").isNull() | (F.col("end_time") >= lo)))
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
+        # several actions read the micro-batch: keep it (bounded by the trigger)
+        batch.persist()
+        try:
+            self._handle(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _handle(self, batch: DataFrame, batch_id: int) -> None:
         lots = self.lots_for(batch)
         # rows of an id far from the batch would add 0 to this batch's count
         deltas = L.sensor_counts(lots, batch)
