@@ -36,6 +36,7 @@ from pyspark.sql.utils import AnalysisException
 
 from linepulse.functions import ntz_literal
 from linepulse.operators.islands import state_islands
+from linepulse.sources.versioned import VersionedTable
 
 DEFAULT_BUCKETS = 16
 ISLAND_COLUMNS = ["machine_id", "state", "start_time", "end_time"]
@@ -73,14 +74,40 @@ def _not_voided(closed: DataFrame, void: DataFrame | None) -> DataFrame:
 
 
 class IslandsJob:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS):
+    """``compact_every``: every N batches the newest tail of every machine is
+    written as a new version of ``tails_base``; reads take that base plus the
+    tails written after it, so finding a machine's tail does not scan every
+    tail the stream ever wrote."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS,
+                 compact_every: int = 50):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self.compact_every = compact_every
         self.samples_path = f"{self.root}/samples"
         self.closed_path = f"{self.root}/closed"
         self.tails_path = f"{self.root}/tails"
         self.void_path = f"{self.root}/void"
+        self.tails_base = VersionedTable(spark, f"{self.root}/tails_base")
+
+    def _tails(self, before: int | None = None, buckets: list[int] | None = None,
+               base_before: int | None = None) -> DataFrame | None:
+        """Newest tail per machine from state written before ``before``,
+        starting from a base version below ``base_before`` (default
+        ``before``)."""
+        limit = before if base_before is None else base_before
+        v = (self.tails_base.latest_version() if limit is None
+             else self.tails_base.latest_before(limit))
+        rows = self._read(self.tails_path, before=before, buckets=buckets)
+        if rows is not None and v is not None:
+            rows = rows.filter(F.col("batch_id") > v)
+        if v is not None:
+            base = self.tails_base.read(v)
+            if buckets is not None:
+                base = base.filter(F.col("mbucket").isin(buckets))
+            rows = base if rows is None else base.unionByName(rows)
+        return None if rows is None else _newest_per_machine(rows)
 
     def _read(self, path: str, before: int | None = None,
               buckets: list[int] | None = None) -> DataFrame | None:
@@ -115,9 +142,9 @@ class IslandsJob:
         on = ["mbucket", "machine_id"]
 
         # current tails of the touched machines (state written before this batch)
-        tails = self._read(self.tails_path, before=b, buckets=ids)
+        tails = self._tails(before=b, buckets=ids)
         if tails is not None:
-            tails = _newest_per_machine(tails).drop("batch_id").join(touched, on)
+            tails = tails.drop("batch_id").join(touched, on)
         state = touched
         if tails is not None:
             first = tails.groupBy(*on).agg(F.min(_key()).alias("_tail_from"))
@@ -175,12 +202,15 @@ class IslandsJob:
         _write(void, self.void_path, b)
         _write(rebuilt.select(*ISLAND_COLUMNS, "first_tie", "mbucket").repartition("mbucket"),
                self.tails_path, b)
+        if self.compact_every and b % self.compact_every == self.compact_every - 1:
+            # never read the base version being written (a replayed batch)
+            self.tails_base.write(self._tails(before=b + 1, base_before=b), version=b)
 
     def read(self) -> DataFrame:
-        tails = self._read(self.tails_path)
+        tails = self._tails()
         if tails is None:
             raise FileNotFoundError(self.tails_path)
-        current = _newest_per_machine(tails).select(*ISLAND_COLUMNS)
+        current = tails.select(*ISLAND_COLUMNS)
         closed = self._read(self.closed_path)
         if closed is not None:
             valid = _not_voided(closed, self._read(self.void_path))

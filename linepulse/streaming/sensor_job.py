@@ -54,10 +54,12 @@ class SensorJob:
         self.today = VersionedTable(spark, f"{self.root}/today_oee")
 
     # ---- reads of the current state -------------------------------------
-    def _since_base(self, path: str, base: VersionedTable,
-                    upto: int | None = None) -> tuple[DataFrame, DataFrame | None]:
-        """Stored batches after the newest base (and up to ``upto``), and that base."""
-        v = base.latest_version() if upto is None else base.latest_before(upto + 1)
+    def _since_base(self, path: str, base: VersionedTable, upto: int | None = None,
+                    base_below: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+        """Stored batches after the newest base (and up to ``upto``), and that
+        base; ``base_below`` excludes base versions from that one on."""
+        limit = (upto + 1 if upto is not None else None) if base_below is None else base_below
+        v = base.latest_version() if limit is None else base.latest_before(limit)
         rows = self.spark.read.parquet(path)
         if v is not None:
             rows = rows.filter(F.col("batch_id") > v)
@@ -65,14 +67,14 @@ class SensorJob:
             rows = rows.filter(F.col("batch_id") <= upto)
         return rows.drop("batch_id"), (None if v is None else base.read(v))
 
-    def counters(self, upto: int | None = None) -> DataFrame:
-        rows, base = self._since_base(self.deltas_path, self.count_base, upto)
+    def counters(self, upto: int | None = None, base_below: int | None = None) -> DataFrame:
+        rows, base = self._since_base(self.deltas_path, self.count_base, upto, base_below)
         if base is not None:
             rows = rows.unionByName(base)
         return rows.groupBy("lot_id").agg(*[F.sum(m).alias(m) for m in L.SENSOR_MEASURES])
 
-    def _last_hits(self, upto: int | None = None) -> DataFrame:
-        rows, base = self._since_base(self.hits_path, self.hits_base, upto)
+    def _last_hits(self, upto: int | None = None, base_below: int | None = None) -> DataFrame:
+        rows, base = self._since_base(self.hits_path, self.hits_base, upto, base_below)
         if base is not None:
             rows = rows.unionByName(base)
         last = rows.groupBy("lot_id").agg(
@@ -81,9 +83,12 @@ class SensorJob:
         return last.select("lot_id", "_h.us", "_h.last_tie", "_h.lot_start_us", "_h.line_id")
 
     def compact(self, batch_id: int) -> None:
-        """Fold everything up to ``batch_id`` into new base versions."""
-        self.count_base.write(self.counters(upto=batch_id), version=batch_id)
-        self.hits_base.write(self._last_hits(upto=batch_id), version=batch_id)
+        """Fold everything up to ``batch_id`` into new base versions (read
+        from an older base: never the version being written)."""
+        self.count_base.write(self.counters(upto=batch_id, base_below=batch_id),
+                              version=batch_id)
+        self.hits_base.write(self._last_hits(upto=batch_id, base_below=batch_id),
+                             version=batch_id)
 
     def lots(self) -> DataFrame:
         p = self.plant
