@@ -6,6 +6,11 @@ defines (``v_machine_time``, ``v_quality``, ``v_quality_lot``,
 ``machine_time`` and ``oee`` tables, so its ad-hoc SQL runs unchanged
 through ``spark.sql``.  Each view is the operator's lazy DataFrame;
 Catalyst inlines it into the query that reads it.
+
+``v_oee`` and ``t_oee`` hold the distinct OEE rows, which is what every
+reader of the source's view takes (``SELECT DISTINCT``): the view's own
+per-machine fan-out grows quadratically with machines per line-day, so it
+is exposed as ``v_oee_rows`` (each distinct row with ``n_rows``) instead.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ def register_views(p: Plant, tables: ReportTables | None = None,
     lot = tables.lot if tables else p.lot
     snap = tables.machine_time if tables else mt_view
     inputs = oee_inputs(p, ReportTables(machine_time=snap, lot=lot))
-    rows = O.oee_rows(*inputs)
+    distinct = O.oee(*inputs)
     views = {
         "machine": p.machine, "machine_state": p.machine_state, "lot": lot,
         "calendar": p.calendar, "config": p.config, "machine_time": snap,
@@ -39,9 +44,10 @@ def register_views(p: Plant, tables: ReportTables | None = None,
         "v_quality_lot": L.lot_quality(lot, p.policy),
         "v_work_time": O.work_time(snap, p.config),
         "v_line_state": line_state_timeline(p.machine_state, lot),
-        "v_oee": rows,
-        "t_oee": O.today_oee(rows, as_of),
-        "oee": O.oee(*inputs),
+        "v_oee": distinct,
+        "v_oee_rows": O.oee_counted(*inputs),
+        "t_oee": O.today_oee(distinct, as_of),
+        "oee": distinct,
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
