@@ -112,6 +112,14 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     return out.select(*cols)
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Equi-join on ``cols`` where NULL matches NULL (as PARTITION BY groups)."""
+    r = right.select(*[F.col(c).alias(f"_r{c}") if c in cols else F.col(c)
+                       for c in right.columns])
+    cond = [left[c].eqNullSafe(r[f"_r{c}"]) for c in cols]
+    return left.join(r, cond).drop(*[f"_r{c}" for c in cols])
+
+
 def row_numbers(df: DataFrame, partition: Sequence[str], ts: str, tie: str,
                 name: str = "rn") -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY ts, tie)``
@@ -128,8 +136,8 @@ def row_numbers(df: DataFrame, partition: Sequence[str], ts: str, tie: str,
     days = secs.groupBy(*part, "_day").agg(F.sum("_c").alias("_c"))
     wd = Window.partitionBy(*part).orderBy("_day").rowsBetween(*_BEFORE)
     days = days.withColumn("_pd", F.coalesce(F.sum("_c").over(wd), F.lit(0)))
-    out = (base.join(secs.select(*part, "_sec", "_ps"), [*part, "_sec"])
-           .join(days.select(*part, "_day", "_pd"), [*part, "_day"]))
+    out = _join_null_safe(base, secs.select(*part, "_sec", "_ps"), [*part, "_sec"])
+    out = _join_null_safe(out, days.select(*part, "_day", "_pd"), [*part, "_day"])
     out = out.withColumn(name, F.col("_pd") + F.col("_ps") + F.col("_local"))
     return out.drop("_us", "_sec", "_day", "_local", "_ps", "_pd")
 
