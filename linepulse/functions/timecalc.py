@@ -45,14 +45,16 @@ def from_epoch_micros(us: Column | str) -> Column:
     return F.timestamp_add("MICROSECOND", _c(us), F.expr(_EPOCH))
 
 
-def floor_div(value: Column | str, divisor: int) -> Column:
-    """Floor division of a BIGINT by a positive constant (also below zero).
+def floor_div(value: Column | str, divisor: int | Column) -> Column:
+    """Floor division of a BIGINT by a positive divisor (also below zero).
 
     The dividend is first made an exact multiple, so the division is exact
     for magnitudes below 2^53 (epoch microseconds up to the year 2255).
+    ``divisor`` may be a column (e.g. a scalar subquery).
     """
     v = _c(value)
-    return ((v - F.pmod(v, F.lit(divisor))) / F.lit(divisor)).cast("bigint")
+    d = divisor if isinstance(divisor, Column) else F.lit(divisor)
+    return ((v - F.pmod(v, d)) / d).cast("bigint")
 
 
 def hours_from_micros(us: Column | str) -> Column:

@@ -18,7 +18,7 @@ line's last event.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linepulse.functions import epoch_micros, floor_div
@@ -27,7 +27,7 @@ from linepulse.operators.buckets import auto_bucket_us
 
 def containing_lot(events: DataFrame, lots: DataFrame, t: str = "input_time",
                    line: str = "line_id", tie: str | None = "event_id",
-                   bucket_us: int | None = None,
+                   bucket_us: int | Column | None = None,
                    lot_columns: tuple[str, ...] = ()) -> DataFrame:
     """Per distinct (line, instant): the containing lot with the latest
     (start_time, lot_id).  Output: line, ``us``, ``last_tie`` (largest tie

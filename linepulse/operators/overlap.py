@@ -27,7 +27,7 @@ def _bucketed(df: DataFrame, s: str, e: str, bucket_us: int, prefix: str) -> Dat
 
 def overlap_join(left: DataFrame, right: DataFrame, key: str,
                  left_span: tuple[str, str], right_span: tuple[str, str],
-                 bucket_us: int | None = None) -> DataFrame:
+                 bucket_us: int | Column | None = None) -> DataFrame:
     """Pairs with equal ``key`` and ``l.start < r.end AND l.end > r.start``.
     Rows with a NULL bound match nothing.  ``bucket_us``: bucket width
     (default: from the right side's median interval length)."""
@@ -58,7 +58,7 @@ def line_by_ranges(machine_id: Column, ranges: Sequence[tuple[str, str, str]]
 def line_state_timeline(machine_state: DataFrame, lot: DataFrame,
                         machine: DataFrame | None = None,
                         ranges: Sequence[tuple[str, str, str]] = DEFAULT_LINE_RANGES,
-                        bucket_us: int | None = None) -> DataFrame:
+                        bucket_us: int | Column | None = None) -> DataFrame:
     """K9: machine state intervals clipped to the lot windows of their line.
 
     The machine -> line rule is the hard-coded id ranges by default, or the
