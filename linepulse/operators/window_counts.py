@@ -124,15 +124,13 @@ def _bucketed_windows(win: DataFrame, keys: list[str], group_by: Sequence[str],
 def broadcast_bound_holds(bucketed: DataFrame, keys: Sequence[str],
                           max_rows: int = MAX_BROADCAST_ROWS,
                           max_candidates: int = MAX_CANDIDATES) -> bool:
-    """Checks on the window side only.  First ``limit(max_rows + 1).count()``,
-    which stops reading once the bound is exceeded (a large window table is
-    not scanned in full); only a side proven small is then grouped to find
-    the largest number of windows sharing a (key, bucket)."""
-    if bucketed.limit(max_rows + 1).count() > max_rows:
-        return False
-    peak = (bucketed.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_c"))
-            .agg(F.max("_c")).first()[0])
-    return (peak or 0) <= max_candidates
+    """One job on the window side only (its key and time columns, with
+    map-side partial counts): the number of bucket rows and the largest
+    number of windows sharing a (key, bucket).  It never reads the events."""
+    stats = (bucketed.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_c"))
+             .agg(F.sum("_c").alias("rows"), F.max("_c").alias("peak")).first())
+    rows, peak = stats["rows"] or 0, stats["peak"] or 0
+    return rows <= max_rows and peak <= max_candidates
 
 
 def window_counts(events: DataFrame, time_col: str, windows: DataFrame,
