@@ -72,20 +72,22 @@ def lot_summary(quality: DataFrame, lot_id: str | None = None) -> DataFrame:
             .orderBy("lot_id"))
 
 
-def sensor_counts(lot: DataFrame, sensor_events: DataFrame, match_line: bool = False) -> DataFrame:
+def sensor_counts(lot: DataFrame, sensor_events: DataFrame, match_line: bool = False,
+                  strategy: str = "auto") -> DataFrame:
     """Per lot id, events of each sensor inside ``[start_time, end_time)``.
 
     ``sensor_events``: (line_id, input_time, is_reject, is_good, is_output).
     Faithful default: the line is not compared and windows sharing a lot id
     pool their counts (an event inside two such windows counts twice).
     ``match_line=True`` compares lines and counts per (lot_id, line_id).
+    ``strategy``: see ``window_counts`` ('auto', 'broadcast', 'prefix').
     """
     measures = {"reject_count": F.col("is_reject"), "good_count": F.col("is_good"),
                 "output_count": F.col("is_output")}
     keys = ["line_id"] if match_line else []
     group = ["lot_id", "line_id"] if match_line else ["lot_id"]
     return window_counts(sensor_events, "input_time", lot, measures, keys=keys,
-                         group_by=group)
+                         group_by=group, strategy=strategy)
 
 
 def tag_sensors(ss_reject: DataFrame | None = None, ss_good: DataFrame | None = None,

@@ -113,8 +113,9 @@ def counts_before(events: DataFrame, boundaries: DataFrame, keys: Sequence[str],
                                        for m, c in zip(measures, carry)])
 
 
-def _bucketed_windows(win: DataFrame, keys: list[str], group_by: Sequence[str],
-                      bucket_us: int) -> DataFrame:
+def bucketed_windows(win: DataFrame, keys: list[str], group_by: Sequence[str],
+                     bucket_us: int) -> DataFrame:
+    """Windows (``_s``, ``_e`` epoch micros) cut into the buckets they touch."""
     first = floor_div("_s", bucket_us)
     last = floor_div(F.col("_e") - 1, bucket_us)          # end is exclusive
     return win.select(*group_by, *[k for k in keys if k not in group_by], "_s", "_e",
@@ -158,7 +159,7 @@ def window_counts(events: DataFrame, time_col: str, windows: DataFrame,
     if strategy not in ("auto", "broadcast", "prefix"):
         raise ValueError(strategy)
     if strategy != "prefix":
-        bucketed = _bucketed_windows(win, keys, group_by, bucket_us)
+        bucketed = bucketed_windows(win, keys, group_by, bucket_us)
         if strategy == "broadcast" or broadcast_bound_holds(bucketed, keys):
             return _broadcast_counts(ev, win, bucketed, keys, group_by, names, bucket_us)
     return _prefix_counts(ev, win, keys, group_by, names)

@@ -19,11 +19,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.functions import ntz_literal
+from linepulse.functions import MICROS_PER_HOUR, epoch_micros, ntz_literal
 from linepulse.operators import containment as C
 from linepulse.operators import lots as L
 from linepulse.plans.plant import Plant
 from linepulse.plans.report import today_report
+from linepulse.operators.window_counts import bucketed_windows, broadcast_bound_holds
 from linepulse.sources.versioned import VersionedTable
 
 
@@ -52,6 +53,18 @@ class SensorJob:
         self.count_base = VersionedTable(spark, f"{self.root}/count_base")
         self.hits_base = VersionedTable(spark, f"{self.root}/hits_base")
         self.today = VersionedTable(spark, f"{self.root}/today_oee")
+        self._strategy: str | None = None
+
+    def strategy(self) -> str:
+        """Range-count plan, decided once on the whole (static) lot table: if
+        it meets the broadcast bound, so does every batch's subset of it."""
+        if self._strategy is None:
+            win = self.plant.lot.select(
+                epoch_micros("start_time").alias("_s"), epoch_micros("end_time").alias("_e"))
+            win = win.filter(F.col("_e") > F.col("_s"))
+            bucketed = bucketed_windows(win, [], [], MICROS_PER_HOUR)
+            self._strategy = "broadcast" if broadcast_bound_holds(bucketed, []) else "prefix"
+        return self._strategy
 
     # ---- reads of the current state -------------------------------------
     def _since_base(self, path: str, base: VersionedTable, upto: int | None = None,
@@ -122,7 +135,7 @@ class SensorJob:
     def _handle(self, batch: DataFrame, batch_id: int) -> None:
         lots = self.lots_for(batch)
         # rows of an id far from the batch would add 0 to this batch's count
-        deltas = L.sensor_counts(lots, batch)
+        deltas = L.sensor_counts(lots, batch, strategy=self.strategy())
         _overwrite_batch(deltas, self.deltas_path, batch_id)                  # I2
         hits = C.last_hits(batch, lots)
         _overwrite_batch(hits, self.hits_path, batch_id)                      # I3
