@@ -5,16 +5,19 @@ and over (machine, state)) and groups by the difference.  A window over a
 whole machine sends all its samples to one task, so here every window is
 bounded by the calendar instead:
 
-1. per (machine, second): runs of equal state in (time, tie) order become
-   local islands ``j = 1..n`` (one window per machine-second);
-2. per (machine, day) over its seconds: a second's first island merges with
-   the previous second's last one when the states are equal; positions are
-   prefix sums of ``n - merged`` (at most 86,400 rows per window);
-3. per machine over its days: the same step one level up (one row per day).
-
-Island number within the machine = day position + second position + j,
-minus the merge flags; a final group-by on (machine, island) yields
-intervals.  Only the per-second windows see raw samples.
+1. per (machine, instant, block of tie values): runs of equal state in tie
+   order become local islands ``j = 1..n``; only these windows see raw
+   samples, and each holds at most one block of tie values;
+2. then, level by level (blocks within an instant, instants within a
+   second, seconds within a day, days within the machine), a segment's first
+   island merges with the previous segment's last one when the states are
+   equal, and positions are prefix sums of ``n - merged``; each window holds
+   one calendar unit of summaries (at most 10^6 instants a second, 86,400
+   seconds a day, one row per day).
+
+Island number within the machine = the sum of the positions at every level
++ j, minus the merge flags; a final group-by on (machine, island) yields
+intervals.
 
 Interval semantics as in the source: an island starts at its first sample
 and ends at its **last** sample (not at the next island's start).
@@ -53,9 +56,22 @@ def _level(summary: DataFrame, part: Sequence[str], order: str) -> DataFrame:
                                              F.lit(0)))
 
 
+# Ties at one instant are split into blocks of this many tie values.
+TIE_BLOCK = 1 << 20
+
+
+def _summary(df: DataFrame, group: Sequence[str], child: str) -> DataFrame:
+    """Collapse child segments into their parent: net island count, first and
+    last state, latest end."""
+    return df.groupBy(*group).agg(
+        (F.sum("_n") - F.sum("_m")).alias("_n"), F.min_by("_first", child).alias("_first"),
+        F.max_by("_last", child).alias("_last"), F.max("_end").alias("_end"))
+
+
 def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_input",
                   state: str = "state", tie: str | None = "event_id",
-                  with_last_flag: bool = False, with_first_tie: bool = False) -> DataFrame:
+                  with_last_flag: bool = False, with_first_tie: bool = False,
+                  tie_block: int = TIE_BLOCK) -> DataFrame:
     """(key, state, start_time, end_time[, is_last][, first_tie]) per run
     of equal states.
 
@@ -63,40 +79,49 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     that order arbitrary); NULL states form runs like any other value.
     ``is_last`` (C9) marks intervals ending at the machine's last sample;
     ``first_tie`` is the tie value of the island's first sample.
+
+    Runs are found in windows over (key, instant, block of ``tie_block`` tie
+    values), then merged upward: blocks within an instant, instants within a
+    second, seconds within a day, days within the key.  No window holds more
+    than one block of samples or one calendar unit of summaries.
     """
-    order = [F.col("_us")] + ([F.col(tie)] if tie else [F.col(state)])
-    base = _with_time_levels(samples.select(key, ts, state, *([tie] if tie else [])), ts)
-    w0 = Window.partitionBy(key, "_sec").orderBy(*order)
+    order_in_instant = F.col(tie) if tie else F.col(state)
+    cols = [key, ts, state, *([tie] if tie else [])]
+    base = _with_time_levels(samples.select(*cols), ts)
+    base = base.withColumn("_blk", floor_div(F.col(tie), tie_block) if tie else F.lit(0))
+    w0 = Window.partitionBy(key, "_us", "_blk").orderBy(order_in_instant)
     prev = F.lag(state).over(w0)
-    first = F.lag("_us").over(w0).isNull()
+    first = F.lag(F.lit(1)).over(w0).isNull()
     change = (first | ~F.col(state).eqNullSafe(prev)).cast("bigint")
     base = base.withColumn("_j", F.sum(change).over(w0.rowsBetween(Window.unboundedPreceding, 0)))
 
-    first_tie = ([F.min(F.struct("_us", tie)).getField(tie).alias("_ft")]
-                 if with_first_tie and tie else [])
-    local = (base.groupBy(key, "_day", "_sec", "_j")
+    first_tie = ([F.min(F.col(tie)).alias("_ft")] if with_first_tie and tie else [])
+    local = (base.groupBy(key, "_day", "_sec", "_us", "_blk", "_j")
              .agg(F.first(state).alias(state), F.min(ts).alias("start_time"),
                   F.max(ts).alias("end_time"), *first_tie))
-    secs = (local.groupBy(key, "_day", "_sec")
-            .agg(F.max("_j").alias("_n"), F.min_by(state, "_j").alias("_first"),
-                 F.max_by(state, "_j").alias("_last"), F.max("end_time").alias("_end")))
-    secs = _level(secs, [key, "_day"], "_sec")
-    days = (secs.groupBy(key, "_day")
-            .agg((F.sum("_n") - F.sum("_m")).alias("_n"),
-                 F.min_by("_first", "_sec").alias("_first"),
-                 F.max_by("_last", "_sec").alias("_last"), F.max("_end").alias("_end")))
-    days = _level(days, [key], "_day")
+    blocks = (local.groupBy(key, "_day", "_sec", "_us", "_blk")
+              .agg(F.max("_j").alias("_n"), F.min_by(state, "_j").alias("_first"),
+                   F.max_by(state, "_j").alias("_last"), F.max("end_time").alias("_end")))
+    blocks = _level(blocks, [key, "_us"], "_blk")
+    instants = _level(_summary(blocks, [key, "_day", "_sec", "_us"], "_blk"),
+                      [key, "_sec"], "_us")
+    secs = _level(_summary(instants, [key, "_day", "_sec"], "_us"), [key, "_day"], "_sec")
+    days = _level(_summary(secs, [key, "_day"], "_sec"), [key], "_day")
     if with_last_flag:
         days = days.withColumn("_machine_end", F.max("_end").over(Window.partitionBy(key)))
 
-    sec_pos = secs.select(key, "_sec", F.col("_pos").alias("_pos_s"), F.col("_m").alias("_m_s"))
-    day_cols = [key, "_day", F.col("_pos").alias("_pos_d"), F.col("_m").alias("_m_d")]
-    if with_last_flag:
-        day_cols.append("_machine_end")
-    day_pos = days.select(*day_cols)
-    j = local.join(sec_pos, [key, "_sec"]).join(day_pos, [key, "_day"])
-    within_day = F.col("_pos_s") + F.col("_j") - F.col("_m_s")
-    j = j.withColumn("_island", F.col("_pos_d") + within_day - F.col("_m_d"))
+    def pos(df: DataFrame, unit_cols: list[str], tag: str, extra=()) -> DataFrame:
+        return df.select(*unit_cols, F.col("_pos").alias(f"_p{tag}"),
+                         F.col("_m").alias(f"_m{tag}"), *extra)
+
+    j = (local.join(pos(blocks, [key, "_us", "_blk"], "b"), [key, "_us", "_blk"])
+         .join(pos(instants, [key, "_us"], "u"), [key, "_us"])
+         .join(pos(secs, [key, "_sec"], "s"), [key, "_sec"])
+         .join(pos(days, [key, "_day"], "d",
+                   ["_machine_end"] if with_last_flag else []), [key, "_day"]))
+    island = (F.col("_pd") + F.col("_ps") + F.col("_pu") + F.col("_pb") + F.col("_j")
+              - F.col("_mb") - F.col("_mu") - F.col("_ms") - F.col("_md"))
+    j = j.withColumn("_island", island)
     aggs = [F.first(state).alias(state), F.min("start_time").alias("start_time"),
             F.max("end_time").alias("end_time")]
     if with_last_flag:
@@ -104,12 +129,12 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     if first_tie:
         aggs.append(F.min(F.struct("start_time", "_ft")).getField("_ft").alias("first_tie"))
     out = j.groupBy(key, "_island").agg(*aggs)
-    cols: list[Column | str] = [key, state, "start_time", "end_time"]
+    out_cols: list[Column | str] = [key, state, "start_time", "end_time"]
     if with_last_flag:
-        cols.append((F.col("end_time") == F.col("_machine_end")).alias("is_last"))
+        out_cols.append((F.col("end_time") == F.col("_machine_end")).alias("is_last"))
     if first_tie:
-        cols.append("first_tie")
-    return out.select(*cols)
+        out_cols.append("first_tie")
+    return out.select(*out_cols)
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -95,13 +95,14 @@ def random_samples(rng, n=600):
     return rows
 
 
-@pytest.mark.parametrize("seed", [5, 6])
-def test_islands_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,block", [(5, 1 << 20), (6, 1 << 20), (7, 4)])
+def test_islands_brute_force(spark, seed, block):
+    """``block`` 4 splits the ties of the hot instant into many blocks."""
     rows = random_samples(random.Random(seed))
     df = spark.createDataFrame(rows, "machine_id string, state string, "
                                      "time_input timestamp_ntz, event_id bigint")
     want = brute_islands(rows)
-    got = sorted((tuple(r) for r in I.state_islands(df).collect()), key=repr)
+    got = sorted((tuple(r) for r in I.state_islands(df, tie_block=block).collect()), key=repr)
     assert got == want
     got_rn = sorted((tuple(r) for r in I.islands_from_row_numbers(df).collect()), key=repr)
     assert got_rn == want
