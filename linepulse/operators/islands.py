@@ -146,25 +146,35 @@ def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> D
 
 
 def row_numbers(df: DataFrame, partition: Sequence[str], ts: str, tie: str,
-                name: str = "rn") -> DataFrame:
+                name: str = "rn", tie_block: int = TIE_BLOCK) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY ts, tie)``
-    computed as local numbers per (partition, second) plus prefix counts of
+    as a local number per (partition, instant, block of tie values) plus
+    counts of earlier blocks of the instant, earlier instants of the second,
     earlier seconds of the day and earlier days; no window spans a whole
-    partition key."""
+    partition key, a whole instant or more than one calendar unit."""
     part = list(partition)
-    base = _with_time_levels(df, ts)
-    w0 = Window.partitionBy(*part, "_sec").orderBy("_us", tie)
+    base = _with_time_levels(df, ts).withColumn("_blk", floor_div(F.col(tie), tie_block))
+    w0 = Window.partitionBy(*part, "_us", "_blk").orderBy(tie)
     base = base.withColumn("_local", F.row_number().over(w0))
-    secs = base.groupBy(*part, "_day", "_sec").agg(F.count(F.lit(1)).alias("_c"))
-    ws = Window.partitionBy(*part, "_day").orderBy("_sec").rowsBetween(*_BEFORE)
-    secs = secs.withColumn("_ps", F.coalesce(F.sum("_c").over(ws), F.lit(0)))
-    days = secs.groupBy(*part, "_day").agg(F.sum("_c").alias("_c"))
-    wd = Window.partitionBy(*part).orderBy("_day").rowsBetween(*_BEFORE)
-    days = days.withColumn("_pd", F.coalesce(F.sum("_c").over(wd), F.lit(0)))
-    out = _join_null_safe(base, secs.select(*part, "_sec", "_ps"), [*part, "_sec"])
-    out = _join_null_safe(out, days.select(*part, "_day", "_pd"), [*part, "_day"])
-    out = out.withColumn(name, F.col("_pd") + F.col("_ps") + F.col("_local"))
-    return out.drop("_us", "_sec", "_day", "_local", "_ps", "_pd")
+
+    def before(counts: DataFrame, within: list[str], unit: str, out: str) -> DataFrame:
+        w = Window.partitionBy(*within).orderBy(unit).rowsBetween(*_BEFORE)
+        return counts.withColumn(out, F.coalesce(F.sum("_c").over(w), F.lit(0)))
+
+    blk = before(base.groupBy(*part, "_day", "_sec", "_us", "_blk")
+                 .agg(F.count(F.lit(1)).alias("_c")), [*part, "_us"], "_blk", "_pb")
+    ins = before(blk.groupBy(*part, "_day", "_sec", "_us").agg(F.sum("_c").alias("_c")),
+                 [*part, "_sec"], "_us", "_pu")
+    sec = before(ins.groupBy(*part, "_day", "_sec").agg(F.sum("_c").alias("_c")),
+                 [*part, "_day"], "_sec", "_ps")
+    day = before(sec.groupBy(*part, "_day").agg(F.sum("_c").alias("_c")), part, "_day", "_pd")
+    out = _join_null_safe(base, blk.select(*part, "_us", "_blk", "_pb"), [*part, "_us", "_blk"])
+    out = _join_null_safe(out, ins.select(*part, "_us", "_pu"), [*part, "_us"])
+    out = _join_null_safe(out, sec.select(*part, "_sec", "_ps"), [*part, "_sec"])
+    out = _join_null_safe(out, day.select(*part, "_day", "_pd"), [*part, "_day"])
+    out = out.withColumn(name, F.col("_pd") + F.col("_ps") + F.col("_pu") + F.col("_pb")
+                         + F.col("_local"))
+    return out.drop("_us", "_sec", "_day", "_blk", "_local", "_pb", "_pu", "_ps", "_pd")
 
 
 def islands_from_row_numbers(samples: DataFrame, key: str = "machine_id",

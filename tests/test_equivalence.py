@@ -119,12 +119,13 @@ def test_islands_last_flag(spark):
         assert r.is_last == (r.end_time == last[r.machine_id])
 
 
-def test_row_numbers_brute_force(spark):
+@pytest.mark.parametrize("block", [1 << 20, 4])
+def test_row_numbers_brute_force(spark, block):
     rows = random_samples(random.Random(7), 400)
     df = spark.createDataFrame(rows, "machine_id string, state string, "
                                      "time_input timestamp_ntz, event_id bigint")
     got = {r.event_id: r.rn for r in I.row_numbers(df, ["machine_id"], "time_input",
-                                                      "event_id").collect()}
+                                                      "event_id", tie_block=block).collect()}
     by_m = defaultdict(list)
     for m, _, t, eid in rows:
         by_m[m].append((t, eid))
