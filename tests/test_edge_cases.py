@@ -218,3 +218,13 @@ def test_read_table_fills_missing_nullable_columns(spark, tmp_path):
     assert (r.qty_rej, r.qty_good, r.throughput) == (1, None, None)
     with pytest.raises(ValueError):
         read_table(spark, str(tmp_path / "lot.parquet"), S.MACHINE)
+
+
+def test_today_report_defaults_to_the_current_date(spark):
+    from linepulse.plans.plant import from_testdata
+    from linepulse.plans.report import today_report
+
+    p = from_testdata(spark, "/root/testdata/sf0.001")
+    today = spark.range(1).select(F.current_date()).first()[0]
+    rows = today_report(p).collect()
+    assert all(r.txndate == today for r in rows)
