@@ -47,15 +47,18 @@ def main() -> None:
     t0 = time.perf_counter()
     stage_testdata(spark, sf_dir, force=True)
     setup = time.perf_counter() - t0
-    times = {}
+    times, errors = {}, {}
     for name in names:
         best = None
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+        try:
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                best = dt if best is None else min(best, dt)
+            times[name] = round(best, 3)
+        except Exception as e:  # noqa: BLE001 - one failing query must not hide the rest
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",
@@ -65,6 +68,7 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "setup_stage_domain_tables_sec": round(setup, 3),
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
