@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from linepulse.llm.decontaminate import op8_decontaminate, op8_oracle_sql
+from linepulse.llm.linededup import op6_line_dedup, op6_oracle_sql
+from linepulse.llm.packing import op7_packing
 from linepulse.llm.simhash import op5_simhash
+from linepulse.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op5_simhash": op5_simhash,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_packing": op7_packing,
     "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLE_SQL = {
+    "op6_line_dedup": op6_oracle_sql(),
     "op8_decontaminate": op8_oracle_sql(),
 }
