@@ -34,6 +34,13 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
+def numbered(df: DataFrame, column: str) -> tuple[DataFrame, str]:
+    """``df`` with columns c0, c1, ..., which clash with no result's name, and
+    the new name of ``column``."""
+    at = [c.lower() for c in df.columns].index(column.lower())
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]), f"c{at}"
+
+
 def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
                fields: str, keep: bool = True) -> DataFrame:
     """``df`` with new columns computed from slices of Arrow batches.

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linepulse.llm.common import map_slices, stage, table, texts_of
+from linepulse.llm.common import map_slices, numbered, stage, table, texts_of
 
 WINDOW = 13
 SHINGLE = 5
@@ -205,9 +205,9 @@ def _judge(docs: DataFrame, share: int) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows; columns stay as they are."""
-    judged = decontaminate(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-                           .select("_row", F.col("text")), items)
-    return judged.filter(~F.col("contaminated")).select("_row.*")
+    plain, text = numbered(docs, "text")
+    judged = decontaminate(plain, items, text)
+    return judged.filter(~F.col("contaminated")).select(*plain.columns).toDF(*docs.columns)
 
 
 def op8_decontaminate(spark, sf_dir: str) -> DataFrame:

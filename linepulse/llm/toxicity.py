@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linepulse.llm.common import map_slices, table, texts_of
+from linepulse.llm.common import map_slices, numbered, table, texts_of
 from linepulse.llm.decontaminate import words_of
 
 MAX_TRAIN = 20_000       # labelled documents used for fitting, at most
@@ -189,9 +189,9 @@ def score(docs: DataFrame, model: OrdinalModel, text: str = "text",
 
 def keep_clean(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
     """``docs`` without the toxic rows; columns stay as they are."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                        F.col(f"`{text}`").alias("text"))
-    return score(whole, model).filter(~F.col("toxic")).select("_row.*")
+    plain, text = numbered(docs, text)
+    return score(plain, model, text).filter(~F.col("toxic")).drop(
+        "severity", "grade", "toxic").toDF(*docs.columns)
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
