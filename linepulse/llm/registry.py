@@ -5,15 +5,19 @@ from __future__ import annotations
 from linepulse.llm.decontaminate import op8_decontaminate, op8_oracle_sql
 from linepulse.llm.linededup import op6_line_dedup, op6_oracle_sql
 from linepulse.llm.packing import op7_packing
+from linepulse.llm.quality import op10_quality
+from linepulse.llm.sharding import op4_sharding
 from linepulse.llm.simhash import op5_simhash
 from linepulse.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op4_sharding": op4_sharding,
     "op5_simhash": op5_simhash,
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
     "op8_decontaminate": op8_decontaminate,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {
