@@ -5,6 +5,7 @@ from __future__ import annotations
 from linepulse.llm.decontaminate import op8_decontaminate, op8_oracle_sql
 from linepulse.llm.linededup import op6_line_dedup, op6_oracle_sql
 from linepulse.llm.packing import op7_packing
+from linepulse.llm.pii import op9_pii
 from linepulse.llm.quality import op10_quality
 from linepulse.llm.sharding import op4_sharding
 from linepulse.llm.simhash import op5_simhash
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
     "op8_decontaminate": op8_decontaminate,
+    "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
 
