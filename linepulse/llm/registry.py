@@ -5,6 +5,7 @@ from __future__ import annotations
 from linepulse.llm.decontaminate import op8_decontaminate, op8_oracle_sql
 from linepulse.llm.langid import op3_langid
 from linepulse.llm.linededup import op6_line_dedup, op6_oracle_sql
+from linepulse.llm.lmscore import op1_lm_score
 from linepulse.llm.packing import op7_packing
 from linepulse.llm.pii import op9_pii
 from linepulse.llm.quality import op10_quality
@@ -13,6 +14,7 @@ from linepulse.llm.simhash import op5_simhash
 from linepulse.llm.toxicity import op2_toxicity
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_toxicity": op2_toxicity,
     "op3_langid": op3_langid,
     "op4_sharding": op4_sharding,
