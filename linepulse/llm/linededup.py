@@ -27,15 +27,24 @@ def _place() -> Column:
     return F.struct(*_PLACE)
 
 
+def _words(line: str) -> Column:
+    """Lower-cased words of a line.  White space other than spaces is rare, so
+    it is looked for before it is replaced."""
+    low, others = F.lower(line), "\t\x0b\x0c\r"
+    found = F.lit(False)
+    for c in others:
+        found = found | F.contains(F.col(line), F.lit(c))
+    plain = F.when(found, F.translate(low, others, " " * len(others))).otherwise(low)
+    return F.array_remove(F.split(plain, " "), "")
+
+
 def _lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
     body = F.col(f"`{text}`")
     cut = docs.select(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(body).alias("th"),
                       F.posexplode(F.split(body, "\n")).alias("line", "raw"))
-    words = F.filter(F.split(F.lower("raw"), SPACE), lambda w: w != "")
-    return (cut.withColumn("words", words).filter(F.size("words") >= min_words)
-            .select(F.col("id").isNull().alias("none"), "id", "th", "line", "words",
-                    F.array_join("words", " ").alias("body"))
-            .withColumn("h1", F.xxhash64("body")).withColumn("h2", F.xxhash64(F.lit(1), "body")))
+    return (cut.withColumn("words", _words("raw")).filter(F.size("words") >= min_words)
+            .select(F.col("id").isNull().alias("none"), "id", "th", "line", "words")
+            .withColumn("h1", F.xxhash64("words")).withColumn("h2", F.xxhash64(F.lit(1), "words")))
 
 
 def _halves() -> Column:
@@ -44,13 +53,28 @@ def _halves() -> Column:
     def half(first: bool, n: Column) -> Column:
         a = F.floor(n / 2).cast("int")
         part = F.slice("words", F.lit(1), a) if first else F.slice("words", -(n - a), n - a)
-        return F.xxhash64(F.lit(first), F.array_join(part, " "))
+        return F.xxhash64(F.lit(first), part)
 
     n = F.size("words")
     return F.array_distinct(F.array(half(True, n), half(False, n), half(True, n - 1),
                                     half(False, n - 1)))
 
 
+def _words_at(docs: DataFrame, doc_id: str, text: str, places: DataFrame) -> DataFrame:
+    """``places`` (h1, h2, first) with the words of the line there; only the
+    lines asked for are cut into words."""
+    asked = stage(places.groupBy(F.col("first.id").alias("_id"), F.col("first.th").alias("_th"))
+                  .agg(F.collect_set(F.struct(F.col("first.line").alias("line"), "h1", "h2", "first"))
+                       .alias("asked")), "asked_lines")
+    body = F.col(f"`{text}`")
+    held = docs.select(F.col(f"`{doc_id}`").alias("id"), body.alias("text")).join(
+        bounded_broadcast(asked), F.col("id").eqNullSafe(F.col("_id"))
+        & (F.xxhash64("text") == F.col("_th")))
+    cut = (held.select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a"))
+           .select("a.h1", "a.h2", "a.first", F.col("lines")[F.col("a.line")].alias("raw")))
+    return cut.select("h1", "h2", "first", _words("raw").alias("words")).dropDuplicates(["h1", "h2"])
+
+
 def _sharing(distinct: DataFrame) -> DataFrame:
     """(h1): the lines that share a half with another line."""
     keys = distinct.select("h1", F.explode("halves").alias("key"))
@@ -139,14 +163,13 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if min_words < 2:
         raise ValueError("min_words must be at least 2")
     lines = _lines(docs, doc_id, text, min_words)
-    found = stage(lines.withColumn("halves", _halves()).drop("words", "body"), "lines")
+    found = stage(lines.withColumn("halves", _halves()).drop("words"), "lines")
     distinct = stage(found.groupBy("h1", "h2").agg(
         F.min(_place()).alias("first"), F.min("halves").alias("halves"),
         F.count(F.lit(1)).alias("copies")), "distinct_lines")
-    wanted = bounded_broadcast(_sharing(distinct))
-    sharing = stage(lines.join(wanted, "h1", "left_semi").groupBy("h1", "h2").agg(
-        F.min(F.struct(_place().alias("first"), "words")).alias("m"))
-        .select("h1", "h2", "m.first", "m.words"), "sharing_lines")
+    places = distinct.join(bounded_broadcast(_sharing(distinct)), "h1", "left_semi")
+    sharing = stage(_words_at(docs, doc_id, text, places.select("h1", "h2", "first")),
+                    "sharing_lines")
     ordered = stage(sharing.orderBy("first").withColumn("seq", F.monotonically_increasing_id()),
                     "ordered_lines")
     near = ordered.join(_near(ordered.select("seq", "words")), "seq", "left_semi")
