@@ -11,14 +11,16 @@ instants).  Lot windows are cut into time buckets (width from the lots'
 median length, see ``operators.buckets``) and joined on
 (line, bucket) -- an equi-join, broadcast or sort-merge as the planner and
 AQE decide -- then the containment is re-checked and the latest start wins.
-Each instant meets only the lots overlapping its own bucket, so the join is
-linear in instants times lot overlap depth; open lots are cut up to the
-line's last event.
+A bucket that lots cover whole keeps only the latest-starting of them, so an
+instant meets that one and the lots that start or end in its own bucket.
+Lots that outlast the line's last event (open ones, or ends far in the
+future) are not cut at all: among those the latest start at or before the
+instant wins, a running maximum carried from bucket to bucket.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linepulse.functions import epoch_micros, floor_div
@@ -43,20 +45,42 @@ def containing_lot(events: DataFrame, lots: DataFrame, t: str = "input_time",
         pts = (events.select(line, epoch_micros(t).alias("us")).distinct()
                .withColumn("last_tie", F.lit(None).cast("bigint")))
     last_event = pts.groupBy(line).agg(F.max("us").alias("_line_last"))
+    pick = F.struct("_s", "lot_id", *lot_columns)     # greatest: latest (start, lot_id)
     lw = (lots.select("lot_id", line, epoch_micros("start_time").alias("_s"),
                       epoch_micros("end_time").alias("_e"), *lot_columns)
-          .join(last_event, line, "left")
-          .withColumn("_stop", F.coalesce("_e", "_line_last"))
-          .filter(F.col("_stop") >= F.col("_s")))
-    first_b, last_b = floor_div("_s", bucket_us), floor_div("_stop", bucket_us)
-    lw = lw.withColumn("_bkt", F.explode(F.sequence(first_b, last_b)))
-    cand = (pts.withColumn("_bkt", floor_div("us", bucket_us))
-            .join(lw, [line, "_bkt"])
-            .filter((F.col("us") >= F.col("_s"))
-                    & (F.col("_e").isNull() | (F.col("us") <= F.col("_e")))))
+          .join(last_event, line)
+          .filter((F.col("_s") <= F.col("_line_last")) & (F.col("_e").isNull() | (F.col("_e") >= F.col("_s"))))
+          .withColumn("_lot", pick))
+    pts = pts.withColumn("_bkt", floor_div("us", bucket_us))
+    lasting = F.col("_e").isNull() | (F.col("_e") >= F.col("_line_last"))
+
+    # Lots that end among the events: in their edge buckets each for itself,
+    # in the buckets between only the best of all.
+    ends = lw.filter(~lasting).select(line, "_s", "_e", "_lot", floor_div("_s", bucket_us).alias("_b0"),
+                                      floor_div("_e", bucket_us).alias("_b1"))
+    edges = ends.withColumn("_bkt", F.explode(F.array_distinct(F.array("_b0", "_b1"))))
+    inner = (ends.filter(F.col("_b1") - F.col("_b0") > 1)
+             .withColumn("_bkt", F.explode(F.sequence(F.col("_b0") + 1, F.col("_b1") - 1)))
+             .groupBy(line, "_bkt").agg(F.max("_lot").alias("_lot")))
+    # Lots that do not: at their first bucket, and the best of earlier buckets.
+    stay = lw.filter(lasting).select(line, "_s", "_e", "_lot", floor_div("_s", bucket_us).alias("_bkt"))
+    marks = (stay.groupBy(line, "_bkt").agg(F.max("_lot").alias("_lot"))
+             .unionByName(pts.select(line, "_bkt").distinct().withColumn("_lot", F.lit(None)),
+                          allowMissingColumns=True))
+    earlier = Window.partitionBy(line).orderBy("_bkt").rangeBetween(Window.unboundedPreceding, -1)
+    carried = (marks.withColumn("_lot", F.max("_lot").over(earlier)).filter(F.col("_lot").isNotNull())
+               .select(line, "_bkt", "_lot").distinct())
+    bound = F.lit(None).cast("bigint")
+    met = (edges.select(line, "_bkt", "_lot", "_s", "_e")
+           .unionByName(inner.select(line, "_bkt", "_lot", bound.alias("_s"), bound.alias("_e")))
+           .unionByName(stay.select(line, "_bkt", "_lot", "_s", bound.alias("_e")))
+           .unionByName(carried.select(line, "_bkt", "_lot", bound.alias("_s"), bound.alias("_e"))))
+    cand = pts.join(met, [line, "_bkt"]).filter(
+        (F.col("_s").isNull() | (F.col("us") >= F.col("_s")))
+        & (F.col("_e").isNull() | (F.col("us") <= F.col("_e"))))
     best = cand.groupBy(line, "us").agg(
         F.first("last_tie").alias("last_tie"),
-        F.max_by(F.struct("lot_id", "_s", *lot_columns), F.struct("_s", "lot_id")).alias("_lot"))
+        F.max("_lot").alias("_lot"))
     return best.select(line, "us", "last_tie", F.col("_lot.lot_id").alias("lot_id"),
                        F.col("_lot._s").alias("lot_start_us"),
                        *[F.col(f"_lot.{c}").alias(c) for c in lot_columns])

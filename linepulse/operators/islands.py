@@ -58,6 +58,12 @@ def _level(summary: DataFrame, part: Sequence[str], order: str) -> DataFrame:
 
 # Ties at one instant are split into blocks of this many tie values.
 TIE_BLOCK = 1 << 20
+# Samples without a tie value come last at their instant, in a block of their own.
+NO_TIE_BLOCK = (1 << 62)
+
+
+def _tie_block(tie: str, tie_block: int) -> Column:
+    return F.coalesce(floor_div(F.col(tie), tie_block), F.lit(NO_TIE_BLOCK))
 
 
 def _summary(df: DataFrame, group: Sequence[str], child: str) -> DataFrame:
@@ -76,7 +82,9 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     of equal states.
 
     ``tie`` orders samples sharing a timestamp (the host database leaves
-    that order arbitrary); NULL states form runs like any other value.
+    that order arbitrary); NULL ties come last and the state orders samples
+    that the tie does not (all of them where it is NULL throughout or
+    ``tie=None``).  NULL states form runs like any other value.
     ``is_last`` (C9) marks intervals ending at the machine's last sample;
     ``first_tie`` is the tie value of the island's first sample.
 
@@ -85,11 +93,12 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     second, seconds within a day, days within the key.  No window holds more
     than one block of samples or one calendar unit of summaries.
     """
-    order_in_instant = F.col(tie) if tie else F.col(state)
+    order_in_instant = [*([F.col(tie).asc_nulls_last()] if tie else []),
+                        F.col(state).asc_nulls_last()]
     cols = [key, ts, state, *([tie] if tie else [])]
     base = _with_time_levels(samples.select(*cols), ts)
-    base = base.withColumn("_blk", floor_div(F.col(tie), tie_block) if tie else F.lit(0))
-    w0 = Window.partitionBy(key, "_us", "_blk").orderBy(order_in_instant)
+    base = base.withColumn("_blk", _tie_block(tie, tie_block) if tie else F.lit(0))
+    w0 = Window.partitionBy(key, "_us", "_blk").orderBy(*order_in_instant)
     prev = F.lag(state).over(w0)
     first = F.lag(F.lit(1)).over(w0).isNull()
     change = (first | ~F.col(state).eqNullSafe(prev)).cast("bigint")
@@ -153,8 +162,8 @@ def row_numbers(df: DataFrame, partition: Sequence[str], ts: str, tie: str,
     earlier seconds of the day and earlier days; no window spans a whole
     partition key, a whole instant or more than one calendar unit."""
     part = list(partition)
-    base = _with_time_levels(df, ts).withColumn("_blk", floor_div(F.col(tie), tie_block))
-    w0 = Window.partitionBy(*part, "_us", "_blk").orderBy(tie)
+    base = _with_time_levels(df, ts).withColumn("_blk", _tie_block(tie, tie_block))
+    w0 = Window.partitionBy(*part, "_us", "_blk").orderBy(F.col(tie).asc_nulls_last())
     base = base.withColumn("_local", F.row_number().over(w0))
 
     def before(counts: DataFrame, within: list[str], unit: str, out: str) -> DataFrame:

@@ -92,14 +92,16 @@ def sensor_counts(lot: DataFrame, sensor_events: DataFrame, match_line: bool = F
 
 def tag_sensors(ss_reject: DataFrame | None = None, ss_good: DataFrame | None = None,
                 ss_output: DataFrame | None = None) -> DataFrame:
-    """Union of the three sensor tables with one indicator per sensor."""
+    """Union of the three sensor tables with one indicator per sensor; tables
+    without ``event_id`` have NULL ones."""
     parts = []
     for df, name in ((ss_reject, "is_reject"), (ss_good, "is_good"), (ss_output, "is_output")):
         if df is None:
             continue
         flags = [F.lit(1 if n == name else 0).cast("bigint").alias(n)
                  for n in ("is_reject", "is_good", "is_output")]
-        parts.append(df.select("line_id", "input_time", *flags))
+        tie = F.col("event_id") if "event_id" in df.columns else F.lit(None).cast("bigint")
+        parts.append(df.select("line_id", "input_time", tie.alias("event_id"), *flags))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -122,16 +122,22 @@ def bucketed_windows(win: DataFrame, keys: list[str], group_by: Sequence[str],
                       F.explode(F.sequence(first, last)).alias("_bkt"))
 
 
-def broadcast_bound_holds(bucketed: DataFrame, keys: Sequence[str],
+def broadcast_bound_holds(win: DataFrame, keys: Sequence[str], bucket_us: int,
                           max_rows: int = MAX_BROADCAST_ROWS,
                           max_candidates: int = MAX_CANDIDATES) -> bool:
-    """One job on the window side only (its key and time columns, with
-    map-side partial counts): the number of bucket rows and the largest
-    number of windows sharing a (key, bucket).  It never reads the events."""
-    stats = (bucketed.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_c"))
-             .agg(F.sum("_c").alias("rows"), F.max("_c").alias("peak")).first())
-    rows, peak = stats["rows"] or 0, stats["peak"] or 0
-    return rows <= max_rows and peak <= max_candidates
+    """Whether ``win`` (keys, ``_s``, ``_e``) may be broadcast in buckets.
+
+    The number of bucket rows is a sum over the windows, so windows of any
+    length cost nothing to measure; only when it holds are the (then few) rows
+    made, to find the largest number of windows sharing a (key, bucket).
+    Neither job reads the events.
+    """
+    cut = (floor_div(F.col("_e") - 1, bucket_us) - floor_div("_s", bucket_us) + 1).cast("double")
+    if (win.agg(F.sum(cut)).first()[0] or 0) > max_rows:
+        return False
+    peak = (bucketed_windows(win, list(keys), [], bucket_us).groupBy(*keys, "_bkt")
+            .agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0])
+    return (peak or 0) <= max_candidates
 
 
 def window_counts(events: DataFrame, time_col: str, windows: DataFrame,
@@ -145,8 +151,10 @@ def window_counts(events: DataFrame, time_col: str, windows: DataFrame,
     ``keys`` are equality keys present in both inputs (empty: any event may
     fall in any window).  Windows with a NULL or non-positive range match
     nothing.  Groups without any valid window are absent; groups whose
-    windows matched no event are present with 0.  ``strategy``: 'auto'
-    (broadcast when the bound holds, else prefix), 'broadcast' or 'prefix'.
+    windows matched no event are present with 0.  A NULL key equals no key,
+    so such windows match nothing; a NULL group is a group like any other.
+    ``strategy``: 'auto' (broadcast when the bound holds, else prefix),
+    'broadcast' or 'prefix'; the result is the same.
     """
     keys = list(keys)
     names = list(measures)
@@ -159,8 +167,8 @@ def window_counts(events: DataFrame, time_col: str, windows: DataFrame,
     if strategy not in ("auto", "broadcast", "prefix"):
         raise ValueError(strategy)
     if strategy != "prefix":
-        bucketed = bucketed_windows(win, keys, group_by, bucket_us)
-        if strategy == "broadcast" or broadcast_bound_holds(bucketed, keys):
+        if strategy == "broadcast" or broadcast_bound_holds(win, keys, bucket_us):
+            bucketed = bucketed_windows(win, keys, group_by, bucket_us)
             return _broadcast_counts(ev, win, bucketed, keys, group_by, names, bucket_us)
     return _prefix_counts(ev, win, keys, group_by, names)
 
@@ -170,10 +178,10 @@ def _broadcast_counts(ev: DataFrame, win: DataFrame, bucketed: DataFrame, keys:
     probe = ev.withColumn("_bkt", floor_div("us", bucket_us))
     hits = (probe.join(F.broadcast(bucketed), [*keys, "_bkt"])
             .filter((F.col("us") >= F.col("_s")) & (F.col("us") < F.col("_e"))))
-    sums = hits.groupBy(*group_by).agg(*[F.sum(m).alias(m) for m in names])
-    groups = win.select(*group_by).distinct()
-    return groups.join(sums, list(group_by), "left").select(
-        *group_by, *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in names])
+    zero = [F.lit(0).cast("bigint").alias(m) for m in names]
+    rows = hits.select(*group_by, *names).unionByName(
+        win.select(*group_by).distinct().select(*group_by, *zero))
+    return rows.groupBy(*group_by).agg(*[F.sum(m).alias(m) for m in names])
 
 
 def _prefix_counts(ev: DataFrame, win: DataFrame, keys: list[str], group_by: Sequence[str],
@@ -186,6 +194,7 @@ def _prefix_counts(ev: DataFrame, win: DataFrame, keys: list[str], group_by: Seq
                         .alias("_bd")).select("*", "_bd.us", "_bd.sign").drop("_bd")
     bounds = signed.select(*keys, "us").distinct()
     before = counts_before(ev, bounds, keys, names)
-    per_bound = signed.join(before, [*keys, "us"])
+    # A boundary under a NULL key finds no count: it adds 0 to its group.
+    per_bound = signed.join(before, [*keys, "us"], "left")
     return per_bound.groupBy(*group_by).agg(*[
-        F.sum(F.col("sign") * F.col(f"c_{m}")).alias(m) for m in names])
+        F.sum(F.col("sign") * F.coalesce(F.col(f"c_{m}"), F.lit(0))).alias(m) for m in names])

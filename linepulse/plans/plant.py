@@ -13,12 +13,12 @@ from __future__ import annotations
 
 import hashlib
 import inspect
-import os
 import threading
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
@@ -63,6 +63,12 @@ class Plant:
             self._opened[name] = src() if callable(src) else src
         return self._opened[name]
 
+    def fresh(self, name: str) -> DataFrame:
+        """The table opened anew: a callable source lists its files again, so
+        rows stored since the last read are seen."""
+        src = self._sources[name]
+        return src() if callable(src) else src
+
     def with_(self, **kw) -> "Plant":
         tables = {**self._sources, **{k: v for k, v in kw.items() if k in TABLES}}
         params = dict(policy=self.policy, prod_states=self.prod_states,
@@ -118,13 +124,15 @@ def derive_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def _stage_key(sf_dir: str) -> str:
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    for name in ("events",):
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(path):
-            st = os.stat(path)
-            h.update(f"{st.st_size}:{st.st_mtime_ns}".encode())
+def _stage_key(spark: SparkSession, sf_dir: str) -> str:
+    """Changes with the input's files as Spark lists them (any path Spark can
+    read), their sizes and times, and with the derivation rules."""
+    h = hashlib.sha1(sf_dir.rstrip("/").encode())
+    files = (adapters.table(spark, sf_dir, "events")
+             .select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+             .distinct().orderBy("file_path"))
+    for row in files.agg(F.sort_array(F.collect_list(F.concat_ws(":", *files.columns))), F.count("*")).first():
+        h.update(str(row).encode())
     for mod in (adapters, _sequence):
         h.update(inspect.getsource(mod).encode())
     return h.hexdigest()[:16]
@@ -147,7 +155,7 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
 
 def stage_testdata(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
     """Derive and store the domain tables once; returns their folder."""
-    key = _stage_key(sf_dir)
+    key = _stage_key(spark, sf_dir)
     root = work_path(spark, "domain", key)
     memo = (spark.conf.get("spark.app.id", ""), root)
     if not force and memo in _STAGED:

@@ -50,7 +50,8 @@ def store_report_tables(p: Plant, root: str | None = None) -> ReportTables:
     root = root or work_path(spark, "report", unique=True)
     mt_table = VersionedTable(spark, f"{root}/machine_time", partition_by=("txndate",))
     lot_table = VersionedTable(spark, f"{root}/lot")
-    mt_view = plant_machine_time(p).repartition("txndate")
+    # Rows of a day in few files, but a day too large for one task is split.
+    mt_view = plant_machine_time(p).hint("rebalance", "txndate")
     lot_view = refreshed_lots(p)
     with ThreadPoolExecutor(max_workers=2) as pool:
         mt_job = pool.submit(snapshot, mt_table, mt_view)

@@ -7,7 +7,7 @@ lazy DataFrame over the parquet scans, so its size grows with the data.
 
 Derivation rules (mirrored by the DuckDB adapter SQL in ``plans.oracle``):
 
-* machine id ``'M' || lpad(user_id, 5, '0')``, line ``'LINE' || (user_id % 4 + 1)``
+* machine id ``printf('M%05d', user_id)``, line ``'LINE' || (user_id % 4 + 1)``
 * sample state from the event type (see ``STATE_OF_EVENT``), tie-break event_id
 * state interval: from a sample to the next sample of the machine, capped at
   one hour; empty intervals are dropped
@@ -45,7 +45,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def machine_id_of(user_id: Column) -> Column:
-    return F.concat(F.lit("M"), F.lpad(user_id.cast("string"), 5, "0"))
+    """Padded to five digits, never cut: ids beyond 99,999 stay apart."""
+    return F.format_string("M%05d", user_id)
 
 
 def line_of(user_id: Column) -> Column:
@@ -207,3 +208,23 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "events*.parqu
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(folder).select("event_id", "ts", "user_id", "event_type")
+
+
+def replay_events(spark: SparkSession, sf_dir: str, folder: str, batches: int = 2,
+                  late: bool = True) -> DataFrame:
+    """A stream of the events in at least ``batches`` micro-batches: the files of
+    successive time slices (one more for late rows), written one after the other to ``folder``.
+    ``late``: every twentieth event arrives with the next slice."""
+    ev = events(spark, sf_dir)
+    lo, hi = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))),
+                    F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    width = ((hi or 0) - (lo or 0)) // batches + 1
+    part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo or 0)) / width)
+    if late:
+        part = part + F.when(F.pmod(F.xxhash64("event_id"), F.lit(20)) == 0, 1).otherwise(0)
+    sliced = ev.withColumn("_part", part)
+    for k in range(batches + 1):
+        sliced.filter(F.col("_part") == k).drop("_part").write.mode("append").parquet(folder)
+    files = len(spark.read.schema(ev.schema).parquet(folder).inputFiles())
+    return (spark.readStream.schema(ev.schema)
+            .option("maxFilesPerTrigger", max(1, files // (batches + 1))).parquet(folder))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,32 +30,59 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         for f in schema.fields])
 
 
+def _csv_text(spark: SparkSession, path: str, schema: T.StructType, header: bool) -> DataFrame:
+    """The file's text by column of ``schema``; NULL where it has no such column."""
+    if not header:
+        text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+        return spark.read.schema(text).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    at = {c.strip().lower(): c for c in raw.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in at and not f.nullable]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    return raw.select(*[(F.col(f"`{at[f.name.lower()]}`") if f.name.lower() in at
+                         else F.lit(None).cast("string")).alias(f.name) for f in schema.fields])
+
+
+def _parsed(c: Column, kind: T.DataType) -> Column:
+    from linepulse.functions.textdates import parse_text_date, parse_text_time
+
+    if isinstance(kind, T.DateType):
+        return parse_text_date(c)
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        return parse_text_time(c).cast(kind)
+    return c if isinstance(kind, T.StringType) else F.trim(c).try_cast(kind)
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
                    header: bool = True) -> DataFrame:
-    """CSV export with an explicit schema (no inference).
+    """CSV export as the columns of ``schema`` (no inference).
 
-    Time columns (TIMESTAMP_NTZ / DATE) are read as text and parsed in either
-    load layout (``MM/dd/yyyy HH:mm:ss`` or ISO; dates also without the
-    time); unparseable text gives NULL.
-    Rows with fewer fields get NULL in the missing trailing columns.
+    With a header, columns are found by their names, in any order and case;
+    further ones are ignored, a missing nullable one reads as NULL and a
+    missing other one is an error.  Without, they are taken by position and
+    short rows end in NULLs.  Times may be in either load layout
+    (``MM/dd/yyyy HH:mm:ss`` or ISO, with or without fractions; dates also
+    without the time).  Text that is no value of its column's type gives
+    NULL; ``csv_rejects`` counts it.
     """
-    from linepulse.functions.textdates import parse_text_date, parse_text_time
+    raw = _csv_text(spark, path, schema, header)
+    return raw.select(*[_parsed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
-    timey = (T.TimestampNTZType, T.TimestampType, T.DateType)
-    text_schema = T.StructType([
-        T.StructField(f.name, T.StringType() if isinstance(f.dataType, timey) else f.dataType,
-                      True) for f in schema.fields])
-    raw = spark.read.schema(text_schema).option("header", header).option("mode", "PERMISSIVE") \
-        .csv(path)
-    cols = []
-    for f in schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.DateType):
-            c = parse_text_date(c)
-        elif isinstance(f.dataType, timey):
-            c = parse_text_time(c).cast(f.dataType)
-        cols.append(c.alias(f.name))
-    return raw.select(*cols)
+
+def csv_rejects(spark: SparkSession, path: str, schema: T.StructType,
+                header: bool = True) -> DataFrame:
+    """(column_name, total_rows, rejected_rows): per column of ``schema`` the
+    rows whose text is there but is no value of the type."""
+    raw = _csv_text(spark, path, schema, header)
+    bad = [F.count_if(F.col(f.name).isNotNull() & _parsed(F.col(f.name), f.dataType).isNull())
+           for f in schema.fields]
+    counted = raw.agg(F.count(F.lit(1)).alias("total_rows"), F.array(*bad).alias("_bad"))
+    names = F.array(*[F.lit(f.name) for f in schema.fields])
+    return (counted.select("total_rows", F.explode(F.arrays_zip(names.alias("name"), F.col("_bad")))
+                           .alias("r"))
+            .select(F.col("r.name").alias("column_name"), "total_rows",
+                    F.col("r._bad").alias("rejected_rows")))
 
 
 def literal_rows(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:

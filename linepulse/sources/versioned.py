@@ -1,17 +1,22 @@
 """Table maintenance without in-place updates.
 
-A table is a parquet folder partitioned by ``version``.  Writers add a new
-version (dynamic partition overwrite replaces only that version, so a
-replayed micro-batch is idempotent); readers take the highest version and
-partition pruning skips the rest.  A path being read is never overwritten.
+A table is a parquet folder partitioned by ``version``, beside a manifest in
+its folder ``_versions``: a row (version, schema) for every version written.
+Writers replace only their own version, so a replayed micro-batch is
+idempotent; readers take the manifest's highest version, and partition pruning
+skips the rest.  A version without rows is a version like any other: emptying
+a table leaves an empty table.  A path being read is never overwritten.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
+
+_MANIFEST = "version long, schema string"
 
 
 class VersionedTable:
@@ -19,60 +24,82 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = tuple(partition_by)
-        self._schema: T.StructType | None = None     # known after a write
 
-    def _read_all(self) -> DataFrame | None:
-        try:
-            if self._schema is not None:
-                return self.spark.read.schema(self._schema).parquet(self.path)
-            return self.spark.read.parquet(self.path)
-        except AnalysisException:
-            return None
+    def _exists(self, path: str) -> bool:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    @property
+    def _manifest(self) -> str:
+        return f"{self.path}/_versions"
+
+    def versions(self) -> dict[int, T.StructType]:
+        """Schemas by version; read from the manifest alone."""
+        if not self._exists(self._manifest):
+            return {}
+        rows = self.spark.read.schema(_MANIFEST).json(f"{self._manifest}/*").collect()
+        return {r["version"]: T.StructType.fromJson(json.loads(r["schema"])) for r in rows}
 
     def latest_version(self) -> int | None:
-        df = self._read_all()
-        if df is None:
-            return None
-        return df.select(F.max("version")).first()[0]
+        return max(self.versions(), default=None)
 
     def latest_before(self, version: int) -> int | None:
         """Highest stored version strictly below ``version``."""
-        df = self._read_all()
-        if df is None:
-            return None
-        return df.filter(F.col("version") < version).select(F.max("version")).first()[0]
+        return max((v for v in self.versions() if v < version), default=None)
 
     def read(self, version: int | None = None) -> DataFrame:
-        df = self._read_all()
-        if df is None:
+        found = self.versions()
+        if not found:
             raise FileNotFoundError(self.path)
-        v = self.latest_version() if version is None else version
-        return df.filter(F.col("version") == F.lit(v)).drop("version")
+        v = max(found) if version is None else version
+        if v not in found:
+            raise ValueError(f"{self.path}: no version {v}")
+        schema = self._stored(found[v])
+        if not self._exists(f"{self.path}/version={v}"):
+            return self.spark.createDataFrame([], schema).drop("version")
+        df = self.spark.read.schema(schema).option("basePath", self.path).parquet(
+            f"{self.path}/version={v}")
+        return df.drop("version")
 
     def write(self, df: DataFrame, version: int | None = None) -> int:
         """Write ``df`` as ``version`` (default: latest + 1) and return it."""
+        found = self.versions()
         if version is None:
-            latest = self.latest_version()
-            version = 0 if latest is None else latest + 1
-        out = df.withColumn("version", F.lit(version).cast("bigint"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("version", *self.partition_by).parquet(self.path))
-        self._remember(out.schema)
+            version = max(found) + 1 if found else 0
+        elif version in found:
+            # a replay that now has fewer partitions must not keep the others
+            self._delete(f"{self.path}/version={version}")
+        self._add(df, version)
         return version
 
-    def _remember(self, schema: T.StructType) -> None:
-        """Data columns first, then partition columns, as a scan returns them."""
-        parts = ["version", *self.partition_by]
-        fields = [f for f in schema.fields if f.name not in parts]
-        fields += [schema[p] for p in parts]
-        self._schema = T.StructType(fields)
-
     def append(self, df: DataFrame) -> None:
         """Add rows to the latest version (no dedupe: twice = doubled)."""
         v = self.latest_version()
-        out = df.withColumn("version", F.lit(0 if v is None else v).cast("bigint"))
+        self._add(df, 0 if v is None else v)
+
+    def _add(self, df: DataFrame, version: int) -> None:
+        out = df.withColumn("version", F.lit(version).cast("bigint"))
         out.write.mode("append").partitionBy("version", *self.partition_by).parquet(self.path)
-        self._remember(out.schema)
+        row = self.spark.createDataFrame([(version, json.dumps(df.schema.jsonValue()))], _MANIFEST)
+        row.coalesce(1).write.mode("overwrite").json(f"{self._manifest}/{version}")
+
+    def expire(self, keep: int = 1) -> list[int]:
+        """Delete all but the ``keep`` highest versions; returns those gone."""
+        gone = sorted(self.versions())[:-keep] if keep else sorted(self.versions())
+        for v in gone:
+            self._delete(f"{self._manifest}/{v}")
+            self._delete(f"{self.path}/version={v}")
+        return gone
+
+    def _stored(self, schema: T.StructType) -> T.StructType:
+        """Data columns first, then partition columns, as a scan returns them."""
+        fields = [f for f in schema.fields if f.name not in self.partition_by]
+        return T.StructType([*fields, T.StructField("version", T.LongType()),
+                             *[schema[p] for p in self.partition_by]])
 
 
 def snapshot(table: VersionedTable, view: DataFrame) -> DataFrame:

