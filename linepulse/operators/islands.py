@@ -1,23 +1,16 @@
-"""Gaps-and-islands over state samples (E1-E3, C9), skew-bounded.
-
-The source numbers samples per machine twice (``ROW_NUMBER`` over the machine
-and over (machine, state)) and groups by the difference.  A window over a
-whole machine sends all its samples to one task, so here every window is
-bounded by the calendar instead:
-
-1. per (machine, instant, block of tie values): runs of equal state in tie
-   order become local islands ``j = 1..n``; only these windows see raw
-   samples, and each holds at most one block of tie values;
-2. then, level by level (blocks within an instant, instants within a
-   second, seconds within a day, days within the machine), a segment's first
-   island merges with the previous segment's last one when the states are
-   equal, and positions are prefix sums of ``n - merged``; each window holds
-   one calendar unit of summaries (at most 10^6 instants a second, 86,400
-   seconds a day, one row per day).
-
-Island number within the machine = the sum of the positions at every level
-+ j, minus the merge flags; a final group-by on (machine, island) yields
-intervals.
+"""Gaps-and-islands over state samples.
+
+Samples are sorted once, inside units of a key and an hour; a unit's runs of
+equal state follow from the state before.  Units are then summed up in a row
+each (runs, first and last state), and one window over a key's units says
+where a unit's first run continues the run before and how many runs came
+earlier.  Runs that continue meet in a last group-by.  Raw samples are
+shuffled once; everything after works on runs and units.
+
+An hour of more than ``hot_rows`` samples is cut into slices of time, and an
+instant of more than that into ranges of tie values, so no window holds much
+more than ``hot_rows`` samples whatever a key, an hour or an instant holds.
+Finding such hours takes one count per key and hour before the plan is made.
 
 Interval semantics as in the source: an island starts at its first sample
 and ends at its **last** sample (not at the next island's start).
@@ -30,115 +23,108 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linepulse.functions import MICROS_PER_SECOND, epoch_micros, floor_div
+from linepulse.functions import MICROS_PER_HOUR, epoch_micros, floor_div
+from linepulse.operators.joins import bounded_broadcast
 
-SECONDS_PER_DAY = 86_400
+HOT_ROWS = 1 << 20
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
-def _with_time_levels(df: DataFrame, ts: str) -> DataFrame:
-    return (df.withColumn("_us", epoch_micros(ts))
-            .withColumn("_sec", floor_div("_us", MICROS_PER_SECOND))
-            .withColumn("_day", floor_div("_sec", SECONDS_PER_DAY)))
-
-
-def _level(summary: DataFrame, part: Sequence[str], order: str) -> DataFrame:
-    """Merge flag and position of each child segment inside its parent.
-
-    ``summary`` has per child: ``_n`` islands, ``_first``/``_last`` state.
-    """
-    w = Window.partitionBy(*part).orderBy(order)
-    has_prev = F.lag(order).over(w).isNotNull()
-    merged = has_prev & F.col("_first").eqNullSafe(F.lag("_last").over(w))
-    out = summary.withColumn("_m", merged.cast("bigint"))
-    net = F.col("_n") - F.col("_m")
-    return out.withColumn("_pos", F.coalesce(F.sum(net).over(w.rowsBetween(*_BEFORE)),
-                                             F.lit(0)))
-
-
-# Ties at one instant are split into blocks of this many tie values.
-TIE_BLOCK = 1 << 20
-# Samples without a tie value come last at their instant, in a block of their own.
-NO_TIE_BLOCK = (1 << 62)
-
-
-def _tie_block(tie: str, tie_block: int) -> Column:
-    return F.coalesce(floor_div(F.col(tie), tie_block), F.lit(NO_TIE_BLOCK))
-
-
-def _summary(df: DataFrame, group: Sequence[str], child: str) -> DataFrame:
-    """Collapse child segments into their parent: net island count, first and
-    last state, latest end."""
-    return df.groupBy(*group).agg(
-        (F.sum("_n") - F.sum("_m")).alias("_n"), F.min_by("_first", child).alias("_first"),
-        F.max_by("_last", child).alias("_last"), F.max("_end").alias("_end"))
+def _piece(value: Column, low: Column, high: Column, rows: Column, hot_rows: int) -> Column:
+    """Which of the equal ranges of [low, high] the value is in; about twice as
+    many ranges as it would take if the rows were spread evenly."""
+    ranges = F.ceil(rows / hot_rows) * 2
+    share = (value.cast("double") - low.cast("double")) / (high.cast("double") - low.cast("double") + 1)
+    return F.floor(share * ranges)
+
+
+def _in_units(df: DataFrame, part: Sequence[str], ts: str, tie: str | None, hot_rows: int,
+              repeats_matter: bool) -> DataFrame:
+    """``df`` with ``_pk`` (the key as a struct, so NULLs group like values),
+    ``_us`` and ``_unit``, whose order is that of the samples' times and ties."""
+    base = (df.withColumn("_pk", F.struct(*part)).withColumn("_us", epoch_micros(ts))
+            .withColumn("_hour", floor_div("_us", MICROS_PER_HOUR)))
+    zero = F.lit(0).cast("bigint")
+    hot = (base.groupBy("_pk", "_hour").agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"),
+                                            F.max("_us").alias("_hi"))
+           .filter(F.col("_n") > hot_rows))
+    if hot.isEmpty():
+        return base.withColumn("_unit", F.struct("_hour", zero.alias("_slice"), zero.alias("_range"))) \
+            .drop("_hour")
+    if not repeats_matter:
+        base = base.distinct()          # equal samples are one run anyway
+    base = (base.join(bounded_broadcast(hot), ["_pk", "_hour"], "left")
+            .withColumn("_slice", F.coalesce(_piece(F.col("_us"), F.col("_lo"), F.col("_hi"),
+                                                    F.col("_n"), hot_rows), zero)))
+    in_hot = base.filter(F.col("_n").isNotNull())
+    base = base.drop("_n", "_lo", "_hi")
+    if tie is None:
+        return base.withColumn("_unit", F.struct("_hour", "_slice", zero.alias("_range"))) \
+            .drop("_hour", "_slice")
+    instants = (in_hot.groupBy("_pk", "_us").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(tie).alias("_lo"), F.max(tie).alias("_hi"))
+        .filter(F.col("_n") > hot_rows))
+    # A hot instant is units of its own, by range of ties, those without a tie
+    # last; a slice's samples before and after it differ in the instants passed.
+    base = base.join(bounded_broadcast(instants), ["_pk", "_us"], "left")
+    own = F.when(F.col("_n").isNull(), F.lit(-1).cast("bigint")).otherwise(F.coalesce(
+        _piece(F.col(tie), F.col("_lo"), F.col("_hi"), F.col("_n"), hot_rows),
+        F.lit(1 << 40).cast("bigint")))
+    marks = (instants.select("_pk", "_us").withColumn("_hour", floor_div("_us", MICROS_PER_HOUR))
+             .groupBy("_pk", "_hour").agg(F.sort_array(F.collect_list("_us")).alias("_marks")))
+    base = base.join(bounded_broadcast(marks), ["_pk", "_hour"], "left")
+    passed = F.coalesce(F.size(F.filter("_marks", lambda m: m < F.col("_us"))), F.lit(0)).cast("bigint")
+    order = F.struct("_hour", "_slice", passed.alias("_passed"), own.alias("_range"))
+    return base.withColumn("_unit", order).drop("_hour", "_slice", "_n", "_lo", "_hi", "_marks")
 
 
 def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_input",
                   state: str = "state", tie: str | None = "event_id",
                   with_last_flag: bool = False, with_first_tie: bool = False,
-                  tie_block: int = TIE_BLOCK) -> DataFrame:
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """(key, state, start_time, end_time[, is_last][, first_tie]) per run
     of equal states.
 
     ``tie`` orders samples sharing a timestamp (the host database leaves
     that order arbitrary); NULL ties come last and the state orders samples
     that the tie does not (all of them where it is NULL throughout or
-    ``tie=None``).  NULL states form runs like any other value.
+    ``tie=None``).  NULL states form runs like any other value, NULL keys
+    group like any other key.
     ``is_last`` (C9) marks intervals ending at the machine's last sample;
     ``first_tie`` is the tie value of the island's first sample.
-
-    Runs are found in windows over (key, instant, block of ``tie_block`` tie
-    values), then merged upward: blocks within an instant, instants within a
-    second, seconds within a day, days within the key.  No window holds more
-    than one block of samples or one calendar unit of summaries.
     """
-    order_in_instant = [*([F.col(tie).asc_nulls_last()] if tie else []),
-                        F.col(state).asc_nulls_last()]
     cols = [key, ts, state, *([tie] if tie else [])]
-    base = _with_time_levels(samples.select(*cols), ts)
-    base = base.withColumn("_blk", _tie_block(tie, tie_block) if tie else F.lit(0))
-    w0 = Window.partitionBy(key, "_us", "_blk").orderBy(*order_in_instant)
-    prev = F.lag(state).over(w0)
-    first = F.lag(F.lit(1)).over(w0).isNull()
-    change = (first | ~F.col(state).eqNullSafe(prev)).cast("bigint")
-    base = base.withColumn("_j", F.sum(change).over(w0.rowsBetween(Window.unboundedPreceding, 0)))
-
-    first_tie = ([F.min(F.col(tie)).alias("_ft")] if with_first_tie and tie else [])
-    local = (base.groupBy(key, "_day", "_sec", "_us", "_blk", "_j")
-             .agg(F.first(state).alias(state), F.min(ts).alias("start_time"),
-                  F.max(ts).alias("end_time"), *first_tie))
-    blocks = (local.groupBy(key, "_day", "_sec", "_us", "_blk")
-              .agg(F.max("_j").alias("_n"), F.min_by(state, "_j").alias("_first"),
-                   F.max_by(state, "_j").alias("_last"), F.max("end_time").alias("_end")))
-    blocks = _level(blocks, [key, "_us"], "_blk")
-    instants = _level(_summary(blocks, [key, "_day", "_sec", "_us"], "_blk"),
-                      [key, "_sec"], "_us")
-    secs = _level(_summary(instants, [key, "_day", "_sec"], "_us"), [key, "_day"], "_sec")
-    days = _level(_summary(secs, [key, "_day"], "_sec"), [key], "_day")
+    base = _in_units(samples.select(*cols), [key], ts, tie, hot_rows, repeats_matter=False)
+    order = ["_us", *([F.col(tie).asc_nulls_last()] if tie else []), F.col(state).asc_nulls_last()]
+    w0 = Window.partitionBy("_pk", "_unit").orderBy(*order)
+    change = (F.lag(F.lit(1)).over(w0).isNull()
+              | ~F.col(state).eqNullSafe(F.lag(state).over(w0))).cast("bigint")
+    base = base.withColumn("_change", change).withColumn(
+        "_j", F.sum("_change").over(w0.rowsBetween(Window.unboundedPreceding, 0)))
+    first_tie = ([F.min(F.struct(F.col(ts), F.col(tie).isNull().alias("none"), F.col(tie).alias("_t")))
+                  .alias("_ft")] if with_first_tie and tie else [])
+    runs = base.groupBy("_pk", "_unit", "_j").agg(
+        F.first(state).alias(state), F.min(ts).alias("start_time"), F.max(ts).alias("end_time"),
+        *first_tie)
+    units = runs.groupBy("_pk", "_unit").agg(
+        F.max("_j").alias("_n"), F.min_by(state, "_j").alias("_first"),
+        F.max_by(state, "_j").alias("_last"), F.max("end_time").alias("_end"))
+    w = Window.partitionBy("_pk").orderBy("_unit")
+    merged = (F.lag("_n").over(w).isNotNull()
+              & F.col("_first").eqNullSafe(F.lag("_last").over(w))).cast("bigint")
+    units = units.withColumn("_m", merged).withColumn(
+        "_pos", F.coalesce(F.sum(F.col("_n") - F.col("_m")).over(w.rowsBetween(*_BEFORE)), F.lit(0)))
+    extra = []
     if with_last_flag:
-        days = days.withColumn("_machine_end", F.max("_end").over(Window.partitionBy(key)))
-
-    def pos(df: DataFrame, unit_cols: list[str], tag: str, extra=()) -> DataFrame:
-        return df.select(*unit_cols, F.col("_pos").alias(f"_p{tag}"),
-                         F.col("_m").alias(f"_m{tag}"), *extra)
-
-    j = (local.join(pos(blocks, [key, "_us", "_blk"], "b"), [key, "_us", "_blk"])
-         .join(pos(instants, [key, "_us"], "u"), [key, "_us"])
-         .join(pos(secs, [key, "_sec"], "s"), [key, "_sec"])
-         .join(pos(days, [key, "_day"], "d",
-                   ["_machine_end"] if with_last_flag else []), [key, "_day"]))
-    island = (F.col("_pd") + F.col("_ps") + F.col("_pu") + F.col("_pb") + F.col("_j")
-              - F.col("_mb") - F.col("_mu") - F.col("_ms") - F.col("_md"))
-    j = j.withColumn("_island", island)
-    aggs = [F.first(state).alias(state), F.min("start_time").alias("start_time"),
-            F.max("end_time").alias("end_time")]
-    if with_last_flag:
-        aggs.append(F.max("_machine_end").alias("_machine_end"))
-    if first_tie:
-        aggs.append(F.min(F.struct("start_time", "_ft")).getField("_ft").alias("first_tie"))
-    out = j.groupBy(key, "_island").agg(*aggs)
-    out_cols: list[Column | str] = [key, state, "start_time", "end_time"]
+        units = units.withColumn("_machine_end", F.max("_end").over(Window.partitionBy("_pk")))
+        extra = ["_machine_end"]
+    placed = runs.join(units.select("_pk", "_unit", "_pos", "_m", *extra), ["_pk", "_unit"])
+    placed = placed.withColumn("_island", F.col("_pos") + F.col("_j") - F.col("_m"))
+    out = placed.groupBy("_pk", "_island").agg(
+        F.first(state).alias(state), F.min("start_time").alias("start_time"),
+        F.max("end_time").alias("end_time"), *[F.max(c).alias(c) for c in extra],
+        *([F.min("_ft").getField("_t").alias("first_tie")] if first_tie else []))
+    out_cols: list[Column | str] = [F.col(f"_pk.{key}").alias(key), state, "start_time", "end_time"]
     if with_last_flag:
         out_cols.append((F.col("end_time") == F.col("_machine_end")).alias("is_last"))
     if first_tie:
@@ -146,44 +132,18 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     return out.select(*out_cols)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Equi-join on ``cols`` where NULL matches NULL (as PARTITION BY groups)."""
-    r = right.select(*[F.col(c).alias(f"_r{c}") if c in cols else F.col(c)
-                       for c in right.columns])
-    cond = [left[c].eqNullSafe(r[f"_r{c}"]) for c in cols]
-    return left.join(r, cond).drop(*[f"_r{c}" for c in cols])
-
-
 def row_numbers(df: DataFrame, partition: Sequence[str], ts: str, tie: str,
-                name: str = "rn", tie_block: int = TIE_BLOCK) -> DataFrame:
+                name: str = "rn", hot_rows: int = HOT_ROWS) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY ts, tie)``
-    as a local number per (partition, instant, block of tie values) plus
-    counts of earlier blocks of the instant, earlier instants of the second,
-    earlier seconds of the day and earlier days; no window spans a whole
-    partition key, a whole instant or more than one calendar unit."""
-    part = list(partition)
-    base = _with_time_levels(df, ts).withColumn("_blk", _tie_block(tie, tie_block))
-    w0 = Window.partitionBy(*part, "_us", "_blk").orderBy(F.col(tie).asc_nulls_last())
-    base = base.withColumn("_local", F.row_number().over(w0))
-
-    def before(counts: DataFrame, within: list[str], unit: str, out: str) -> DataFrame:
-        w = Window.partitionBy(*within).orderBy(unit).rowsBetween(*_BEFORE)
-        return counts.withColumn(out, F.coalesce(F.sum("_c").over(w), F.lit(0)))
-
-    blk = before(base.groupBy(*part, "_day", "_sec", "_us", "_blk")
-                 .agg(F.count(F.lit(1)).alias("_c")), [*part, "_us"], "_blk", "_pb")
-    ins = before(blk.groupBy(*part, "_day", "_sec", "_us").agg(F.sum("_c").alias("_c")),
-                 [*part, "_sec"], "_us", "_pu")
-    sec = before(ins.groupBy(*part, "_day", "_sec").agg(F.sum("_c").alias("_c")),
-                 [*part, "_day"], "_sec", "_ps")
-    day = before(sec.groupBy(*part, "_day").agg(F.sum("_c").alias("_c")), part, "_day", "_pd")
-    out = _join_null_safe(base, blk.select(*part, "_us", "_blk", "_pb"), [*part, "_us", "_blk"])
-    out = _join_null_safe(out, ins.select(*part, "_us", "_pu"), [*part, "_us"])
-    out = _join_null_safe(out, sec.select(*part, "_sec", "_ps"), [*part, "_sec"])
-    out = _join_null_safe(out, day.select(*part, "_day", "_pd"), [*part, "_day"])
-    out = out.withColumn(name, F.col("_pd") + F.col("_ps") + F.col("_pu") + F.col("_pb")
-                         + F.col("_local"))
-    return out.drop("_us", "_sec", "_day", "_blk", "_local", "_pb", "_pu", "_ps", "_pd")
+    as the number within the unit plus the rows of the key's earlier units.
+    NULL ties come last; among equal ties the order is arbitrary."""
+    base = _in_units(df, partition, ts, tie, hot_rows, repeats_matter=True)
+    w0 = Window.partitionBy("_pk", "_unit").orderBy("_us", F.col(tie).asc_nulls_last())
+    counts = base.groupBy("_pk", "_unit").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy("_pk").orderBy("_unit").rowsBetween(*_BEFORE)
+    counts = counts.select("_pk", "_unit", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_p"))
+    out = base.withColumn("_local", F.row_number().over(w0)).join(counts, ["_pk", "_unit"])
+    return out.select(*df.columns, (F.col("_p") + F.col("_local")).alias(name))
 
 
 def islands_from_row_numbers(samples: DataFrame, key: str = "machine_id",

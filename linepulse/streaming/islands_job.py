@@ -132,7 +132,8 @@ class IslandsJob:
 
     def _handle(self, batch: DataFrame, batch_id: int) -> None:
         b = batch_id
-        (batch.repartition("mbucket").sortWithinPartitions("machine_id", "time_input")
+        # Few files a bucket, but a bucket too large for one task is split.
+        (batch.hint("rebalance", "mbucket")
          .write.mode("append").partitionBy("mbucket").parquet(self.samples_path))
         touched = batch.groupBy("mbucket", "machine_id").agg(
             F.min(F.struct("time_input", "event_id")).alias("_new"))
@@ -172,20 +173,30 @@ class IslandsJob:
                 "struct<start_time:timestamp_ntz,first_tie:bigint>"))
         state = state.withColumn(
             "_cut", F.when(F.col("_late"), F.col("_cut_closed")).otherwise(F.col("_cut_tail")))
-        cuts = state.select(*on, "_late", F.col("_cut.start_time").alias("_cut_t"),
+        # without any earlier state, all that there is of a machine is the batch
+        new = F.col("_tail_from").isNull() & F.col("_cut").isNull()
+        cuts = state.select(*on, "_late", new.alias("_is_new"), F.col("_cut.start_time").alias("_cut_t"),
                             F.col("_cut.first_tie").alias("_cut_tie"))
 
-        # re-island from the cut
-        lo, uncut = cuts.agg(F.min("_cut_t"), F.count_if(F.col("_cut_t").isNull())).first()
-        since = F.col("mbucket").isin(ids)
-        if not uncut and lo is not None:
-            since = since & (F.col("time_input") >= ntz_literal(lo))
-        after_cut = (F.col("_cut_t").isNull() | (F.col("time_input") > F.col("_cut_t"))
+        # re-island from the cut: new machines from the batch, machines with a
+        # cut from the stored samples since the earliest cut, and only those
+        # whose new samples come before all others from their whole history
+        old = ~F.col("_is_new")
+        lo, uncut = cuts.agg(F.min("_cut_t"),
+                             F.count_if(old & F.col("_cut_t").isNull())).first()
+        after_cut = ((F.col("time_input") > F.col("_cut_t"))
                      | ((F.col("time_input") == F.col("_cut_t"))
-                        & (F.col("event_id") >= F.col("_cut_tie"))))
-        samples = (self.spark.read.parquet(self.samples_path).filter(since)
-                   .join(cuts, on).filter(after_cut)
-                   .select("machine_id", "state", "time_input", "event_id"))
+                        & (F.coalesce(F.col("event_id") >= F.col("_cut_tie"), F.lit(True)))))
+        columns = ["machine_id", "state", "time_input", "event_id"]
+        samples = batch.join(cuts.filter("_is_new").select(*on), on).select(*columns)
+        stored = self.spark.read.parquet(self.samples_path).filter(F.col("mbucket").isin(ids))
+        if lo is not None:
+            samples = samples.unionByName(
+                stored.filter(F.col("time_input") >= ntz_literal(lo))
+                .join(cuts.filter(F.col("_cut_t").isNotNull()), on).filter(after_cut).select(*columns))
+        if uncut:
+            samples = samples.unionByName(
+                stored.join(cuts.filter(old & F.col("_cut_t").isNull()).select(*on), on).select(*columns))
         rebuilt = state_islands(samples, with_first_tie=True).withColumn(
             "mbucket", machine_bucket(F.col("machine_id"), self.buckets))
 
@@ -200,7 +211,7 @@ class IslandsJob:
         void = cuts.filter("_late").select(
             *on, F.col("_cut_t").alias("from_start"), F.col("_cut_tie").alias("from_tie"))
         _write(void, self.void_path, b)
-        _write(rebuilt.select(*ISLAND_COLUMNS, "first_tie", "mbucket").repartition("mbucket"),
+        _write(rebuilt.select(*ISLAND_COLUMNS, "first_tie", "mbucket").hint("rebalance", "mbucket"),
                self.tails_path, b)
         if self.compact_every and b % self.compact_every == self.compact_every - 1:
             # never read the base version being written (a replayed batch)

@@ -95,19 +95,64 @@ def random_samples(rng, n=600):
     return rows
 
 
-@pytest.mark.parametrize("seed,block", [(5, 1 << 20), (6, 1 << 20), (7, 4)])
-def test_islands_brute_force(spark, seed, block):
-    """``block`` 4 splits the ties of the hot instant into many blocks."""
+@pytest.mark.parametrize("seed,hot,wide", [(5, 1 << 20, False), (7, 4, False), (8, 4, True)])
+def test_islands_brute_force(spark, seed, hot, wide):
+    """``hot`` 4 cuts hours into slices and the hot instants into ranges of
+    ties; ``wide``: sparse 64-bit ids."""
     rows = random_samples(random.Random(seed))
+    if wide:
+        wild = random.Random(1)
+        ids = [wild.randrange(-(1 << 62), 1 << 62) for _ in rows]
+        rows = [(m, st, t, i) for (m, st, t, _), i in zip(rows, ids)]
     df = spark.createDataFrame(rows, "machine_id string, state string, "
                                      "time_input timestamp_ntz, event_id bigint")
     want = brute_islands(rows)
-    got = sorted((tuple(r) for r in I.state_islands(df, tie_block=block).collect()), key=repr)
+    got = sorted((tuple(r) for r in I.state_islands(df, hot_rows=hot).collect()), key=repr)
     assert got == want
     got_rn = sorted((tuple(r) for r in I.islands_from_row_numbers(df).collect()), key=repr)
     assert got_rn == want
 
 
+@pytest.mark.parametrize("hot", [1 << 20, 4])
+def test_islands_without_ids(spark, hot):
+    """Samples without an id, or with some: none is lost, states break ties."""
+    rng = random.Random(3)
+    rows = [(m, st or "X", t, i if rng.random() < .3 else None)
+            for m, st, t, i in random_samples(rng, 300)]
+    fields = "machine_id string, state string, time_input timestamp_ntz, event_id bigint"
+    last = 1 << 62
+    want = brute_islands([(m, st, t, (last if i is None else i, st)) for m, st, t, i in rows])
+    df = spark.createDataFrame(rows, fields)
+    assert sorted((tuple(r) for r in I.state_islands(df, hot_rows=hot).collect()), key=repr) == want
+    want = brute_islands([(m, st, t, st) for m, st, t, _ in rows])
+    got = I.state_islands(df.drop("event_id"), tie=None, hot_rows=hot)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == want
+
+
+def test_ids_beyond_five_digits_stay_apart(spark):
+    from linepulse.sources.adapters import machine_id_of
+
+    ids = spark.createDataFrame([(7,), (99999,), (123456,), (123457,)], "user_id long")
+    assert [r[0] for r in ids.select(machine_id_of(F.col("user_id"))).collect()] == [
+        "M00007", "M99999", "M123456", "M123457"]
+
+
+def test_window_counts_plans_agree_on_nulls_and_long_windows(spark):
+    day = dt.timedelta(days=1)
+    events = [("A", BASE + day * k) for k in range(5)] + [(None, BASE)]
+    windows = [("x", "A", BASE, BASE + day), ("x", None, BASE, BASE + day), (None, "A", BASE, BASE + 3 * day),
+               ("n", None, BASE, BASE + day), ("z", "A", BASE, dt.datetime(9999, 12, 31)),
+               ("o", "A", BASE, None)]
+    ev = spark.createDataFrame(events, "line string, t timestamp_ntz")
+    win = spark.createDataFrame(windows, "lot_id string, line string, start_time timestamp_ntz, "
+                                         "end_time timestamp_ntz")
+    want = [("n", 0), ("x", 1), ("z", 5), (None, 3)]
+    for strategy, rows in (("prefix", win), ("auto", win), ("broadcast", win.filter("lot_id <> 'z' OR lot_id IS NULL"))):
+        got = window_counts(ev, "t", rows, {"n": F.lit(1)}, keys=["line"], strategy=strategy)
+        kept = want if strategy != "broadcast" else [w for w in want if w[0] != "z"]
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(kept, key=repr), strategy
+
+
 def test_islands_last_flag(spark):
     rows = random_samples(random.Random(9), 300)
     df = spark.createDataFrame(rows, "machine_id string, state string, "
@@ -119,13 +164,13 @@ def test_islands_last_flag(spark):
         assert r.is_last == (r.end_time == last[r.machine_id])
 
 
-@pytest.mark.parametrize("block", [1 << 20, 4])
-def test_row_numbers_brute_force(spark, block):
+@pytest.mark.parametrize("hot", [1 << 20, 4])
+def test_row_numbers_brute_force(spark, hot):
     rows = random_samples(random.Random(7), 400)
     df = spark.createDataFrame(rows, "machine_id string, state string, "
                                      "time_input timestamp_ntz, event_id bigint")
     got = {r.event_id: r.rn for r in I.row_numbers(df, ["machine_id"], "time_input",
-                                                      "event_id", tie_block=block).collect()}
+                                                      "event_id", hot_rows=hot).collect()}
     by_m = defaultdict(list)
     for m, _, t, eid in rows:
         by_m[m].append((t, eid))
