@@ -42,7 +42,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus)
     qs = queries()
-    # One-time setup, reported apart: derive the domain tables from the raw
+    # One-time setup, part of the total: derive the domain tables from the raw
     # parquet files and store them (what ingestion would have produced).
     t0 = time.perf_counter()
     stage_testdata(spark, sf_dir, force=True)
@@ -61,8 +61,8 @@ def main() -> None:
             errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
-        "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "metric": "headline_queries_and_staging_total",
+        "value": round(sum(times.values()) + setup, 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
