@@ -10,12 +10,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linepulse.operators.joins import bounded_broadcast
 from linepulse.session import work_path
 
 # Rows handled at once inside an Arrow batch, so that a worker holds few texts.
 SLICE_ROWS = 256
 
 
+# Rows of keys that may be broadcast, at most; more are joined by shuffle.
+BROADCAST_ROWS = 300_000
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """``df``, a staged table, as the broadcast side of a join if it is small."""
+    return bounded_broadcast(df, BROADCAST_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

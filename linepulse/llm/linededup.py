@@ -14,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linepulse.llm.common import stage, table
-from linepulse.operators.joins import bounded_broadcast
+from linepulse.llm.common import if_small, stage, table
 
 MIN_WORDS = 5
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -68,7 +67,7 @@ def _words_at(docs: DataFrame, doc_id: str, text: str, places: DataFrame) -> Dat
                        .alias("asked")), "asked_lines")
     body = F.col(f"`{text}`")
     held = docs.select(F.col(f"`{doc_id}`").alias("id"), body.alias("text")).join(
-        bounded_broadcast(asked), F.col("id").eqNullSafe(F.col("_id"))
+        if_small(asked), F.col("id").eqNullSafe(F.col("_id"))
         & (F.xxhash64("text") == F.col("_th")))
     cut = (held.select(F.split("text", "\n").alias("lines"), F.explode("asked").alias("a"))
            .select("a.h1", "a.h2", "a.first", F.col("lines")[F.col("a.line")].alias("raw")))
@@ -145,7 +144,7 @@ def _near(lines: DataFrame) -> DataFrame:
     two = groups.filter("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     centres = stage(groups.filter("n > 2").select("key", F.coalesce("whole", "lo").alias("a")),
                     "variant_centres")
-    more = variants.join(bounded_broadcast(centres), "key").select("a", F.col("v").alias("b"))
+    more = variants.join(if_small(centres), "key").select("a", F.col("v").alias("b"))
     pairs = two.unionByName(more).select(F.floor(F.col("a") / 2).alias("a"),
                                          F.floor(F.col("b") / 2).alias("b")).filter("a <> b")
     pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -167,7 +166,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     distinct = stage(found.groupBy("h1", "h2").agg(
         F.min(_place()).alias("first"), F.min("halves").alias("halves"),
         F.count(F.lit(1)).alias("copies")), "distinct_lines")
-    places = distinct.join(bounded_broadcast(_sharing(distinct)), "h1", "left_semi")
+    places = distinct.join(if_small(_sharing(distinct)), "h1", "left_semi")
     sharing = stage(_words_at(docs, doc_id, text, places.select("h1", "h2", "first")),
                     "sharing_lines")
     ordered = stage(sharing.orderBy("first").withColumn("seq", F.monotonically_increasing_id()),
@@ -176,7 +175,7 @@ def removed_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     marks = stage(distinct.filter("copies > 1").select("h1", "h2", "first")
                   .unionByName(near.select("h1", "h2", F.lit(None).cast(
                       distinct.schema["first"].dataType).alias("first"))), "marks")
-    gone = found.drop("halves").join(bounded_broadcast(marks), ["h1", "h2"]).filter(
+    gone = found.drop("halves").join(if_small(marks), ["h1", "h2"]).filter(
         F.col("first").isNull() | (_place() != F.col("first")))
     return stage(gone.groupBy("id", "th").agg(F.collect_set("line").alias("gone")), "gone")
 
@@ -199,7 +198,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     body = F.col(f"`{text}`")
     kept = [c for c in docs.columns if c.lower() != "n_removed"]
     out = docs.select(*[F.col(f"`{c}`") for c in kept]).join(
-        bounded_broadcast(gone), F.col(f"`{doc_id}`").eqNullSafe(F.col("_id"))
+        if_small(gone), F.col(f"`{doc_id}`").eqNullSafe(F.col("_id"))
         & (F.xxhash64(body) == F.col("_th")), "left")
     stays = F.array_join(F.filter(F.split(body, "\n"),
                                   lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")

@@ -20,10 +20,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linepulse.llm.common import (VECTOR_FIELDS, map_slices, stage, table, texts_of,
+from linepulse.llm.common import (VECTOR_FIELDS, if_small, map_slices, stage, table, texts_of,
                                   vector_rows, vector_sum)
 from linepulse.llm.components import components
-from linepulse.operators.joins import bounded_broadcast
 
 BITS = 64
 SEED = 42
@@ -269,7 +268,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     of identical rows any one).  Columns stay as they are.
 
     The rows that go are joined out; only their keys are broadcast, and only
-    up to the bound of ``bounded_broadcast``.
+    up to BROADCAST_ROWS rows.
     """
     ids = _ids(docs, doc_id, text, shingle)
     marked = ids.join(component_roots(ids, bound).select("fp", "root"), "fp")
@@ -279,8 +278,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     judged = keys.join(first, "root").withColumn("stays", order == F.col("first"))
     judged = stage(judged.select(F.col("id").alias("_id"), F.col("th").alias("_th"),
                                  "stays", "copies"), "judged")
-    gone = bounded_broadcast(judged.filter("not stays").select("_id", "_th"))
-    many = bounded_broadcast(judged.filter("stays and copies > 1").select("_id", "_th"))
+    gone = if_small(judged.filter("not stays").select("_id", "_th"))
+    many = if_small(judged.filter("stays and copies > 1").select("_id", "_th"))
 
     def same(keys: DataFrame):
         return (F.col(f"`{doc_id}`").eqNullSafe(keys["_id"])
