@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter
 
@@ -29,27 +30,64 @@ CACHED_CHUNKS = 400_000     # chunks whose ids a worker remembers
 CACHED_CHARS = 40
 SEARCH_PAIRS = 200_000      # pattern pairs that the local search looks at, at most
 
+_LETTERS = re.compile(r"[^\W\d_]+")
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _byte_characters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes as: themselves
+    where they are printable in Latin-1, else the next ones from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(others)}}
+
+
 class ChunkEncoder:
     """Ids of whole texts by the tokenizer, chunk by chunk.
 
     The tokenizer's own first split never crosses a single space between two
     non-spaces, so a text's ids are those of its chunks in order, a chunk being
-    a run up to the next such space, with the space before it.  Ids of short
-    chunks are remembered.
+    a run up to the next such space, with the space before it.  Nor does it join
+    a chunk's leading letters to what follows, so those go to the vocabulary's
+    model directly.  Ids of short chunks are remembered.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        self.model = self.tokenizer.model
+        self.known: dict[str, bytes] = {}       # chunks, without their leading space
+        self.tails: dict[str, bytes] = {}       # what follows a chunk's letters
+        self.characters = _byte_characters()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [_packed(e.ids) for e in found]
+
+    def _letters(self, word: str) -> bytes:
+        space = self.characters[32]
+        written = (space + word if word.isascii() else
+                   space + word.encode("utf-8").decode("latin-1").translate(self.characters))
+        return _packed([t.id for t in self.model.tokenize(written)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        head = _LETTERS.match(chunk)
+        if not head or not head.group().isalpha():
+            return self._encode([" " + chunk])[0]
+        word, tail = head.group(), chunk[head.end():]
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self._letters(word)
+            if len(word) <= CACHED_CHARS:
+                self.known[word] = ids
+        if not tail:
+            return ids
+        if tail not in self.tails:
+            if len(self.tails) > CACHED_CHUNKS // 10:
+                self.tails.clear()
+            self.tails[tail] = self._encode([tail])[0]
+        return ids + self.tails[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -68,13 +106,23 @@ class ChunkEncoder:
             split.append(parts)
             need.update(new)
         heads = self._encode([parts[0] for parts in split])
-        need = sorted(p for p in need if p)
         once: dict[str, bytes] = {}
-        for p, ids in zip(need, self._encode([" " + p for p in need])):
-            kept = len(p) <= CACHED_CHARS and not p[0].isspace() and not p[-1].isspace()
-            (known if kept else once)[p] = ids
-        ids_of = known.__getitem__ if not once else lambda p: known.get(p) or once[p]
-        return [head + b"".join(map(ids_of, parts[1:])) for head, parts in zip(heads, split)]
+        for p in need:
+            if p:
+                kept = len(p) <= CACHED_CHARS and not p[0].isspace() and not p[-1].isspace()
+                (known if kept else once)[p] = self._chunk(p)
+        out = []
+        for head, parts in zip(heads, split):
+            del parts[0]
+            try:
+                out.append(head + b"".join(map(known.__getitem__, parts)))
+            except KeyError:
+                out.append(head + b"".join(known.get(p) or once[p] for p in parts))
+        return out
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 _encoders: dict[str, ChunkEncoder] = {}     # by worker process, kept over its tasks
