@@ -105,3 +105,15 @@ def test_empty_table_and_bad_bound(spark):
 def test_main_path_is_native(spark):
     plan = ld.dedup_lines(docs(spark, messy()))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_copies_of_short_lines_go(spark):
+    rows = [(1, "All rights reserved.\nfour words stand here\n \nMenu", "en", "s", 1),
+            (2, "menu\n \nall  rights reserved.\nfour words stood here", "en", "s", 1),
+            (3, "Menu", "en", "s", 4)]
+    df = docs(spark, rows)
+    got = sorted((r.doc_id, r.text, r.n_removed) for r in ld.dedup_lines(df).collect())
+    assert got == [(1, rows[0][1], 0), (2, " \nfour words stood here", 2), (3, "", 1)]
+    assert sorted(r.doc_id for r in ld.keep_first_lines(df).collect()) == [1, 2]
+    kept = ld.dedup_lines(df, copy_words=ld.MIN_WORDS)
+    assert all(r.n_removed == 0 for r in kept.collect())
