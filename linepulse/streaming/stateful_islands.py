@@ -1,108 +1,103 @@
-"""I1, second form: islands as a keyed stateful stream operator.
+"""I1, second form: islands as a stream with one open island per machine as state.
 
-``groupBy(machine).applyInPandasWithState``: the state of a machine is its
-open island (state, first sample, last sample, first tie), O(1) per
-machine.  Each micro-batch sorts the machine's new samples by (time, tie),
-extends or closes the open island, and emits every island it closes plus
-the new open one (``is_open``).  A ``foreachBatch`` sink appends closed
-islands and the open rows under the batch id; the table of islands is the
-closed ones plus each machine's newest open row.
+A ``foreachBatch`` job: the state of a machine is its open island (state,
+first sample, last sample), O(1) per machine, kept as one table version per
+micro-batch.  Each micro-batch is reduced to its runs by
+``operators.islands.state_islands``, which sorts in units of an hour and cuts
+hot hours and instants, so no task holds a machine's rows at once.  Only the
+machine's first run of the batch may extend the open island, and its last run
+is the new open one.  A batch appends the islands it closes and the open ones
+(``is_open``) under its id; the table of islands is the closed ones plus each
+machine's newest open row.
 
 Exact only when samples arrive in time order across micro-batches (a late
 sample cannot reopen a closed island); ``IslandsJob`` is exact for any
-arrival order and is the default.  The pandas work per group is bounded by
-one machine's rows in one micro-batch.
+arrival order and is the default.  A batch reads only the state of earlier
+ones, so a replayed batch overwrites exactly its own rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-OUTPUT = T.StructType([
-    T.StructField("machine_id", T.StringType()),
-    T.StructField("state", T.StringType()),
-    T.StructField("start_time", T.TimestampNTZType()),
-    T.StructField("end_time", T.TimestampNTZType()),
-    T.StructField("is_open", T.BooleanType()),
-])
-STATE = T.StructType([
-    T.StructField("state", T.StringType()),
-    T.StructField("start_time", T.TimestampNTZType()),
-    T.StructField("end_time", T.TimestampNTZType()),
-])
-_NULL = "\x00null"        # stand-in so NULL states compare equal to each other
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-             ) -> Iterator[pd.DataFrame]:
-    (machine,) = key
-    rows = pd.concat(list(batches), ignore_index=True)
-    rows = rows.sort_values(["time_input", "event_id"], kind="mergesort")
-    states = rows["state"].astype(object).where(rows["state"].notna(), _NULL)
-    times = rows["time_input"]
-    if state.exists:
-        open_state, open_start, open_end = state.get
-        prev = [_NULL if open_state is None else open_state]
-        # the open island enters as one row at its last sample; its first
-        # sample is restored below
-        states = pd.concat([pd.Series(prev, dtype=object), states], ignore_index=True)
-        times = pd.concat([pd.Series([pd.Timestamp(open_end)]), times], ignore_index=True)
-        starts_first = pd.Timestamp(open_start)
-    else:
-        starts_first = None
-    run = (states != states.shift()).cumsum()
-    grouped = pd.DataFrame({"run": run, "state": states, "t": times}).groupby("run", sort=True)
-    islands = grouped.agg(state=("state", "first"), start_time=("t", "min"),
-                          end_time=("t", "max")).reset_index(drop=True)
-    if starts_first is not None:            # the open island keeps its first sample
-        islands.loc[0, "start_time"] = starts_first
-    islands["state"] = islands["state"].where(islands["state"] != _NULL, None)
-    islands.insert(0, "machine_id", machine)
-    islands["is_open"] = False
-    islands.loc[islands.index[-1], "is_open"] = True
-    last = islands.iloc[-1]
-    state.update((last["state"], last["start_time"].to_pydatetime(),
-                  last["end_time"].to_pydatetime()))
-    yield islands[["machine_id", "state", "start_time", "end_time", "is_open"]]
-
-
-def island_updates(samples_stream: DataFrame) -> DataFrame:
-    """Streaming DataFrame of island updates (closed islands and the open one)."""
-    return (samples_stream.select("machine_id", "state", "time_input", "event_id")
-            .groupBy("machine_id")
-            .applyInPandasWithState(_advance, OUTPUT, STATE, "update",
-                                    GroupStateTimeout.NoTimeout))
+
+from linepulse.operators.islands import state_islands
+from linepulse.operators.joins import bounded_broadcast
+from linepulse.sources.versioned import VersionedTable
+
+COLUMNS = ["machine_id", "state", "start_time", "end_time"]
+
+
+def _key() -> Column:
+    """Order of a machine's runs: that of their first samples."""
+    return F.struct("start_time", F.col("first_tie").isNull().alias("no_tie"), "first_tie",
+                    F.col("state").isNull().alias("no_state"), "state")
+
+
+def advance(batch: DataFrame, opened: DataFrame | None) -> DataFrame:
+    """(machine_id, state, start_time, end_time, is_open): the islands that the
+    batch closes and the open ones of its machines."""
+    runs = state_islands(batch, with_first_tie=True).withColumn("_key", _key())
+    whole = F.struct("_key", "end_time")
+    ends = runs.groupBy("machine_id").agg(F.min(whole).alias("_first"), F.max("_key").alias("_last"))
+    if opened is None:
+        opened = batch.sparkSession.createDataFrame([], runs.select(*COLUMNS).schema)
+    opened = opened.select(F.col("machine_id").alias("_m"), F.struct(
+        F.lit(True).alias("known"), "state", "start_time", "end_time").alias("_open"))
+    ends = ends.join(opened, F.col("machine_id").eqNullSafe(F.col("_m")), "left").select(
+        F.col("machine_id").alias("_m"), F.col("_first._key").alias("_first"), "_last", "_open",
+        F.coalesce(F.col("_open.known") & F.col("_open.state").eqNullSafe(F.col("_first._key.state")),
+                   F.lit(False))
+        .alias("_extends"))
+    first = F.col("_key").eqNullSafe(F.col("_first")) & F.col("_extends")
+    found = (runs.join(bounded_broadcast(ends), F.col("machine_id").eqNullSafe(F.col("_m")))
+             .select("machine_id", "state",
+                     F.when(first, F.col("_open.start_time")).otherwise(F.col("start_time"))
+                     .alias("start_time"),
+                     F.when(first, F.greatest("end_time", "_open.end_time"))
+                     .otherwise(F.col("end_time")).alias("end_time"),
+                     F.col("_key").eqNullSafe(F.col("_last")).alias("is_open")))
+    closed = ends.filter(F.col("_open.known") & ~F.col("_extends")).select(
+        F.col("_m").alias("machine_id"), "_open.state", "_open.start_time", "_open.end_time",
+        F.lit(False).alias("is_open"))
+    return found.unionByName(closed)
 
 
 class StatefulIslandsJob:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = f"{root.rstrip('/')}/island_updates"
+        self.open = VersionedTable(spark, f"{root.rstrip('/')}/open_islands")
+
+    def handle(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.select("machine_id", "state", "time_input", "event_id").persist()
+        try:
+            if not batch.isEmpty():
+                self._handle(batch, batch_id)
+        finally:
+            batch.unpersist()
 
-    def _store(self, batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    def _handle(self, batch: DataFrame, batch_id: int) -> None:
+        before = self.open.latest_before(batch_id)
+        opened = None if before is None else self.open.read(before)
+        updates = advance(batch, opened)
+        (updates.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self.path))
+        new = (self.spark.read.schema(updates.schema).parquet(f"{self.path}/batch_id={batch_id}")
+               .filter("is_open").select(*COLUMNS))
+        if opened is not None:
+            touched = new.select(F.col("machine_id").alias("_m"))
+            new = new.unionByName(opened.select(*COLUMNS).join(
+                touched, F.col("machine_id").eqNullSafe(F.col("_m")), "left_anti"))
+        self.open.write(new, version=batch_id)
 
     def read(self) -> DataFrame:
-        rows = self.spark.read.parquet(self.path)
-        closed = rows.filter(~F.col("is_open"))
-        newest = (rows.filter("is_open").groupBy("machine_id")
-                  .agg(F.max_by(F.struct("state", "start_time", "end_time"), "batch_id")
-                       .alias("_o")))
-        open_ = newest.select("machine_id", "_o.state", "_o.start_time", "_o.end_time")
-        return closed.select("machine_id", "state", "start_time", "end_time") \
-            .unionByName(open_)
+        closed = self.spark.read.parquet(self.path).filter(~F.col("is_open"))
+        return closed.select(*COLUMNS).unionByName(self.open.read().select(*COLUMNS))
 
     def run(self, samples_stream: DataFrame, checkpoint: str) -> DataFrame:
-        q = (island_updates(samples_stream).writeStream.outputMode("update")
-             .foreachBatch(self._store).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
+        q = (samples_stream.writeStream.foreachBatch(self.handle)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         q.awaitTermination()
         return self.read()

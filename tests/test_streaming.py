@@ -159,6 +159,23 @@ def test_stateful_islands_runs_across_batches(spark, tmp_path):
     assert _rows(got) == _rows(state_islands(everything))
 
 
+def test_stateful_islands_without_python_on_workers(spark, tmp_path):
+    """A machine's rows of a batch are no pandas frame; a replay, NULL machines,
+    ties without an id and an empty batch give the same islands."""
+    from linepulse.streaming import stateful_islands as SI
+
+    batches = [[("M1", "PROD", _t(8), None), ("M1", None, _t(8), None), (None, "IDLE", _t(8), 1)],
+               [], [("M1", None, _t(9), 2), (None, "IDLE", _t(9), 3), (None, "DOWN", _t(10), 4)]]
+    schema = "machine_id string, state string, time_input timestamp_ntz, event_id bigint"
+    job = SI.StatefulIslandsJob(spark, str(tmp_path / "job"))
+    for k in (0, 1, 2, 2):
+        job.handle(spark.createDataFrame(batches[k], schema), k)
+    everything = spark.createDataFrame([r for b in batches for r in b], schema)
+    assert _rows(job.read()) == _rows(state_islands(everything))
+    plan = SI.advance(everything, job.open.read())._jdf.queryExecution().toString()
+    assert "Pandas" not in plan and "Python" not in plan
+
+
 def _t(h, m=0, d=1):
     import datetime as dt
 
