@@ -18,9 +18,9 @@ import hashlib
 import os
 import re
 from array import array
-from bisect import bisect_left
 from collections.abc import Sequence
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from linepulse.llm.common import map_slices, stage, table, texts_of
 
-CACHED_CHUNKS = 250_000     # chunks whose ids a worker remembers
+CACHED_CHUNKS = 350_000     # chunks whose ids a worker remembers
 CACHED_CHARS = 40
+RUN_TOKENS = 1 << 18        # tokens of several texts that are aligned at once
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -69,15 +70,43 @@ class Vocabularies:
         self.known_b: dict[str, bytes] = {}
         self.odd: set[str] = set()              # known chunks whose tokens give other bytes
 
-    def _learn(self, chunks: list[str], a: dict[str, bytes], b: dict[str, bytes], odd: set[str]) -> None:
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
+    def _ids_of(self, chunks: list[str], apart: bool) -> tuple[list[bytes], list[bytes], set[str]]:
+        """Ids of the chunks by A and by B, packed, and the chunks that either
+        does not give back.  Unless ``apart``, the chunks are one text to A,
+        whose ids are cut where the chunks end."""
+        wants = [b" " + c.encode() for c in chunks]
+        body = b"".join(wants)
+        sizes = np.array(list(map(len, wants)), dtype=np.int64)
+
+        def packed(flat: np.ndarray, counts: np.ndarray) -> list[bytes]:
+            ids, cuts = flat.tobytes(), [0, *(4 * np.cumsum(counts)).tolist()]
+            return [ids[x:y] for x, y in zip(cuts, cuts[1:])]
+
         ids_b = self.b.encode(chunks, num_threads=1)
-        for c, x, y in zip(chunks, ids_a, ids_b):
-            a[c], b[c] = array("I", x).tobytes(), array("I", y).tobytes()
-            want = b" " + c.encode()
-            if (b"".join(map(self.bytes_a.__getitem__, x)) != want
-                    or b"".join(map(self.bytes_b.__getitem__, y)) != want):
-                odd.add(c)
+        count_b = np.array(list(map(len, ids_b)), dtype=np.int64)
+        flat_b = np.fromiter(chain.from_iterable(ids_b), np.uint32, int(count_b.sum()))
+        ends_b = np.concatenate([[0], np.cumsum(self.length_b[flat_b])])[np.cumsum(count_b)]
+        odd = set()
+        if (np.any(np.diff(ends_b, prepend=0) != sizes)
+                or b"".join(map(self.bytes_b.__getitem__, flat_b.tolist())) != body):
+            odd = {c for c, w, y in zip(chunks, wants, ids_b) if b"".join(map(self.bytes_b.__getitem__, y)) != w}
+        if not apart:
+            ids = self.a.encode_batch_fast([" " + " ".join(chunks)], add_special_tokens=False)[0].ids
+            flat = np.array(ids, dtype=np.uint32)
+            stops = np.searchsorted(np.cumsum(self.length_a[flat]), np.cumsum(sizes)) + 1
+            if b"".join(map(self.bytes_a.__getitem__, ids)) == body and stops[-1] == len(flat):
+                return packed(flat, np.diff(stops, prepend=0)), packed(flat_b, count_b), odd
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
+        odd.update(c for c, w, x in zip(chunks, wants, ids_a) if b"".join(map(self.bytes_a.__getitem__, x)) != w)
+        return [array("I", x).tobytes() for x in ids_a], packed(flat_b, count_b), odd
+
+    def _learn(self, chunks: list[str], apart: bool, a: dict[str, bytes], b: dict[str, bytes],
+               odd: set[str]) -> None:
+        if chunks:
+            packed_a, packed_b, found = self._ids_of(chunks, apart)
+            a.update(zip(chunks, packed_a))
+            b.update(zip(chunks, packed_b))
+            odd.update(found)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of " " + text by A and of text by B; none where a tokenizer's
@@ -100,11 +129,11 @@ class Vocabularies:
             need.update(new)
         need.discard("")
         kept = [p for p in need if len(p) <= CACHED_CHARS and not p[0].isspace() and not p[-1].isspace()]
-        self._learn(kept, self.known_a, self.known_b, self.odd)
+        self._learn(kept, False, self.known_a, self.known_b, self.odd)
         once_a: dict[str, bytes] = {}
         once_b: dict[str, bytes] = {}
         odd: set[str] = set()
-        self._learn(list(need.difference(kept)), once_a, once_b, odd)
+        self._learn(list(need.difference(kept)), True, once_a, once_b, odd)
         out = []
         for text, parts in zip(texts, split):
             if not text or not odd.isdisjoint(parts) or not self.odd.isdisjoint(parts):
@@ -116,8 +145,7 @@ class Vocabularies:
             except KeyError:
                 a = b"".join(self.known_a.get(p) or once_a[p] for p in parts)
                 b = b"".join(self.known_b.get(p) or once_b[p] for p in parts)
-            out.append((np.frombuffer(a, np.uint32).astype(np.int64),
-                        np.frombuffer(b, np.uint32).astype(np.int64)))
+            out.append((np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)))
         return out
 
 
@@ -129,40 +157,90 @@ def vocabularies(path_a: str, path_b: str) -> Vocabularies:
     return Vocabularies(path_a, path_b)
 
 
-def suffix_pairs(bytes_a: Sequence[bytes], bytes_b: Sequence[bytes]) -> np.ndarray:
-    """All (a << 32 | b), ascending, of which one token's bytes end the other's."""
-    def ends(own: Sequence[bytes], other: Sequence[bytes]) -> list[tuple[int, int]]:
-        ids: dict[bytes, list[int]] = {}
-        for k, x in enumerate(other):
-            if x:
-                ids.setdefault(x, []).append(k)
-        return [(i, k) for i, x in enumerate(own) for cut in range(len(x)) for k in ids.get(x[cut:], ())]
+class Pairs:
+    """Numbers for the pairs of tokens of which one's bytes end the other's: the
+    longer token's first number and the shorter one's length, for ids of equal
+    bytes also which of them it is.  ``size`` numbers, whatever the corpus."""
+
+    def __init__(self, bytes_a: Sequence[bytes], bytes_b: Sequence[bytes]):
+        def among_equals(tokens: Sequence[bytes]) -> np.ndarray:
+            seen: dict[bytes, int] = {}
+            out = np.zeros(len(tokens), dtype=np.int64)
+            for k, x in enumerate(tokens):
+                out[k] = seen.get(x, 0)
+                seen[x] = out[k] + 1
+            return out
 
-    pairs = {(a << 32) | b for a, b in ends(bytes_a, bytes_b)}
-    pairs.update((a << 32) | b for b, a in ends(bytes_b, bytes_a))
-    return np.array(sorted(pairs), dtype=np.int64)
+        self.bytes_a, self.bytes_b = bytes_a, bytes_b
+        self.length_a = np.array(list(map(len, bytes_a)), dtype=np.int64)
+        self.length_b = np.array(list(map(len, bytes_b)), dtype=np.int64)
+        self.equal_a, self.equal_b = among_equals(bytes_a), among_equals(bytes_b)
+        self.each_a, self.each_b = int(self.equal_a.max()) + 1, int(self.equal_b.max()) + 1
+        ends = np.cumsum(np.concatenate([self.length_a * self.each_b, self.length_b * self.each_a]))
+        starts = np.concatenate([[0], ends[:-1]])
+        self.first_a, self.first_b = starts[:len(bytes_a)], starts[len(bytes_a):]
+        self.size = int(ends[-1])
+
+    def numbers(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        size_a, size_b = self.length_a[a], self.length_b[b]
+        return np.where(size_a >= size_b,
+                        self.first_a[a] + (size_b - 1) * self.each_b + self.equal_b[b],
+                        self.first_b[b] + (size_a - 1) * self.each_a + self.equal_a[a])
+
+    def b_of(self, numbers: np.ndarray) -> np.ndarray:
+        """The B id of each numbered pair."""
+        ids: dict[tuple[bytes, int], int] = {
+            (x, int(k)): i for i, (x, k) in enumerate(zip(self.bytes_b, self.equal_b))}
+        out = np.searchsorted(self.first_b, numbers, side="right") - 1
+        of_a = np.flatnonzero(numbers < self.first_b[0])
+        at = np.searchsorted(self.first_a, numbers[of_a], side="right") - 1
+        size, which = np.divmod(numbers[of_a] - self.first_a[at], self.each_b)
+        out[of_a] = [ids[self.bytes_a[i][-n - 1:], k] for i, n, k in
+                     zip(at.tolist(), size.tolist(), which.tolist())]
+        return out
 
 
 @cache
-def vocabulary_pairs(path_a: str, path_b: str) -> np.ndarray:
+def vocabulary_pairs(path_a: str, path_b: str) -> Pairs:
     v = vocabularies(path_a, path_b)
-    return suffix_pairs(v.bytes_a, v.bytes_b)
+    return Pairs(v.bytes_a, v.bytes_b)
 
 
-def gallop(short: Sequence[int], long: Sequence[int]) -> list[int]:
+STRIDE = 8      # values that start from the rank of one before
+
+
+def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     """For each value of ``short`` the rank in ``long`` of the first value not
-    below it (both ascending; len(long) if there is none)."""
-    ranks, at, n = [], 0, len(long)
-    for v in short:
-        if at < n and long[at] < v:
-            step, low = 1, at
-            high = at + 1
-            while high < n and long[high] < v:
-                low, step = high, step * 2
-                high = low + step
-            at = bisect_left(long, v, low + 1, min(high, n))
-        ranks.append(at)
-    return ranks
+    below it (both ascending; len(long) if there is none).
+
+    Every ``STRIDE``-th value is sought first, the same way; each of the others
+    starts from the rank of the one before it, doubles its step until the value
+    is passed and searches the last step by halves.  All do so at once.
+    """
+    n = len(long)
+    if not len(short) or not n:
+        return np.zeros(len(short), dtype=np.int64)
+    low = np.zeros(len(short), dtype=np.int64)
+    if len(short) > STRIDE:
+        low = np.repeat(gallop(short[::STRIDE], long), STRIDE)[:len(short)]
+    high, step = low.copy(), 1
+    on = np.flatnonzero(low < n)
+    while len(on):
+        on = on[long[high[on]] < short[on]]
+        low[on] = high[on] + 1
+        high[on] += step
+        step *= 2
+        out = on[high[on] >= n]
+        high[out] = n
+        on = on[high[on] < n]
+    on = np.flatnonzero(low < high)
+    while len(on):
+        middle = (low[on] + high[on]) >> 1
+        less = long[middle] < short[on]
+        low[on[less]] = middle[less] + 1
+        high[on[~less]] = middle[~less]
+        on = on[low[on] < high[on]]
+    return low
 
 
 def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,9 +248,9 @@ def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.
     galloping with the shorter list, and the ranks of its ends in the longer."""
     swap = len(ends_a) > len(ends_b)
     short, long = (ends_b, ends_a) if swap else (ends_a, ends_b)
-    ranks = np.array(gallop(short.tolist(), long.tolist()), dtype=np.int64)
-    inside = ranks < len(long)
-    hit = np.flatnonzero(inside)[long[ranks[inside]] == short[inside]]
+    ranks = gallop(short, long)
+    inside = np.flatnonzero(ranks < len(long))
+    hit = inside[long[ranks[inside]] == short[inside]]
     found = ranks[hit]
     return (found, hit, ranks) if swap else (hit, found, ranks)
 
@@ -195,27 +273,29 @@ def overlaps(ends_a: np.ndarray, ends_b: np.ndarray, ranks: np.ndarray) -> tuple
 
 
 @cache
-def _digit_table(n: int) -> np.ndarray:
-    """The decimal digits of 0..n-1 as rows of characters, zero where there is none."""
-    return np.array([str(k) for k in range(n)], dtype="S").view(np.uint8).reshape(n, -1)
+def _written(n: int) -> np.ndarray:
+    """0..n-1 in decimal digits, as the 8 bytes of a number; zero after the last."""
+    return np.array([str(k) for k in range(n)], dtype="S8").view(np.dtype("<u8"))
+
+
+_SEPARATOR_AT = np.uint64(8 * 7)
 
 
 def group_text(a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> bytes:
-    """``a1,a2|b1;a3|b2,b3``: the ids of the groups that end at the cuts."""
+    """``a1,a2|b1;a3|b2,b3``: the ids (below 10,000,000) of the groups that end at the cuts."""
     if not len(a):
         return b""
-    digits = _digit_table(1 << int(max(a.max(), b.max())).bit_length())
-    width = digits.shape[1]
+    written = _written(1 << int(max(a.max(), b.max())).bit_length())
     each_a, each_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
     place_a = np.arange(len(a)) + np.repeat(cut_b - each_b + 1, each_a)
     place_b = np.arange(len(b)) + np.repeat(cut_a + 1, each_b)
-    rows = np.zeros((len(a) + len(b), width + 1), dtype=np.uint8)
-    rows[place_a, :width] = digits[a]
-    rows[place_b, :width] = digits[b]
-    rows[:, width] = ord(",")
-    rows[place_a[cut_a], width] = ord("|")
-    rows[place_b[cut_b], width] = ord(";")
-    flat = rows.ravel()
+    rows = np.empty(len(a) + len(b), dtype=np.dtype("<u8"))
+    rows[place_a] = written[a]
+    rows[place_b] = written[b]
+    after = np.full(len(rows), ord(","), dtype=np.uint64)
+    after[place_a[cut_a]] = ord("|")
+    after[place_b[cut_b]] = ord(";")
+    flat = (rows | (after << _SEPARATOR_AT)).view(np.uint8)
     return flat[flat != 0].tobytes()[:-1]
 
 
@@ -233,7 +313,7 @@ def align(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, text: str = "text
     * cut_a, cut_b: the last token of each group, which ends in both;
     * first_b, last_b: for each token of A the range of tokens of B it overlaps;
     * n_a, n_b, n_groups, groups_sha256 ("a1,a2|b1;a3|b2,b3", hashed);
-    * links: the groups' last tokens as numbers of ``suffix_pairs``, packed in 4 bytes.
+    * links: the groups' last tokens as numbers of ``Pairs``, packed in 4 bytes.
 
     A null or empty text, or one that a tokenizer does not give back byte by
     byte, has no tokens: empty arrays, zeros and ''.  Whole texts are aligned,
@@ -243,25 +323,41 @@ def align(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, text: str = "text
 
     def make():
         v = vocabularies(tokenizer_a, tokenizer_b)
-        pairs = vocabulary_pairs(tokenizer_a, tokenizer_b) if "links" in chosen else _NONE
-
-        def row(a: np.ndarray, b: np.ndarray) -> dict:
+        pairs = vocabulary_pairs(tokenizer_a, tokenizer_b)
+        wants_ranges = "first_b" in chosen or "last_b" in chosen
+        wants_text = "groups_sha256" in chosen
+
+        def run(tokens: list[tuple[np.ndarray, np.ndarray]]) -> list[dict]:
+            """The rows of several texts, whose lists of ends follow each other:
+            both tokenizers' tokens of a text cover the same bytes."""
+            a, b = (np.concatenate([t[k] for t in tokens]).astype(np.int64) for k in (0, 1))
             ends_a, ends_b = np.cumsum(v.length_a[a]), np.cumsum(v.length_b[b])
             cut_a, cut_b, ranks = common_ends(ends_a, ends_b)
-            out = {"ids_a": a, "ids_b": b, "cut_a": cut_a, "cut_b": cut_b,
-                   "n_a": len(a), "n_b": len(b), "n_groups": len(cut_a)}
-            if "first_b" in chosen or "last_b" in chosen:
-                out["first_b"], out["last_b"] = overlaps(ends_a, ends_b, ranks)
-            if "groups_sha256" in chosen:
-                text_ = group_text(a, b, cut_a, cut_b)
-                out["groups_sha256"] = hashlib.sha256(text_).hexdigest() if text_ else ""
-            if "links" in chosen:
-                at = np.searchsorted(pairs, (a[cut_a] << 32) | b[cut_b])
-                out["links"] = at.astype(np.int32).tobytes()
-            return out
+            links = pairs.numbers(a[cut_a], b[cut_b]).astype(np.int32)
+            stop_a, stop_b = (np.cumsum([len(t[k]) for t in tokens]) for k in (0, 1))
+            stop_g = np.searchsorted(cut_a, stop_a)
+            first, last = overlaps(ends_a, ends_b, ranks) if wants_ranges else (_NONE, _NONE)
+            rows, i, j, g = [], 0, 0, 0
+            for x, y, h in zip(stop_a.tolist(), stop_b.tolist(), stop_g.tolist()):
+                own_a, own_b = cut_a[g:h] - i, cut_b[g:h] - j
+                text_ = group_text(a[i:x], b[j:y], own_a, own_b) if wants_text else b""
+                rows.append({"ids_a": a[i:x], "ids_b": b[j:y], "cut_a": own_a, "cut_b": own_b,
+                             "first_b": first[i:x] - j, "last_b": last[i:x] - j,
+                             "n_a": x - i, "n_b": y - j, "n_groups": h - g,
+                             "groups_sha256": hashlib.sha256(text_).hexdigest() if text_ else "",
+                             "links": links[g:h].tobytes()})
+                i, j, g = x, y, h
+            return rows
 
         def fn(part: pa.RecordBatch) -> list[pa.Array]:
-            rows = [row(a, b) for a, b in v.encode(texts_of(part, text))]
+            rows, held, size = [], [], 0
+            for tokens in v.encode(texts_of(part, text)):
+                held.append(tokens)
+                size += len(tokens[0]) + len(tokens[1])
+                if size > RUN_TOKENS:
+                    rows += run(held)
+                    held, size = [], 0
+            rows += run(held) if held else []
             kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary(),
                      "array<long>": pa.list_(pa.int64())}
             return [pa.array([r[c] for r in rows], kinds[KINDS[c]]) for c in chosen]
@@ -290,15 +386,18 @@ def pair_counts(aligned: DataFrame, pairs: int) -> np.ndarray:
     return out
 
 
-def best_of(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def best_of(pairs: Pairs, counts: np.ndarray) -> np.ndarray:
     """Whether each pair's count is the highest of the pairs of its B id."""
-    b = pairs & 0xFFFFFFFF
-    most = np.zeros(int(b.max()) + 1 if len(b) else 0, dtype=np.int64)
-    np.maximum.at(most, b, counts)
-    return counts == most[b]
+    seen = np.flatnonzero(counts)
+    b = pairs.b_of(seen)
+    most = np.zeros(len(pairs.bytes_b), dtype=np.int64)
+    np.maximum.at(most, b, counts[seen])
+    best = np.zeros(len(counts), dtype=bool)
+    best[seen] = counts[seen] == most[b]
+    return best
 
 
-def link_sums(aligned: DataFrame, pairs: np.ndarray, counts: np.ndarray) -> DataFrame:
+def link_sums(aligned: DataFrame, pairs: Pairs, counts: np.ndarray) -> DataFrame:
     """``aligned`` with n_links, n_best (links whose pair is as frequent as any
     of its B id) and count_sum (of the links' counts) for its links."""
     shared = aligned.sparkSession.sparkContext.broadcast((counts, best_of(pairs, counts)))
@@ -326,7 +425,7 @@ def align_counts(docs: DataFrame, tokenizer_a: str, tokenizer_b: str, text: str
     at = [c.lower() for c in aligned.columns].index(text.lower())
     held = stage(aligned.drop(aligned.columns[at]), "aligned")
     pairs = vocabulary_pairs(tokenizer_a, tokenizer_b)
-    return link_sums(held, pairs, pair_counts(held, len(pairs))).drop("links")
+    return link_sums(held, pairs, pair_counts(held, pairs.size)).drop("links")
 
 
 def op13_align(spark, sf_dir: str) -> DataFrame:
