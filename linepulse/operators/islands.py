@@ -7,10 +7,12 @@ where a unit's first run continues the run before and how many runs came
 earlier.  Runs that continue meet in a last group-by.  Raw samples are
 shuffled once; everything after works on runs and units.
 
-An hour of more than ``hot_rows`` samples is cut into slices of time, and an
-instant of more than that into ranges of tie values, so no window holds much
-more than ``hot_rows`` samples whatever a key, an hour or an instant holds.
-Finding such hours takes one count per key and hour before the plan is made.
+The samples of hours with more than ``hot_rows`` of them are range-partitioned
+in their own order, (key, hour, time, tie), by splitters that Spark samples from
+them: each range of an hour is a unit, whether the samples spread over the hour
+or fall into one second or instant, and however the ties lie.  The ranges are
+written once, so every reader sees the same units.  Finding such hours takes
+one count per key and hour before the plan is made.
 
 Interval semantics as in the source: an island starts at its first sample
 and ends at its **last** sample (not at the next island's start).
@@ -25,65 +27,46 @@ from pyspark.sql import functions as F
 
 from linepulse.functions import MICROS_PER_HOUR, epoch_micros, floor_div
 from linepulse.operators.joins import bounded_broadcast
+from linepulse.session import work_path
 
 HOT_ROWS = 1 << 20
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
-def _piece(value: Column, low: Column, high: Column, rows: Column, hot_rows: int) -> Column:
-    """Which of the equal ranges of [low, high] the value is in; about twice as
-    many ranges as it would take if the rows were spread evenly."""
-    ranges = F.ceil(rows / hot_rows) * 2
-    share = (value.cast("double") - low.cast("double")) / (high.cast("double") - low.cast("double") + 1)
-    return F.floor(share * ranges)
-
-
-def _in_units(df: DataFrame, part: Sequence[str], ts: str, tie: str | None, hot_rows: int,
-              repeats_matter: bool) -> DataFrame:
+def _in_units(df: DataFrame, part: Sequence[str], ts: str, order: Sequence[Column],
+              hot_rows: int, repeats_matter: bool) -> DataFrame:
     """``df`` with ``_pk`` (the key as a struct, so NULLs group like values),
-    ``_us`` and ``_unit``, whose order is that of the samples' times and ties."""
+    ``_us`` and ``_unit``, whose order is that of the samples by ``_us`` and
+    ``order``."""
     base = (df.withColumn("_pk", F.struct(*part)).withColumn("_us", epoch_micros(ts))
             .withColumn("_hour", floor_div("_us", MICROS_PER_HOUR)))
-    zero = F.lit(0).cast("bigint")
-    hot = (base.groupBy("_pk", "_hour").agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"),
-                                            F.max("_us").alias("_hi"))
-           .filter(F.col("_n") > hot_rows))
-    if hot.isEmpty():
-        return base.withColumn("_unit", F.struct("_hour", zero.alias("_slice"), zero.alias("_range"))) \
-            .drop("_hour")
+    hours = (base.groupBy("_pk", "_hour").agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_n") > hot_rows))
+    rows = hours.agg(F.sum("_n")).first()[0]
+    if not rows:
+        return base.withColumn("_unit", F.struct("_hour", F.lit(0).alias("_range"))).drop("_hour")
+    hot = bounded_broadcast(hours.select("_pk", "_hour"))
+    dealt = base.join(hot, ["_pk", "_hour"], "left_semi")
     if not repeats_matter:
-        base = base.distinct()          # equal samples are one run anyway
-    base = (base.join(bounded_broadcast(hot), ["_pk", "_hour"], "left")
-            .withColumn("_slice", F.coalesce(_piece(F.col("_us"), F.col("_lo"), F.col("_hi"),
-                                                    F.col("_n"), hot_rows), zero)))
-    in_hot = base.filter(F.col("_n").isNotNull())
-    base = base.drop("_n", "_lo", "_hi")
-    if tie is None:
-        return base.withColumn("_unit", F.struct("_hour", "_slice", zero.alias("_range"))) \
-            .drop("_hour", "_slice")
-    instants = (in_hot.groupBy("_pk", "_us").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(tie).alias("_lo"), F.max(tie).alias("_hi"))
-        .filter(F.col("_n") > hot_rows))
-    # A hot instant is units of its own, by range of ties, those without a tie
-    # last; a slice's samples before and after it differ in the instants passed.
-    base = base.join(bounded_broadcast(instants), ["_pk", "_us"], "left")
-    own = F.when(F.col("_n").isNull(), F.lit(-1).cast("bigint")).otherwise(F.coalesce(
-        _piece(F.col(tie), F.col("_lo"), F.col("_hi"), F.col("_n"), hot_rows),
-        F.lit(1 << 40).cast("bigint")))
-    marks = (instants.select("_pk", "_us").withColumn("_hour", floor_div("_us", MICROS_PER_HOUR))
-             .groupBy("_pk", "_hour").agg(F.sort_array(F.collect_list("_us")).alias("_marks")))
-    base = base.join(bounded_broadcast(marks), ["_pk", "_hour"], "left")
-    passed = F.coalesce(F.size(F.filter("_marks", lambda m: m < F.col("_us"))), F.lit(0)).cast("bigint")
-    order = F.struct("_hour", "_slice", passed.alias("_passed"), own.alias("_range"))
-    return base.withColumn("_unit", order).drop("_hour", "_slice", "_n", "_lo", "_hi", "_marks")
+        dealt = dealt.distinct()        # equal samples are one run anyway
+    # Twice as many ranges as even ones would take: sampled splitters are not exact.
+    ranges = 2 * -(-rows // hot_rows)
+    dealt = (dealt.repartitionByRange(ranges, "_pk", "_hour", "_us", *order)
+             .withColumn("_range", F.spark_partition_id()))
+    path = work_path(df.sparkSession, "islands", "hot_hours", unique=True)
+    dealt.write.parquet(path)
+    dealt = df.sparkSession.read.schema(dealt.schema).parquet(path)
+    cold = base.join(hot, ["_pk", "_hour"], "left_anti").withColumn("_range", F.lit(0))
+    return (cold.unionByName(dealt).withColumn("_unit", F.struct("_hour", "_range"))
+            .drop("_hour", "_range"))
 
 
 def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_input",
                   state: str = "state", tie: str | None = "event_id",
                   with_last_flag: bool = False, with_first_tie: bool = False,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(key, state, start_time, end_time[, is_last][, first_tie]) per run
-    of equal states.
+                  with_last_tie: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(key, state, start_time, end_time[, is_last][, first_tie]
+    [, last_tie]) per run of equal states.
 
     ``tie`` orders samples sharing a timestamp (the host database leaves
     that order arbitrary); NULL ties come last and the state orders samples
@@ -91,21 +74,23 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     ``tie=None``).  NULL states form runs like any other value, NULL keys
     group like any other key.
     ``is_last`` (C9) marks intervals ending at the machine's last sample;
-    ``first_tie`` is the tie value of the island's first sample.
+    ``first_tie`` and ``last_tie`` are the tie values of the island's first and
+    last sample.
     """
     cols = [key, ts, state, *([tie] if tie else [])]
-    base = _in_units(samples.select(*cols), [key], ts, tie, hot_rows, repeats_matter=False)
-    order = ["_us", *([F.col(tie).asc_nulls_last()] if tie else []), F.col(state).asc_nulls_last()]
-    w0 = Window.partitionBy("_pk", "_unit").orderBy(*order)
+    order = [*([F.col(tie).asc_nulls_last()] if tie else []), F.col(state).asc_nulls_last()]
+    base = _in_units(samples.select(*cols), [key], ts, order, hot_rows, repeats_matter=False)
+    w0 = Window.partitionBy("_pk", "_unit").orderBy("_us", *order)
     change = (F.lag(F.lit(1)).over(w0).isNull()
               | ~F.col(state).eqNullSafe(F.lag(state).over(w0))).cast("bigint")
     base = base.withColumn("_change", change).withColumn(
         "_j", F.sum("_change").over(w0.rowsBetween(Window.unboundedPreceding, 0)))
-    first_tie = ([F.min(F.struct(F.col(ts), F.col(tie).isNull().alias("none"), F.col(tie).alias("_t")))
-                  .alias("_ft")] if with_first_tie and tie else [])
+    place = F.struct(F.col(ts), F.col(tie).isNull().alias("none"), F.col(tie).alias("_t")) if tie else None
+    ties = {"first_tie": F.min} if with_first_tie and tie else {}
+    ties |= {"last_tie": F.max} if with_last_tie and tie else {}
     runs = base.groupBy("_pk", "_unit", "_j").agg(
         F.first(state).alias(state), F.min(ts).alias("start_time"), F.max(ts).alias("end_time"),
-        *first_tie)
+        *[f(place).alias(f"_{c}") for c, f in ties.items()])
     units = runs.groupBy("_pk", "_unit").agg(
         F.max("_j").alias("_n"), F.min_by(state, "_j").alias("_first"),
         F.max_by(state, "_j").alias("_last"), F.max("end_time").alias("_end"))
@@ -123,22 +108,21 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     out = placed.groupBy("_pk", "_island").agg(
         F.first(state).alias(state), F.min("start_time").alias("start_time"),
         F.max("end_time").alias("end_time"), *[F.max(c).alias(c) for c in extra],
-        *([F.min("_ft").getField("_t").alias("first_tie")] if first_tie else []))
+        *[f(f"_{c}").getField("_t").alias(c) for c, f in ties.items()])
     out_cols: list[Column | str] = [F.col(f"_pk.{key}").alias(key), state, "start_time", "end_time"]
     if with_last_flag:
         out_cols.append((F.col("end_time") == F.col("_machine_end")).alias("is_last"))
-    if first_tie:
-        out_cols.append("first_tie")
-    return out.select(*out_cols)
+    return out.select(*out_cols, *ties)
 
 
 def row_numbers(df: DataFrame, partition: Sequence[str], ts: str, tie: str,
                 name: str = "rn", hot_rows: int = HOT_ROWS) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY partition ORDER BY ts, tie)``
     as the number within the unit plus the rows of the key's earlier units.
-    NULL ties come last; among equal ties the order is arbitrary."""
-    base = _in_units(df, partition, ts, tie, hot_rows, repeats_matter=True)
-    w0 = Window.partitionBy("_pk", "_unit").orderBy("_us", F.col(tie).asc_nulls_last())
+    NULL ties come last; rows of equal ties are ordered by a hash of the row."""
+    order = [F.col(tie).asc_nulls_last(), F.xxhash64(*df.columns)]
+    base = _in_units(df, partition, ts, order, hot_rows, repeats_matter=True)
+    w0 = Window.partitionBy("_pk", "_unit").orderBy("_us", *order)
     counts = base.groupBy("_pk", "_unit").agg(F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy("_pk").orderBy("_unit").rowsBetween(*_BEFORE)
     counts = counts.select("_pk", "_unit", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_p"))

@@ -9,6 +9,7 @@ SQL exactly.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -654,6 +655,42 @@ def q_stream_islands(spark, d):
     return IJ.IslandsJob(spark, root).run(stream, f"{root}/_checkpoint")
 
 
+@register("stream_islands_no_id", Q.with_ctes(
+    "SELECT * FROM no_id", [("no_id", _islands_sql(tie="state"))]))
+def q_stream_islands_no_id(spark, d):
+    """Samples as the source stores them, without an id, some of them late."""
+    root = work_path(spark, "streams", "islands_no_id", unique=True)
+    stream = A.samples_of(A.replay_events(spark, d, f"{root}/_input")).drop("event_id")
+    return IJ.IslandsJob(spark, root).run(stream, f"{root}/_checkpoint")
+
+
+LATENESS_DAYS = 3
+
+
+@register("stream_islands_watermark", Q.with_ctes(
+    "SELECT t.*, (SELECT count(*) FROM dealt WHERE is_late) AS n_late FROM timely_islands t", [
+        ("sliced", """
+SELECT s.*, (epoch_us(time_input) - lo) // ((hi - lo) // 2 + 1) + CASE WHEN event_id % 20 = 0 THEN 1 ELSE 0 END AS part
+FROM machine_state_input s, (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events) e"""),
+        ("dealt", f"""
+SELECT s.*, coalesce(s.time_input < w.newest - INTERVAL {LATENESS_DAYS} DAY, false) AS is_late
+FROM sliced s JOIN (SELECT p.part, max(b.time_input) AS newest FROM (SELECT DISTINCT part FROM sliced) p
+                    LEFT JOIN sliced b ON b.part < p.part GROUP BY p.part) w ON w.part = s.part"""),
+        ("timely", "SELECT * FROM dealt WHERE NOT is_late"),
+        ("timely_islands", _islands_sql("timely"))]))
+def q_stream_islands_watermark(spark, d):
+    """Islands of the rows not later than the watermark, and how many were:
+    one micro-batch a time slice, the late rows of a slice with the next."""
+    root = work_path(spark, "streams", "islands_watermark", unique=True)
+    job = IJ.IslandsJob(spark, root, lateness=datetime.timedelta(days=LATENESS_DAYS))
+    sliced = A.event_slices(spark, d)
+    for k in range(3):
+        sliced.filter(F.col("_part") == k).drop("_part").write.mode("append").parquet(f"{root}/_input")
+        stream = spark.readStream.schema(sliced.drop("_part").schema).parquet(f"{root}/_input")
+        islands = job.run(A.samples_of(stream), f"{root}/_checkpoint")
+    return islands.withColumn("n_late", F.lit(job.late()).cast("bigint"))
+
+
 @register("stream_islands_stateful", Q.with_ctes("SELECT * FROM islands", ISLAND_CTES))
 def q_stream_islands_stateful(spark, d):
     root = work_path(spark, "streams", "islands_stateful", unique=True)

@@ -210,19 +210,24 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "events*.parqu
     return reader.parquet(folder).select("event_id", "ts", "user_id", "event_type")
 
 
+def event_slices(spark: SparkSession, sf_dir: str, slices: int = 2, late: bool = True) -> DataFrame:
+    """The events with _part, the number of their time slice; ``late``: every
+    twentieth event id comes with the next slice (one more for the last)."""
+    ev = events(spark, sf_dir)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = ev.agg(F.min(us), F.max(us)).first()
+    part = F.floor((us - F.lit(lo or 0)) / (((hi or 0) - (lo or 0)) // slices + 1))
+    if late:
+        part = part + F.when(F.pmod("event_id", F.lit(20)) == 0, 1).otherwise(0)
+    return ev.withColumn("_part", part)
+
+
 def replay_events(spark: SparkSession, sf_dir: str, folder: str, batches: int = 2,
                   late: bool = True) -> DataFrame:
     """A stream of the events in at least ``batches`` micro-batches: the files of
-    successive time slices (one more for late rows), written one after the other to ``folder``.
-    ``late``: every twentieth event arrives with the next slice."""
-    ev = events(spark, sf_dir)
-    lo, hi = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))),
-                    F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
-    width = ((hi or 0) - (lo or 0)) // batches + 1
-    part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(lo or 0)) / width)
-    if late:
-        part = part + F.when(F.pmod(F.xxhash64("event_id"), F.lit(20)) == 0, 1).otherwise(0)
-    sliced = ev.withColumn("_part", part)
+    successive time slices (one more for late rows), written one after the other to ``folder``."""
+    sliced = event_slices(spark, sf_dir, batches, late)
+    ev = sliced.drop("_part")
     for k in range(batches + 1):
         sliced.filter(F.col("_part") == k).drop("_part").write.mode("append").parquet(folder)
     files = len(spark.read.schema(ev.schema).parquet(folder).inputFiles())

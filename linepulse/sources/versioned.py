@@ -1,22 +1,39 @@
 """Table maintenance without in-place updates.
 
-A table is a parquet folder partitioned by ``version``, beside a manifest in
-its folder ``_versions``: a row (version, schema) for every version written.
-Writers replace only their own version, so a replayed micro-batch is
-idempotent; readers take the manifest's highest version, and partition pruning
-skips the rest.  A version without rows is a version like any other: emptying
-a table leaves an empty table.  A path being read is never overwritten.
+Every write goes to a folder of its own; a manifest beside the data, in the
+folder ``_versions``, names the folders that make up a version.  Rows of the
+manifest are only added, after the data they name is complete: a crash leaves a
+folder that nothing names, and a replayed write of a version takes its place.
+Readers take the manifest's highest version.  A version without rows is a
+version like any other: emptying a table leaves an empty table.  A path being
+read is never overwritten.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
-_MANIFEST = "version long, schema string"
+_MANIFEST = "version long, seq long, schema string, folders array<string>, mark long"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
 
 
 class VersionedTable:
@@ -25,81 +42,85 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.partition_by = tuple(partition_by)
 
-    def _exists(self, path: str) -> bool:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
-
-    def _delete(self, path: str) -> None:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-
     @property
     def _manifest(self) -> str:
         return f"{self.path}/_versions"
 
-    def versions(self) -> dict[int, T.StructType]:
-        """Schemas by version; read from the manifest alone."""
-        if not self._exists(self._manifest):
+    def _rows(self) -> dict[int, Row]:
+        """The last manifest row of each version."""
+        if not path_exists(self.spark, self._manifest):
             return {}
         rows = self.spark.read.schema(_MANIFEST).json(f"{self._manifest}/*").collect()
-        return {r["version"]: T.StructType.fromJson(json.loads(r["schema"])) for r in rows}
+        return {r["version"]: r for r in sorted(rows, key=lambda r: r["seq"])}
+
+    def versions(self) -> dict[int, T.StructType]:
+        """Schemas by version; read from the manifest alone."""
+        return {v: T.StructType.fromJson(json.loads(r["schema"])) for v, r in self._rows().items()}
 
     def latest_version(self) -> int | None:
-        return max(self.versions(), default=None)
+        return max(self._rows(), default=None)
 
     def latest_before(self, version: int) -> int | None:
         """Highest stored version strictly below ``version``."""
-        return max((v for v in self.versions() if v < version), default=None)
+        return max((v for v in self._rows() if v < version), default=None)
+
+    def mark(self, version: int) -> int | None:
+        """What the writer noted of this version."""
+        return self._rows()[version]["mark"]
 
     def read(self, version: int | None = None) -> DataFrame:
-        found = self.versions()
+        found = self._rows()
         if not found:
             raise FileNotFoundError(self.path)
         v = max(found) if version is None else version
         if v not in found:
             raise ValueError(f"{self.path}: no version {v}")
-        schema = self._stored(found[v])
-        if not self._exists(f"{self.path}/version={v}"):
-            return self.spark.createDataFrame([], schema).drop("version")
-        df = self.spark.read.schema(schema).option("basePath", self.path).parquet(
-            f"{self.path}/version={v}")
-        return df.drop("version")
-
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as ``version`` (default: latest + 1) and return it."""
-        found = self.versions()
+        schema = T.StructType.fromJson(json.loads(found[v]["schema"]))
+        parts = [self.spark.read.schema(self._stored(schema)).parquet(f"{self.path}/{folder}")
+                 for folder in found[v]["folders"]]
+        return reduce(DataFrame.unionByName, parts)
+
+    def write(self, df: DataFrame, version: int | None = None, mark: int | None = None) -> int:
+        """Write ``df`` as ``version`` (default: latest + 1) and return it.  A
+        version that is there is replaced: a replayed write leaves it once."""
+        found = self._rows()
         if version is None:
-            version = max(found) + 1 if found else 0
-        elif version in found:
-            # a replay that now has fewer partitions must not keep the others
-            self._delete(f"{self.path}/version={version}")
-        self._add(df, version)
+            version = max(found, default=-1) + 1
+        old = found.get(version)
+        self._add(df, version, [], (old["seq"] + 1) if old else 0, mark)
+        for folder in old["folders"] if old else []:
+            delete_path(self.spark, f"{self.path}/{folder}")
         return version
 
     def append(self, df: DataFrame) -> None:
         """Add rows to the latest version (no dedupe: twice = doubled)."""
-        v = self.latest_version()
-        self._add(df, 0 if v is None else v)
-
-    def _add(self, df: DataFrame, version: int) -> None:
-        out = df.withColumn("version", F.lit(version).cast("bigint"))
-        out.write.mode("append").partitionBy("version", *self.partition_by).parquet(self.path)
-        row = self.spark.createDataFrame([(version, json.dumps(df.schema.jsonValue()))], _MANIFEST)
-        row.coalesce(1).write.mode("overwrite").json(f"{self._manifest}/{version}")
+        found = self._rows()
+        v = max(found, default=0)
+        old = found.get(v)
+        self._add(df, v, list(old["folders"]) if old else [], (old["seq"] + 1) if old else 0,
+                  old["mark"] if old else None)
+
+    def _add(self, df: DataFrame, version: int, folders: list[str], seq: int, mark: int | None) -> None:
+        folder = f"data/{uuid.uuid4().hex[:16]}"
+        df.write.partitionBy(*self.partition_by).parquet(f"{self.path}/{folder}")
+        row = self.spark.createDataFrame(
+            [(version, seq, json.dumps(df.schema.jsonValue()), [*folders, folder], mark)], _MANIFEST)
+        row.coalesce(1).write.mode("append").json(f"{self._manifest}/{version}")
 
     def expire(self, keep: int = 1) -> list[int]:
         """Delete all but the ``keep`` highest versions; returns those gone."""
-        gone = sorted(self.versions())[:-keep] if keep else sorted(self.versions())
+        found = self._rows()
+        gone = sorted(found)[:-keep] if keep else sorted(found)
         for v in gone:
-            self._delete(f"{self._manifest}/{v}")
-            self._delete(f"{self.path}/version={v}")
+            delete_path(self.spark, f"{self._manifest}/{v}")
+            for folder in found[v]["folders"]:
+                delete_path(self.spark, f"{self.path}/{folder}")
         return gone
 
     def _stored(self, schema: T.StructType) -> T.StructType:
         """Data columns first, then partition columns, as a scan returns them."""
         fields = [f for f in schema.fields if f.name not in self.partition_by]
-        return T.StructType([*fields, T.StructField("version", T.LongType()),
-                             *[schema[p] for p in self.partition_by]])
+        return T.StructType([*fields, *[schema[p] for p in self.partition_by]])
 
 
 def snapshot(table: VersionedTable, view: DataFrame) -> DataFrame:

@@ -1,232 +1,137 @@
-"""Continuous island maintenance, incremental, append-mostly.
+"""Continuous island maintenance over any arrival order.
 
 The source rebuilds every touched machine from its whole history on each
-insert.  The result only changes from the point where new samples land:
-for a touched machine the **cut** is the first sample (time, tie) of its
-last island that starts before the batch's earliest sample; islands before
-the cut cannot change, so only samples from the cut on are re-islanded.
-
-Storage (all under one folder, partitioned by machine hash bucket and the
-batch id that wrote the rows):
-
-* ``samples``  -- every sample, appended (a replay appends duplicates, which
-  change no run);
-* ``closed``   -- finished islands, append-only;
-* ``tails``    -- per machine, the islands from its last cut on, written by
-  the batch that touched the machine; the newest tail is the current one;
-* ``void``     -- rare: (machine, from key) records written when a late
-  sample lands before a machine's tail; they cancel that machine's closed
-  islands from the key on that were written by earlier batches.
-
-Per batch, a machine whose new samples come after its tail's first island
-(the in-order case) only rebuilds its tail: tail islands before the new cut
-move to ``closed``.  Writes are proportional to the batch and the touched
-machines' tails, never to the table.  A late machine also reads its closed
-islands to find the cut.  Each batch reads only what earlier batches wrote,
-so a replayed batch recomputes and overwrites exactly its own partitions.
-Current islands = closed minus voided, plus each machine's newest tail;
-equal to batch ``state_islands`` over everything received, in any order.
+insert.  Here the result is kept as runs of equal states within a machine and a
+day, in the total order (time, tie, state); a batch changes nothing but the
+days that its samples fall in.  Per batch:
+
+* its samples are stored under the batch id, partitioned by machine bucket and day;
+* the runs of the touched (bucket, day) pairs are made anew by the batch
+  operator from the samples stored there, and replace what was there.
+
+A replayed batch replaces its own samples and makes the same runs again, so a
+crash at any point is repaired by the replay.  ``read`` merges the runs of
+neighbouring days: a run's first and last sample stand for all of it, so the
+batch operator over these samples gives the islands of all samples.
+
+With ``lateness`` the job has a watermark: rows earlier than the greatest time
+of the batches before less ``lateness`` are late.  They are counted, not
+merged, and the samples of days that can no longer change are deleted, so what
+the job reads and keeps beside the runs is bounded by the lateness.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from linepulse.functions import ntz_literal
 from linepulse.operators.islands import state_islands
-from linepulse.sources.versioned import VersionedTable
+from linepulse.sources.versioned import delete_path, path_exists
 
 DEFAULT_BUCKETS = 16
 ISLAND_COLUMNS = ["machine_id", "state", "start_time", "end_time"]
-
-
-def _key() -> Column:
-    """Order of islands: first sample (time, tie)."""
-    return F.struct("start_time", "first_tie")
+SAMPLES = "machine_id string, state string, time_input timestamp_ntz, event_id bigint"
+PARTS = "mbucket int, day date"
+RUNS = f"{', '.join(f'{c} string' for c in ISLAND_COLUMNS[:2])}, start_time timestamp_ntz, " \
+       f"end_time timestamp_ntz, first_tie bigint, last_tie bigint, {PARTS}"
+LOG = "batch_id bigint, newest timestamp_ntz, late bigint"
 
 
 def machine_bucket(machine_id: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(machine_id), F.lit(buckets)).cast("int")
 
 
-def _write(df: DataFrame, path: str, batch_id: int, mode: str = "overwrite") -> None:
-    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy("mbucket", "batch_id").parquet(path))
-
-
-def _newest_per_machine(tails: DataFrame) -> DataFrame:
-    newest = tails.groupBy("machine_id").agg(F.max("batch_id").alias("batch_id"))
-    return tails.join(newest, ["machine_id", "batch_id"], "left_semi")
-
-
-def _not_voided(closed: DataFrame, void: DataFrame | None) -> DataFrame:
-    if void is None:
-        return closed
-    v = void.select("machine_id", F.col("batch_id").alias("_vb"), "from_start", "from_tie")
-    cancels = ((closed["machine_id"] == v["machine_id"]) & (v["_vb"] > closed["batch_id"])
-               & (v["from_start"].isNull()
-                  | (F.struct(closed["start_time"], closed["first_tie"])
-                     >= F.struct(v["from_start"], v["from_tie"]))))
-    return closed.join(v, cancels, "left_anti")
-
-
 class IslandsJob:
-    """``compact_every``: every N batches the newest tail of every machine is
-    written as a new version of ``tails_base``; reads take that base plus the
-    tails written after it, so finding a machine's tail does not scan every
-    tail the stream ever wrote."""
+    """``buckets``: machine buckets a day is stored in, the unit of rewriting.
+    ``lateness``: None absorbs every late row and keeps all samples."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS,
-                 compact_every: int = 50):
+                 lateness: dt.timedelta | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
-        self.compact_every = compact_every
+        self.lateness = lateness
         self.samples_path = f"{self.root}/samples"
-        self.closed_path = f"{self.root}/closed"
-        self.tails_path = f"{self.root}/tails"
-        self.void_path = f"{self.root}/void"
-        self.tails_base = VersionedTable(spark, f"{self.root}/tails_base")
-
-    def _tails(self, before: int | None = None, buckets: list[int] | None = None,
-               base_before: int | None = None) -> DataFrame | None:
-        """Newest tail per machine from state written before ``before``,
-        starting from a base version below ``base_before`` (default
-        ``before``)."""
-        limit = before if base_before is None else base_before
-        v = (self.tails_base.latest_version() if limit is None
-             else self.tails_base.latest_before(limit))
-        rows = self._read(self.tails_path, before=before, buckets=buckets)
-        if rows is not None and v is not None:
-            rows = rows.filter(F.col("batch_id") > v)
-        if v is not None:
-            base = self.tails_base.read(v)
-            if buckets is not None:
-                base = base.filter(F.col("mbucket").isin(buckets))
-            rows = base if rows is None else base.unionByName(rows)
-        return None if rows is None else _newest_per_machine(rows)
-
-    def _read(self, path: str, before: int | None = None,
-              buckets: list[int] | None = None) -> DataFrame | None:
-        try:
-            df = self.spark.read.parquet(path)
-        except AnalysisException:
+        self.runs_path = f"{self.root}/runs"
+        self.log_path = f"{self.root}/log"
+
+    def _read(self, path: str, schema: str) -> DataFrame:
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", path).parquet(path)
+
+    def _watermark(self, batch_id: int) -> dt.datetime | None:
+        """From the batches before, so that a replay has the same."""
+        if self.lateness is None:
             return None
-        if before is not None:
-            df = df.filter(F.col("batch_id") < before)
-        if buckets is not None:
-            df = df.filter(F.col("mbucket").isin(buckets))
-        return df
+        newest = self._read(self.log_path, LOG).filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+        return None if newest is None else newest - self.lateness
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        # several actions read the micro-batch: keep it (bounded by the trigger)
-        batch = batch.withColumn("mbucket", machine_bucket(F.col("machine_id"), self.buckets))
-        batch.persist()
-        try:
-            self._handle(batch, batch_id)
-        finally:
-            batch.unpersist()
-
-    def _handle(self, batch: DataFrame, batch_id: int) -> None:
-        b = batch_id
-        # Few files a bucket, but a bucket too large for one task is split.
-        (batch.hint("rebalance", "mbucket")
-         .write.mode("append").partitionBy("mbucket").parquet(self.samples_path))
-        touched = batch.groupBy("mbucket", "machine_id").agg(
-            F.min(F.struct("time_input", "event_id")).alias("_new"))
-        ids = [r[0] for r in touched.select("mbucket").distinct().collect()]
-        if not ids:
-            return
-        on = ["mbucket", "machine_id"]
-
-        # current tails of the touched machines (state written before this batch)
-        tails = self._tails(before=b, buckets=ids)
-        if tails is not None:
-            tails = tails.drop("batch_id").join(touched, on)
-        state = touched
-        if tails is not None:
-            first = tails.groupBy(*on).agg(F.min(_key()).alias("_tail_from"))
-            cut_in_tail = (tails.filter(_key() < F.col("_new")).groupBy(*on)
-                           .agg(F.max(_key()).alias("_cut_tail")))
-            state = state.join(first, on, "left").join(cut_in_tail, on, "left")
-        else:
-            state = (state.withColumn("_tail_from", F.lit(None).cast(
-                "struct<start_time:timestamp_ntz,first_tie:bigint>"))
-                .withColumn("_cut_tail", F.col("_tail_from")))
-        in_order = F.col("_tail_from").isNotNull() & (F.col("_tail_from") < F.col("_new"))
-        state = state.withColumn("_late", ~in_order)
-
-        # late machines: find the cut among their valid closed islands
-        late = state.filter("_late").select(*on, "_new")
-        closed = self._read(self.closed_path, before=b, buckets=ids)
-        if closed is not None:
-            valid = _not_voided(closed.join(late.select(*on), on, "left_semi"),
-                                self._read(self.void_path, before=b, buckets=ids))
-            cut_closed = (valid.join(late, on).filter(_key() < F.col("_new")).groupBy(*on)
-                          .agg(F.max(_key()).alias("_cut_closed")))
-            state = state.join(cut_closed, on, "left")
-        else:
-            state = state.withColumn("_cut_closed", F.lit(None).cast(
-                "struct<start_time:timestamp_ntz,first_tie:bigint>"))
-        state = state.withColumn(
-            "_cut", F.when(F.col("_late"), F.col("_cut_closed")).otherwise(F.col("_cut_tail")))
-        # without any earlier state, all that there is of a machine is the batch
-        new = F.col("_tail_from").isNull() & F.col("_cut").isNull()
-        cuts = state.select(*on, "_late", new.alias("_is_new"), F.col("_cut.start_time").alias("_cut_t"),
-                            F.col("_cut.first_tie").alias("_cut_tie"))
-
-        # re-island from the cut: new machines from the batch, machines with a
-        # cut from the stored samples since the earliest cut, and only those
-        # whose new samples come before all others from their whole history
-        old = ~F.col("_is_new")
-        lo, uncut = cuts.agg(F.min("_cut_t"),
-                             F.count_if(old & F.col("_cut_t").isNull())).first()
-        after_cut = ((F.col("time_input") > F.col("_cut_t"))
-                     | ((F.col("time_input") == F.col("_cut_t"))
-                        & (F.coalesce(F.col("event_id") >= F.col("_cut_tie"), F.lit(True)))))
-        columns = ["machine_id", "state", "time_input", "event_id"]
-        samples = batch.join(cuts.filter("_is_new").select(*on), on).select(*columns)
-        stored = self.spark.read.parquet(self.samples_path).filter(F.col("mbucket").isin(ids))
-        if lo is not None:
-            samples = samples.unionByName(
-                stored.filter(F.col("time_input") >= ntz_literal(lo))
-                .join(cuts.filter(F.col("_cut_t").isNotNull()), on).filter(after_cut).select(*columns))
-        if uncut:
-            samples = samples.unionByName(
-                stored.join(cuts.filter(old & F.col("_cut_t").isNull()).select(*on), on).select(*columns))
-        rebuilt = state_islands(samples, with_first_tie=True).withColumn(
-            "mbucket", machine_bucket(F.col("machine_id"), self.buckets))
-
-        # in-order machines: tail islands before the cut become closed
-        if tails is not None:
-            frozen = (tails.join(cuts.filter(~F.col("_late")), on)
-                      .filter(F.struct("start_time", "first_tie")
-                              < F.struct("_cut_t", "_cut_tie"))
-                      .select(*ISLAND_COLUMNS, "first_tie", "mbucket"))
-            _write(frozen, self.closed_path, b)
-        # late machines: cancel their closed islands from the cut on
-        void = cuts.filter("_late").select(
-            *on, F.col("_cut_t").alias("from_start"), F.col("_cut_tie").alias("from_tie"))
-        _write(void, self.void_path, b)
-        _write(rebuilt.select(*ISLAND_COLUMNS, "first_tie", "mbucket").hint("rebalance", "mbucket"),
-               self.tails_path, b)
-        if self.compact_every and b % self.compact_every == self.compact_every - 1:
-            # never read the base version being written (a replayed batch)
-            self.tails_base.write(self._tails(before=b + 1, base_before=b), version=b)
+        """One micro-batch (machine_id, state, time_input and, if the source has
+        one, event_id).  NULL machines are a machine, rows without a time none."""
+        tie = F.col("event_id") if "event_id" in batch.columns else F.lit(None)
+        batch = batch.select("machine_id", "state", "time_input", tie.cast("bigint").alias("event_id")) \
+            .filter(F.col("time_input").isNotNull())
+        watermark = self._watermark(batch_id)
+        if self.lateness is not None:
+            late = F.lit(False) if watermark is None else F.col("time_input") < ntz_literal(watermark)
+            log = batch.agg(F.lit(batch_id).cast("bigint").alias("batch_id"),
+                            F.max("time_input").alias("newest"), F.count_if(late).alias("late"))
+            self._replace(log, self.log_path, "batch_id")
+            batch = batch.filter(~late)
+        parts = (batch.withColumn("mbucket", machine_bucket(F.col("machine_id"), self.buckets))
+                 .withColumn("day", F.to_date("time_input"))
+                 .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        # Few files a part, but a part too large for one task is split.
+        self._replace(parts.hint("rebalance", "mbucket", "day"), self.samples_path, "batch_id", "mbucket", "day")
+        touched = self._samples().filter(F.col("batch_id") == batch_id).select("mbucket", "day").distinct()
+        days = [r["day"] for r in touched.select("day").distinct().collect()]
+        if days:
+            stored = (self._samples().filter(F.col("day").isin(days))
+                      .join(F.broadcast(touched), ["mbucket", "day"], "left_semi"))
+            self._replace(self._runs_of(stored).hint("rebalance", "mbucket", "day"), self.runs_path,
+                          "mbucket", "day")
+        if watermark is not None:
+            self._expire(watermark.date())
+
+    def _samples(self) -> DataFrame:
+        return self._read(self.samples_path, f"{SAMPLES}, batch_id bigint, {PARTS}")
+
+    def _replace(self, df: DataFrame, path: str, *parts: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(path))
+
+    def _runs_of(self, samples: DataFrame) -> DataFrame:
+        """Runs within (machine, day) of the stored samples; a day's runs never
+        go on in the next one, which ``read`` makes up for."""
+        keyed = samples.select(F.struct("machine_id", "mbucket", "day").alias("_md"), "state",
+                               "time_input", "event_id")
+        runs = state_islands(keyed, key="_md", with_first_tie=True, with_last_tie=True)
+        return runs.select("_md.machine_id", "state", "start_time", "end_time", "first_tie",
+                           "last_tie", "_md.mbucket", "_md.day")
+
+    def _expire(self, first_day: dt.date) -> None:
+        """Delete the samples of days before ``first_day``: no row to come that
+        is not late falls there.  A replay of this batch has the same watermark."""
+        old = self._samples().filter(F.col("day") < F.lit(first_day))
+        for r in old.select("batch_id", "mbucket", "day").distinct().collect():
+            delete_path(self.spark, f"{self.samples_path}/batch_id={r['batch_id']}/mbucket={r['mbucket']}/day={r['day']}")
+
+    def late(self) -> int:
+        """How many rows came after the watermark."""
+        return self._read(self.log_path, LOG).agg(F.sum("late")).first()[0] or 0
 
     def read(self) -> DataFrame:
-        tails = self._tails()
-        if tails is None:
-            raise FileNotFoundError(self.tails_path)
-        current = tails.select(*ISLAND_COLUMNS)
-        closed = self._read(self.closed_path)
-        if closed is not None:
-            valid = _not_voided(closed, self._read(self.void_path))
-            current = valid.select(*ISLAND_COLUMNS).unionByName(current)
-        return current
+        """All islands, equal to ``state_islands`` over everything received
+        (but the late rows); the empty table before the first batch."""
+        runs = self._read(self.runs_path, RUNS)
+        ends = [runs.select("machine_id", "state", F.col(at).alias("time_input"), F.col(tie).alias("event_id"))
+                for at, tie in (("start_time", "first_tie"), ("end_time", "last_tie"))]
+        return state_islands(ends[0].unionByName(ends[1]))
 
     def run(self, samples_stream: DataFrame, checkpoint: str) -> DataFrame:
         q = (samples_stream.writeStream.foreachBatch(self.handle)

@@ -9,7 +9,9 @@ micro-batch, in the order the triggers fire (counters before throughput):
 * I2: the lots are read again, and the ids whose windows hold an instant of
   the batch or have changed since the last version are counted anew over the
   stored pieces of their days (the range-count operator, equal to batch C3);
-  the other ids keep their counts;
+  the other ids keep their counts.  Versions of the counts have numbers of their
+  own, and each notes the last batch it counts, so that batches, replays and
+  refreshes can follow each other in any order;
 * I3: throughput is looked up over the stored pieces when it is read (C6 and
   K10), at the lots' current windows and quantities;
 * I4: today's OEE is recomputed from the refreshed lots and stored as a new
@@ -18,15 +20,16 @@ micro-batch, in the order the triggers fire (counters before throughput):
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linepulse.functions import ntz_literal
 from linepulse.operators import containment as C
 from linepulse.operators import lots as L
 from linepulse.plans.plant import Plant
 from linepulse.plans.report import today_report
-from linepulse.sources.versioned import VersionedTable
+from linepulse.sources.versioned import VersionedTable, path_exists
 
 PIECES = ("line_id string, input_time timestamp_ntz, event_id bigint, is_reject bigint, "
           "is_good bigint, is_output bigint, day date, batch_id bigint")
@@ -52,6 +55,8 @@ class SensorJob:
     def pieces(self) -> DataFrame:
         """All stored pieces: sums of a line's pieces of a batch at an instant,
         with the greatest event id there."""
+        if not path_exists(self.spark, self.pieces_path):
+            return self.spark.createDataFrame([], PIECES)
         return self.spark.read.schema(PIECES).parquet(self.pieces_path)
 
     def counters(self) -> DataFrame:
@@ -87,16 +92,20 @@ class SensorJob:
         (summed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id", "day").parquet(self.pieces_path))
 
-    def refresh(self, version: int | None = None) -> None:
-        """Store the current counts as ``version`` (default: the next).
+    def refresh(self, batch_id: int | None = None) -> None:
+        """Store the current counts as the next version.
 
-        Also to be called when lots have changed without new pieces.
+        Called for every batch; also to be called when lots have changed
+        without new pieces.
         """
+        before = self.counts.latest_version()
+        seen = -1 if before is None else self.counts.mark(before)
+        # A replayed batch counts as new once more, so does one stored before a crash.
+        new_from = seen + 1 if batch_id is None else min(seen + 1, batch_id)
         lot = self.plant.fresh("lot")
         one = F.xxhash64("line_id", "start_time", "end_time")
         windows = lot.groupBy("lot_id").agg(F.xxhash64(
             F.bit_xor(one), F.count(F.lit(1)), F.sum(one.cast("decimal(20,0)"))).alias("windows"))
-        before = self._before(version)
         if before is None:
             counted = self._count(lot)
             old = None
@@ -104,28 +113,31 @@ class SensorJob:
             # A count holds if the id's windows are the same and no piece has
             # come into them since the version that the count is from.
             same = windows.join(self.counts.read(before), ["lot_id", "windows"])
-            touched = self._touched(lot, before)
-            old = same.join(touched, "lot_id", "left_anti") if touched is not None else same
+            old = same.join(self._touched(lot, new_from), "lot_id", "left_anti")
             counted = self._count(lot.join(old.select("lot_id"), "lot_id", "left_anti"))
         fresh = windows.join(counted, "lot_id", "left")
         columns = ["lot_id", "windows", *L.SENSOR_MEASURES]
         if old is not None:
             fresh = fresh.join(old.select("lot_id"), "lot_id", "left_anti").select(*columns) \
                 .unionByName(old.select(*columns))
-        self.counts.write(fresh.select(*columns), version=version)
-
-    def _before(self, version: int | None) -> int | None:
-        return (self.counts.latest_version() if version is None
-                else self.counts.latest_before(version))
-
-    def _touched(self, lot: DataFrame, before: int) -> DataFrame | None:
-        """Ids with a window that the pieces stored after ``before`` may reach."""
-        first, last = (self.pieces().filter(F.col("batch_id") > before)
-                       .agg(F.min("input_time"), F.max("input_time")).first())
-        if first is None:
-            return None
-        return lot.filter((F.col("start_time") <= ntz_literal(last))
-                          & (F.col("end_time") > ntz_literal(first))).select("lot_id").distinct()
+        self.counts.write(fresh.select(*columns), mark=seen if batch_id is None else max(seen, batch_id))
+
+    def _touched(self, lot: DataFrame, new_from: int) -> DataFrame:
+        """Ids with a window on a day of the pieces stored by batch ``new_from``
+        or later.  The days are a set, not a range: one late piece touches the
+        lots of its own day only."""
+        days = sorted(r["day"] for r in self.pieces().filter(F.col("batch_id") >= new_from)
+                      .select("day").distinct().collect())
+        runs: list[list[dt.date]] = []
+        for day in days:
+            if runs and day - runs[-1][1] <= dt.timedelta(days=1):
+                runs[-1][1] = day
+            else:
+                runs.append([day, day])
+        hit = F.lit(False)
+        for first, last in runs:
+            hit = hit | ((F.to_date("start_time") <= F.lit(last)) & (F.to_date("end_time") >= F.lit(first)))
+        return lot.filter(hit).select("lot_id").distinct()
 
     def _count(self, lot: DataFrame) -> DataFrame:
         """Counts of the given lots over the stored pieces of their days."""

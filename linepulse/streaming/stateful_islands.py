@@ -1,8 +1,8 @@
 """I1, second form: islands as a stream with one open island per machine as state.
 
 A ``foreachBatch`` job: the state of a machine is its open island (state,
-first sample, last sample), O(1) per machine, kept as one table version per
-micro-batch.  Each micro-batch is reduced to its runs by
+first sample, last sample), O(1) per machine, kept as a table version per
+micro-batch, of which the last few stay.  Each micro-batch is reduced to its runs by
 ``operators.islands.state_islands``, which sorts in units of an hour and cuts
 hot hours and instants, so no task holds a machine's rows at once.  Only the
 machine's first run of the batch may extend the open island, and its last run
@@ -26,6 +26,8 @@ from linepulse.operators.joins import bounded_broadcast
 from linepulse.sources.versioned import VersionedTable
 
 COLUMNS = ["machine_id", "state", "start_time", "end_time"]
+EMPTY = "machine_id string, state string, start_time timestamp_ntz, end_time timestamp_ntz"
+KEEP_VERSIONS = 3       # of the open islands; a replay reads the one before its batch
 
 
 def _key() -> Column:
@@ -91,8 +93,12 @@ class StatefulIslandsJob:
             new = new.unionByName(opened.select(*COLUMNS).join(
                 touched, F.col("machine_id").eqNullSafe(F.col("_m")), "left_anti"))
         self.open.write(new, version=batch_id)
+        self.open.expire(KEEP_VERSIONS)
 
     def read(self) -> DataFrame:
+        """All islands so far; the empty table before the first sample."""
+        if self.open.latest_version() is None:
+            return self.spark.createDataFrame([], EMPTY)
         closed = self.spark.read.parquet(self.path).filter(~F.col("is_open"))
         return closed.select(*COLUMNS).unionByName(self.open.read().select(*COLUMNS))
 

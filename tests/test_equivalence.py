@@ -260,3 +260,31 @@ def test_overlap_join_brute_force(spark):
     want = sorted((x[0], y[0]) for x in a for y in b
                   if x[1] == y[1] and x[2] < y[3] and x[3] > y[2])
     assert got == want
+
+
+@pytest.mark.parametrize("ties", ["spread", "outlier", "none"])
+def test_bursts_are_split_evenly(spark, ties):
+    """20,000 samples of one machine within a second, or at one instant with an
+    outlying tie: no unit holds much more than hot_rows of them."""
+    import datetime as dt
+
+    rng, n, hot = random.Random(1), 20_000, 100
+    start = dt.datetime(2024, 1, 1, 5, 30)
+    rows = []
+    for i in range(n):
+        at = start + dt.timedelta(microseconds=i * 40 if ties == "spread" else (i // 1000) * 7)
+        tie = None if ties == "none" else (1 << 61 if i == 7 and ties == "outlier" else i)
+        rows.append(("M1", str(rng.randrange(400)) if ties == "none" else rng.choice("AB"), at, tie))
+    rows.append(("M1", "A", dt.datetime(2024, 1, 1, 5, 0), -(1 << 61)))
+    df = spark.createDataFrame(rows, "machine_id string, state string, time_input timestamp_ntz, event_id bigint")
+    order = [F.col("event_id").asc_nulls_last(), F.col("state").asc_nulls_last()]
+    units = I._in_units(df, ["machine_id"], "time_input", order, hot, repeats_matter=False)
+    assert units.groupBy("_pk", "_unit").count().agg(F.max("count")).first()[0] <= 4 * hot
+    assert _sorted(I.state_islands(df, hot_rows=hot)) == _sorted(I.state_islands(df))
+    if ties != "none":
+        numbers = I.row_numbers(df, ["machine_id"], "time_input", "event_id", hot_rows=hot)
+        assert [r["rn"] for r in numbers.orderBy("time_input", "event_id").collect()] == list(range(1, n + 2))
+
+
+def _sorted(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
