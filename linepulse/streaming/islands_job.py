@@ -31,7 +31,7 @@ from linepulse.functions import ntz_literal
 from linepulse.operators.islands import state_islands
 from linepulse.sources.versioned import delete_path, path_exists
 
-DEFAULT_BUCKETS = 16
+DEFAULT_BUCKETS = 4
 ISLAND_COLUMNS = ["machine_id", "state", "start_time", "end_time"]
 SAMPLES = "machine_id string, state string, time_input timestamp_ntz, event_id bigint"
 PARTS = "mbucket int, day date"
@@ -45,7 +45,8 @@ def machine_bucket(machine_id: Column, buckets: int) -> Column:
 
 
 class IslandsJob:
-    """``buckets``: machine buckets a day is stored in, the unit of rewriting.
+    """``buckets``: machine buckets a day is stored in, the unit of rewriting; as
+    many as keep a bucket's day to some files (the default suits small plants).
     ``lateness``: None absorbs every late row and keeps all samples."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS,

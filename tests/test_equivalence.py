@@ -242,7 +242,8 @@ def test_containing_lot_brute_force(spark):
     assert set(tp) == set(last)
 
 
-def test_overlap_join_brute_force(spark):
+@pytest.mark.parametrize("cell_us", [1_000_000, 60_000_000, 10**12])
+def test_overlap_join_brute_force(spark, cell_us):
     rng = random.Random(17)
 
     def ivs(n, prefix):
@@ -253,13 +254,27 @@ def test_overlap_join_brute_force(spark):
                         s + dt.timedelta(minutes=rng.randrange(0, 300))))
         return out
     a, b = ivs(80, "a"), ivs(40, "b")
+    for rows, name in ((a, "a"), (b, "b")):         # ends far off, none at all, before the start
+        for k, end in enumerate([dt.datetime(9999, 12, 31), None, BASE, dt.datetime(2031, 5, 1)]):
+            rows.append((f"{name}_{k}", "x", BASE + dt.timedelta(minutes=900 + k), end))
     adf = spark.createDataFrame(a, "aid string, k string, a_s timestamp_ntz, a_e timestamp_ntz")
     bdf = spark.createDataFrame(b, "bid string, k string, b_s timestamp_ntz, b_e timestamp_ntz")
     got = sorted((r.aid, r.bid) for r in overlap_join(adf, bdf, "k", ("a_s", "a_e"),
-                                                      ("b_s", "b_e")).collect())
+                                                      ("b_s", "b_e"), cell_us=cell_us).collect())
     want = sorted((x[0], y[0]) for x in a for y in b
-                  if x[1] == y[1] and x[2] < y[3] and x[3] > y[2])
-    assert got == want
+                  if x[1] == y[1] and x[3] and y[3] and x[2] < y[3] and x[3] > y[2])
+    assert got == want and any(i.startswith("a_") for i, _ in got)
+
+
+def test_numeric_rounding_whatever_the_size(spark):
+    from linepulse.functions import round_numeric
+
+    cases = [(1e27, 1e27), (-1.23456789012345678e30, -1.23456789012346e30), (1.5e-13, 0.0), (0.125, 0.13),
+             (-0.125, -0.13), (2.675, 2.68), (1.005, 1.01), (1e15, 1e15), (123456789012345.6, 123456789012346.0),
+             (99999999999999.99, 100000000000000.0), (float("nan"), None), (float("inf"), None), (None, None), (0.0, 0.0)]
+    df = spark.createDataFrame([(k, x) for k, (x, _) in enumerate(cases)], "k int, x double")
+    got = df.select("k", round_numeric(F.col("x"), 2).alias("y")).orderBy("k").collect()
+    assert [r["y"] for r in got] == [y for _, y in cases]
 
 
 @pytest.mark.parametrize("ties", ["spread", "outlier", "none"])
