@@ -228,10 +228,10 @@ def keep_first_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """Every document without its repeated lines of MIN_WORDS words or more,
-    which is what the oracle SQL defines; the pipeline takes shorter ones too."""
+    """Every document without its repeated lines: copies of any line with a
+    word, and lines of MIN_WORDS words or more within an edit of an earlier one."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs, copy_words=MIN_WORDS).select("doc_id", "text", "n_removed")
+    return dedup_lines(docs).select("doc_id", "text", "n_removed")
 
 
 def op6_oracle_sql() -> str:
@@ -241,19 +241,19 @@ WITH raw AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS raw,
                     generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents),
 lines AS (SELECT doc_id, line, list_filter(string_split_regex(lower(raw), '{SPACE}'),
                                            lambda w: w <> '') AS w FROM raw),
-long AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS body FROM lines
-         WHERE len(w) >= {MIN_WORDS}),
-uniq AS (SELECT body, any_value(w) AS w, min({{'d': doc_id, 'l': line}}) AS first FROM long GROUP BY body),
-cut AS (SELECT body, first, len(w) AS n, unnest(range(1, len(w) + 1)) AS i, w FROM uniq),
+held AS (SELECT doc_id, line, w, array_to_string(w, ' ') AS body FROM lines WHERE len(w) >= 1),
+uniq AS (SELECT body, any_value(w) AS w, min({{'d': doc_id, 'l': line}}) AS first FROM held GROUP BY body),
+long AS (SELECT * FROM uniq WHERE len(w) >= {MIN_WORDS}),
+cut AS (SELECT body, first, len(w) AS n, unnest(range(1, len(w) + 1)) AS i, w FROM long),
 var AS (SELECT body, first, n, i,
                array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS v FROM cut),
 heads AS (SELECT n, i, v, min(first) AS first FROM var GROUP BY n, i, v),
 near AS (SELECT var.body FROM var JOIN heads USING (n, i, v) WHERE var.first > heads.first
          UNION
-         SELECT CASE WHEN var.first > uniq.first THEN var.body ELSE uniq.body END
-         FROM var JOIN uniq ON uniq.body = var.v),
-gone AS (SELECT long.doc_id, long.line FROM long JOIN uniq USING (body)
-         WHERE {{'d': long.doc_id, 'l': long.line}} <> uniq.first
+         SELECT CASE WHEN var.first > long.first THEN var.body ELSE long.body END
+         FROM var JOIN long ON long.body = var.v),
+gone AS (SELECT held.doc_id, held.line FROM held JOIN uniq USING (body)
+         WHERE {{'d': held.doc_id, 'l': held.line}} <> uniq.first
             OR body IN (SELECT body FROM near)),
 kept AS (SELECT raw.doc_id, string_agg(raw, chr(10) ORDER BY line) AS text,
                 count(*) FILTER (WHERE false) AS z FROM raw

@@ -30,8 +30,8 @@ def plain(rows, min_words=5):
     seen, gone = [], {}
     for none, i, text, n in lines:
         w = words(text.split("\n")[n])
-        if len(w) >= min_words:
-            if any(one_edit(w, x) for x in seen):
+        if w:
+            if any(w == x or (min(len(w), len(x)) >= min_words and one_edit(w, x)) for x in seen):
                 gone.setdefault((none, i, text), set()).add(n)
             seen.append(w)
     out = []
@@ -61,6 +61,8 @@ def near_lines(seed):
                 elif len(w) > 5 and k < len(w):
                     del w[k]
             lines.append(("  " if rng.random() < .2 else "") + " ".join(w).capitalize())
+            if rng.random() < .3:
+                lines.append(rng.choice(["All rights reserved.", "x", "One two three Four", "one two three"]))
         rows.append((i, "\n".join(lines), "en", "s", 1))
     return rows
 
