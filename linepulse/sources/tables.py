@@ -35,7 +35,9 @@ def _csv_text(spark: SparkSession, path: str, schema: T.StructType, header: bool
     if not header:
         text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
         return spark.read.schema(text).csv(path)
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    first = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    # Columns are named by the first file; one whose header differs is an error, not read by position.
+    raw = spark.read.schema(first.schema).option("header", True).option("enforceSchema", False).csv(path)
     at = {c.strip().lower(): c for c in raw.columns}
     missing = [f.name for f in schema.fields if f.name.lower() not in at and not f.nullable]
     if missing:
@@ -60,8 +62,9 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType,
 
     With a header, columns are found by their names, in any order and case;
     further ones are ignored, a missing nullable one reads as NULL and a
-    missing other one is an error.  Without, they are taken by position and
-    short rows end in NULLs.  Times may be in either load layout
+    missing other one is an error, and so is a folder whose files differ in
+    their headers.  Without, they are taken by position and short rows end in
+    NULLs.  Times may be in either load layout
     (``MM/dd/yyyy HH:mm:ss`` or ISO, with or without fractions; dates also
     without the time).  Text that is no value of its column's type gives
     NULL; ``csv_rejects`` counts it.

@@ -228,3 +228,15 @@ def test_today_report_defaults_to_the_current_date(spark):
     today = spark.range(1).select(F.current_date()).first()[0]
     rows = today_report(p).collect()
     assert all(r.txndate == today for r in rows)
+
+
+def test_csv_files_with_unlike_headers_fail(spark, tmp_path):
+    from linepulse import schemas as S
+    from linepulse.sources.tables import read_csv_table
+
+    (tmp_path / "a.csv").write_text("machine_id,description,line_id\nM1,press,LINE1\n")
+    (tmp_path / "b.csv").write_text("machine_id,description,line_id\nM2,saw,LINE2\n")
+    assert read_csv_table(spark, str(tmp_path), S.MACHINE).count() == 2
+    (tmp_path / "c.csv").write_text("line_id,machine_id,description\nLINE3,M3,drill\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv_table(spark, str(tmp_path), S.MACHINE).collect()
