@@ -3,8 +3,9 @@
 ``register_views`` names the domain tables and the views the source
 defines (``v_machine_time``, ``v_quality``, ``v_quality_lot``,
 ``v_work_time``, ``v_line_state``, ``v_oee``, ``t_oee``) plus the stored
-``machine_time`` and ``oee`` tables, so its ad-hoc SQL runs unchanged
-through ``spark.sql``.  Each view is the operator's lazy DataFrame;
+``machine_time`` and ``oee`` tables, so statements over them can be written in
+Spark SQL (not all of the host database's dialect: a bare ``x::numeric`` is
+DECIMAL(10,0) here).  Each view is the operator's lazy DataFrame;
 Catalyst inlines it into the query that reads it.
 
 ``v_oee`` and ``t_oee`` hold the distinct OEE rows, which is what every
