@@ -15,7 +15,8 @@ micro-batch, in the order the triggers fire (counters before throughput):
 * I3: throughput is looked up over the stored pieces when it is read (C6 and
   K10), at the lots' current windows and quantities;
 * I4: today's OEE is recomputed from the refreshed lots and stored as a new
-  version; after midnight the first batch stores the new day's (empty) rows.
+  version that notes its day.  After midnight the new day's (empty) rows are
+  stored by the next batch or, without any input, by the next tick of ``clock``.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from linepulse.operators import containment as C
 from linepulse.operators import lots as L
@@ -77,10 +79,31 @@ class SensorJob:
         self._store(batch, batch_id)
         self.refresh(batch_id)
         if self.with_oee:                                                     # I4
-            self.today.write(self.today_oee(), version=batch_id)
-            self.today.expire(self.keep_versions)
+            self._store_today()
         self.counts.expire(self.keep_versions)
 
+    def _day(self) -> dt.date:
+        return (dt.date.fromisoformat(self.as_of) if self.as_of
+                else self.spark.range(1).select(F.current_date()).first()[0])
+
+    def _store_today(self) -> None:
+        self.today.write(self.today_oee(), mark=self._day().toordinal())
+        self.today.expire(self.keep_versions)
+
+    def tick(self) -> bool:
+        """Store today's rows if the last stored ones are of another day."""
+        latest = self.today.latest_version()
+        if latest is not None and self.today.mark(latest) == self._day().toordinal():
+            return False
+        self._store_today()
+        return True
+
+    def clock(self, checkpoint: str, every: str = "1 minute") -> StreamingQuery:
+        """A query that ticks by processing time, whether pieces come or not."""
+        beat = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+        return (beat.writeStream.foreachBatch(lambda _, __: self.tick())
+                .option("checkpointLocation", checkpoint).trigger(processingTime=every).start())
+
     def _store(self, batch: DataFrame, batch_id: int) -> None:
         tie = F.col("event_id") if "event_id" in batch.columns else F.lit(None).cast("bigint")
         summed = (batch.withColumn("event_id", tie).groupBy("line_id", "input_time")

@@ -341,3 +341,24 @@ def test_a_write_that_crashed_before_its_manifest_leaves_no_rows(spark, tmp_path
     table.append(spark.range(4))
     assert table.read().count() == 7 and table.read(0).count() == 2
     assert table.expire(1) == [0] and table.read().count() == 7
+
+
+def test_day_rolls_over_without_input(spark, tmp_path):
+    """The clock alone stores the new day's empty rows, once."""
+    import time
+
+    p = from_testdata(spark, SF, staged=False)
+    job = SensorJob(spark, str(tmp_path / "job"), p, as_of="2024-01-15")
+    job.handle(p.sensor_events, 0)
+    assert job.today.read().count() > 0 and not job.tick()
+    job.as_of = "2024-01-16"
+    assert job.tick() and not job.tick() and len(job.today.versions()) == 2
+    job.as_of = "2031-01-01"
+    query = job.clock(str(tmp_path / "clock"), "1 second")
+    try:
+        until = time.time() + 60
+        while len(job.today.versions()) < 3 and time.time() < until:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert job.today.read().count() == 0 and len(job.today.versions()) == 3
