@@ -7,26 +7,44 @@ one, so this is not a plain as-of join on start time.
 
 Plan: the best lot depends only on (line, instant), so events are first
 collapsed to distinct (line, instant) (partial aggregation absorbs hot
-instants).  Lot windows are cut into time buckets (width from the lots'
-median length, see ``operators.buckets``) and joined on
-(line, bucket) -- an equi-join, broadcast or sort-merge as the planner and
-AQE decide -- then the containment is re-checked and the latest start wins.
-A bucket that lots cover whole keeps only the latest-starting of them, so an
-instant meets that one and the lots that start or end in its own bucket.
-Lots that outlast the line's last event (open ones, or ends far in the
-future) are not cut at all: among those the latest start at or before the
-instant wins, a running maximum carried from bucket to bucket.
+instants).  Time is cut into buckets (width from the lots' median length, see
+``operators.buckets``).  A lot is met by itself only in the buckets where it
+starts and ends.  The buckets that it covers whole are written as a few aligned
+cells, each four times as long as one of the level below, and a cell keeps the
+latest-starting of its lots; a lot of any length costs a number of cells that
+grows with the logarithm of its length.  Buckets with events climb the levels
+that occur and take the best of the cells above them.  Lots that outlast the
+line's last event (open ones, or ends far in the future) cover up to the bucket
+of that event.  No window and no group holds a line's history.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linepulse.functions import epoch_micros, floor_div
 from linepulse.operators.buckets import auto_bucket_us
 
 
+def _aligned_cells(spans: DataFrame) -> DataFrame:
+    """The buckets from ``_lo`` up to ``_hi`` (exclusive) as the fewest aligned
+    cells of 4 ^ ``_level`` buckets, at most six a level.  On each level the
+    span is cut to whole cells; those without a place in the next level's cut
+    are its rows, up to three on either side."""
+    top = F.ceil(F.log2((F.col("_hi") - F.col("_lo")).cast("double")) / 2).cast("int")
+    cut = (spans.filter(F.col("_lo") < F.col("_hi"))
+           .withColumn("_level", F.explode(F.sequence(F.lit(0), top)))
+           .withColumn("_first", F.expr("-shiftright(-_lo, 2 * _level)"))
+           .withColumn("_end", F.expr("shiftright(_hi, 2 * _level)"))
+           .withColumn("_left", F.least(F.expr("-shiftright(-_lo, 2 * _level + 2) * 4"), F.col("_end")))
+           .withColumn("_right", F.greatest(F.expr("shiftright(_hi, 2 * _level + 2) * 4"), F.col("_left"))))
+    sides = [F.when(F.col("_first") + k < F.col("_left"), F.col("_first") + k) for k in range(3)]
+    sides += [F.when(F.col("_end") - k >= F.col("_right"), F.col("_end") - k) for k in range(1, 4)]
+    return (cut.withColumn("_cell", F.explode(F.array(*sides))).filter(F.col("_cell").isNotNull())
+            .drop("_lo", "_hi", "_first", "_end", "_left", "_right"))
+
+
 def containing_lot(events: DataFrame, lots: DataFrame, t: str = "input_time",
                    line: str = "line_id", tie: str | None = "event_id",
                    bucket_us: int | Column | None = None,
@@ -44,37 +62,30 @@ def containing_lot(events: DataFrame, lots: DataFrame, t: str = "input_time",
     else:
         pts = (events.select(line, epoch_micros(t).alias("us")).distinct()
                .withColumn("last_tie", F.lit(None).cast("bigint")))
-    last_event = pts.groupBy(line).agg(F.max("us").alias("_line_last"))
+    pts = pts.withColumn("_bkt", floor_div("us", bucket_us))
+    last_event = pts.groupBy(line).agg(F.max("us").alias("_line_last"), F.max("_bkt").alias("_last_bkt"))
     pick = F.struct("_s", "lot_id", *lot_columns)     # greatest: latest (start, lot_id)
+    lasting = F.col("_e").isNull() | (F.col("_e") >= F.col("_line_last"))
     lw = (lots.select("lot_id", line, epoch_micros("start_time").alias("_s"),
                       epoch_micros("end_time").alias("_e"), *lot_columns)
           .join(last_event, line)
           .filter((F.col("_s") <= F.col("_line_last")) & (F.col("_e").isNull() | (F.col("_e") >= F.col("_s"))))
-          .withColumn("_lot", pick))
-    pts = pts.withColumn("_bkt", floor_div("us", bucket_us))
-    lasting = F.col("_e").isNull() | (F.col("_e") >= F.col("_line_last"))
-
-    # Lots that end among the events: in their edge buckets each for itself,
-    # in the buckets between only the best of all.
-    ends = lw.filter(~lasting).select(line, "_s", "_e", "_lot", floor_div("_s", bucket_us).alias("_b0"),
-                                      floor_div("_e", bucket_us).alias("_b1"))
-    edges = ends.withColumn("_bkt", F.explode(F.array_distinct(F.array("_b0", "_b1"))))
-    inner = (ends.filter(F.col("_b1") - F.col("_b0") > 1)
-             .withColumn("_bkt", F.explode(F.sequence(F.col("_b0") + 1, F.col("_b1") - 1)))
-             .groupBy(line, "_bkt").agg(F.max("_lot").alias("_lot")))
-    # Lots that do not: at their first bucket, and the best of earlier buckets.
-    stay = lw.filter(lasting).select(line, "_s", "_e", "_lot", floor_div("_s", bucket_us).alias("_bkt"))
-    marks = (stay.groupBy(line, "_bkt").agg(F.max("_lot").alias("_lot"))
-             .unionByName(pts.select(line, "_bkt").distinct().withColumn("_lot", F.lit(None)),
-                          allowMissingColumns=True))
-    earlier = Window.partitionBy(line).orderBy("_bkt").rangeBetween(Window.unboundedPreceding, -1)
-    carried = (marks.withColumn("_lot", F.max("_lot").over(earlier)).filter(F.col("_lot").isNotNull())
-               .select(line, "_bkt", "_lot").distinct())
+          .withColumn("_lot", pick)
+          .withColumn("_b0", floor_div("_s", bucket_us))
+          .withColumn("_b1", F.when(lasting, F.col("_last_bkt") + 1).otherwise(floor_div("_e", bucket_us))))
+    edges = (lw.withColumn("_bkt", F.explode(F.array_distinct(F.array("_b0", F.when(lasting, F.col("_b0"))
+                                                                      .otherwise(F.col("_b1")))))))
+    cells = (_aligned_cells(lw.select(line, "_lot", (F.col("_b0") + 1).alias("_lo"), F.col("_b1").alias("_hi")))
+             .groupBy(line, "_level", "_cell").agg(F.max("_lot").alias("_lot")))
+    levels = cells.select(F.collect_set("_level").alias("levels")).scalar()
+    covered = (pts.select(line, "_bkt").distinct()
+               .withColumn("_levels", levels).withColumn("_level", F.explode("_levels"))
+               .withColumn("_cell", F.expr("shiftright(_bkt, 2 * _level)"))
+               .join(cells, [line, "_level", "_cell"])
+               .groupBy(line, "_bkt").agg(F.max("_lot").alias("_lot")))
     bound = F.lit(None).cast("bigint")
     met = (edges.select(line, "_bkt", "_lot", "_s", "_e")
-           .unionByName(inner.select(line, "_bkt", "_lot", bound.alias("_s"), bound.alias("_e")))
-           .unionByName(stay.select(line, "_bkt", "_lot", "_s", bound.alias("_e")))
-           .unionByName(carried.select(line, "_bkt", "_lot", bound.alias("_s"), bound.alias("_e"))))
+           .unionByName(covered.select(line, "_bkt", "_lot", bound.alias("_s"), bound.alias("_e"))))
     cand = pts.join(met, [line, "_bkt"]).filter(
         (F.col("_s").isNull() | (F.col("us") >= F.col("_s")))
         & (F.col("_e").isNull() | (F.col("us") <= F.col("_e"))))

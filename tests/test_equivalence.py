@@ -7,6 +7,7 @@ negative windows, windows sharing an id, nested and open lots.
 """
 
 import datetime as dt
+import math
 import random
 from collections import defaultdict
 
@@ -242,6 +243,44 @@ def test_containing_lot_brute_force(spark):
     assert set(tp) == set(last)
 
 
+def test_aligned_cells_cover_every_bucket_once(spark):
+    rng = random.Random(19)
+    spans = [(-1, 0), (0, 1), (3, 3), (5, 4), (-4, 64), (-17, 83), (1, 4 ** 6)]
+    spans += [(a, a + rng.randrange(700)) for a in [rng.randrange(-500, 500) for _ in range(60)]]
+    df = spark.createDataFrame([(i, *s) for i, s in enumerate(spans)], "id long, _lo long, _hi long")
+    covered = {i: [] for i in range(len(spans))}
+    for r in C._aligned_cells(df).collect():
+        covered[r.id].append((r._level, r._cell))
+    for i, (lo, hi) in enumerate(spans):
+        buckets = sorted(b for level, c in covered[i] for b in range(c * 4 ** level, (c + 1) * 4 ** level))
+        assert buckets == list(range(lo, hi))
+        assert len(covered[i]) <= 6 * (math.log(max(hi - lo, 1), 4) + 1)
+
+
+def test_containing_lot_of_any_length(spark):
+    """Minute lots beside lots of months, open lots and ends in the year 9999."""
+    rng = random.Random(23)
+    lots = []
+    for i in range(80):
+        s = BASE + dt.timedelta(minutes=rng.randrange(300 * 24 * 60))
+        e = rng.choice([s + dt.timedelta(minutes=rng.randrange(4)), s + dt.timedelta(days=rng.randrange(200)),
+                        None, dt.datetime(9999, 12, 31, 23, 59, 59, 999999), s - dt.timedelta(minutes=1)])
+        lots.append((f"L{i % 60}", rng.choice(["A", "B", None]), s, e))
+    marks = [t for l in lots for t in l[2:] if t and t.year < 9999]
+    events = [(i, rng.choice(["A", "B", None]),
+               rng.choice(marks) + dt.timedelta(seconds=rng.choice([0, 0, 1, -1, 3000]))) for i in range(400)]
+    ldf = spark.createDataFrame(lots, "lot_id string, line_id string, start_time timestamp_ntz, "
+                                      "end_time timestamp_ntz")
+    edf = spark.createDataFrame(events, "event_id bigint, line_id string, input_time timestamp_ntz")
+    got = {r.event_id: r.lot_id for r in C.event_lot_lookup(edf, ldf).collect()}
+    want = {}
+    for eid, line, t in events:
+        if found := [(s, lid) for lid, ln, s, e in lots
+                     if line and ln == line and s <= t and (e is None or t <= e)]:
+            want[eid] = max(found)[1]
+    assert len(want) > 150 and got == want
+
+
 @pytest.mark.parametrize("cell_us", [1_000_000, 60_000_000, 10**12])
 def test_overlap_join_brute_force(spark, cell_us):
     rng = random.Random(17)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linepulse.functions import MICROS_PER_HOUR
+from linepulse.operators import containment as C
 from linepulse.operators.islands import row_numbers, state_islands
 from linepulse.operators.sequence import next_time_within
 from linepulse.operators.window_counts import window_counts
@@ -68,6 +69,11 @@ def test_prefix_counts_have_no_pairs_join(plant):
     assert plan.count("FileScan parquet") >= 2
 
 
+def test_containment_has_no_window_and_no_sequence_of_buckets(plant):
+    plan = physical(C.lot_throughput(plant.sensor_events, plant.lot))
+    assert "Window" not in plan and "sequence(0" in plan and plan.count("sequence(") == plan.count("sequence(0")
+
+
 def test_no_nested_loop_or_python_in_registered_queries(spark):
     for name, fn in queries().items():
         if name.startswith("stream_") or name in ("machine_state_keyed_replace",
