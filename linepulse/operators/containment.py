@@ -115,8 +115,7 @@ def last_hits(events: DataFrame, lots: DataFrame, t: str = "input_time",
     found it: ``lot_id, us, last_tie, lot_start_us, line_id``."""
     best = containing_lot(events, lots, t, line, tie)
     last = best.groupBy("lot_id").agg(
-        F.max_by(F.struct("us", "last_tie", "lot_start_us", line), F.struct("us", "last_tie"))
-        .alias("_h"))
+        F.max(F.struct("us", "last_tie", "lot_start_us", line)).alias("_h"))
     return last.select("lot_id", "_h.us", "_h.last_tie", "_h.lot_start_us",
                        F.col(f"_h.{line}").alias(line))
 

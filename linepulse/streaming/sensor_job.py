@@ -12,8 +12,9 @@ micro-batch, in the order the triggers fire (counters before throughput):
   the other ids keep their counts.  Versions of the counts have numbers of their
   own, and each notes the last batch it counts, so that batches, replays and
   refreshes can follow each other in any order;
-* I3: throughput is looked up over the stored pieces when it is read (C6 and
-  K10), at the lots' current windows and quantities;
+* I3: the last piece that found each lot is kept as a state (``last_hits``): a
+  batch looks up its own pieces and the lots that changed, and throughput is the
+  state's elapsed times with the lots' current quantities;
 * I4: today's OEE is recomputed from the refreshed lots and stored as a new
   version that notes its day.  After midnight the new day's (empty) rows are
   stored by the next batch or, without any input, by the next tick of ``clock``.
@@ -32,25 +33,30 @@ from linepulse.operators import lots as L
 from linepulse.plans.plant import Plant
 from linepulse.plans.report import today_report
 from linepulse.sources.versioned import VersionedTable, path_exists
+from linepulse.streaming.last_hits import LastHits
 
 PIECES = ("line_id string, input_time timestamp_ntz, event_id bigint, is_reject bigint, "
           "is_good bigint, is_output bigint, day date, batch_id bigint")
 
 
 class SensorJob:
-    """``keep_versions``: how many versions of the counters and of today's OEE
-    are kept; older ones are deleted after each batch."""
+    """``keep_versions``: how many versions of the counters, the last hits and
+    today's OEE are kept; older ones are deleted after each batch.
+    ``with_throughput=False`` leaves I3 out, ``with_oee=False`` I4."""
 
     def __init__(self, spark: SparkSession, root: str, plant: Plant,
-                 as_of: str | None = None, with_oee: bool = True, keep_versions: int = 50):
+                 as_of: str | None = None, with_oee: bool = True, keep_versions: int = 50,
+                 with_throughput: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
         self.plant = plant
         self.as_of = as_of
         self.with_oee = with_oee
         self.keep_versions = keep_versions
+        self.with_throughput = with_throughput
         self.pieces_path = f"{self.root}/pieces"
         self.counts = VersionedTable(spark, f"{self.root}/counts")
+        self.hits = LastHits(spark, f"{self.root}/hits")
         self.today = VersionedTable(spark, f"{self.root}/today_oee")
 
     # ---- reads of the current state -------------------------------------
@@ -72,7 +78,8 @@ class SensorJob:
             L.apply_sensor_counts(p.fresh("lot"), self.counters(), p.policy), p.policy)
 
     def throughput(self) -> DataFrame:
-        return C.lot_throughput(self.pieces(), self.lots())
+        """K10 as of the last batch or ``refresh``."""
+        return C.throughput_value(C.matched_quantity(self.hits.read(), self.lots()))
 
     # ---- per batch --------------------------------------------------------
     def handle(self, batch: DataFrame, batch_id: int) -> None:
@@ -81,6 +88,7 @@ class SensorJob:
         if self.with_oee:                                                     # I4
             self._store_today()
         self.counts.expire(self.keep_versions)
+        self.hits.table.expire(self.keep_versions)
 
     def _day(self) -> dt.date:
         return (dt.date.fromisoformat(self.as_of) if self.as_of
@@ -116,7 +124,7 @@ class SensorJob:
          .partitionBy("batch_id", "day").parquet(self.pieces_path))
 
     def refresh(self, batch_id: int | None = None) -> None:
-        """Store the current counts as the next version.
+        """Store the current counts and last hits as the next versions.
 
         Called for every batch; also to be called when lots have changed
         without new pieces.
@@ -144,6 +152,8 @@ class SensorJob:
             fresh = fresh.join(old.select("lot_id"), "lot_id", "left_anti").select(*columns) \
                 .unionByName(old.select(*columns))
         self.counts.write(fresh.select(*columns), mark=seen if batch_id is None else max(seen, batch_id))
+        if self.with_throughput:
+            self.hits.advance(lot, self.pieces(), batch_id)
 
     def _touched(self, lot: DataFrame, new_from: int) -> DataFrame:
         """Ids with a window on a day of the pieces stored by batch ``new_from``

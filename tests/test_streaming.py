@@ -227,6 +227,58 @@ def test_lots_that_open_close_and_move_are_recounted(spark, tmp_path):
     assert {r.lot_id: r.output_count for r in job.counters().collect()}["D"] == 3
 
 
+def test_throughput_state_equals_batch(spark, tmp_path):
+    """Random pieces in any order, nested and open lots that come, move and go,
+    a replayed batch and refreshes between batches."""
+    import random
+
+    rng = random.Random(4)
+
+    def lot(i):
+        s = _t(rng.randint(0, 23), rng.choice([0, 30]), rng.randint(1, 5))
+        e = rng.choice([None, s, s + dt.timedelta(hours=rng.randint(1, 40)), dt.datetime(9999, 12, 31)])
+        return f"L{i % 9}", rng.choice(["LINE1", "LINE2"]), s, e
+
+    import datetime as dt
+
+    state = {"lots": [lot(i) for i in range(12)]}
+    job = SensorJob(spark, str(tmp_path / "job"), _changing_plant(spark, state), with_oee=False)
+    fed, k = [], 0
+    for step in range(4):
+        if step in (1, 3):
+            for i in rng.sample(range(len(state["lots"])), 4):
+                state["lots"][i] = lot(i)
+            state["lots"].pop()
+        if step == 3:
+            job.refresh()
+        else:
+            rows = [(rng.choice(["LINE1", "LINE2", None]), _t(rng.randint(0, 23), rng.choice([0, 15]),
+                     rng.randint(1, 6)), 1000 * k + i, 0, 1, 1) for i in range(40)]
+            fed += rows
+            job.handle(spark.createDataFrame(rows, EVENTS), k)
+            if step == 2:
+                job.handle(spark.createDataFrame(rows, EVENTS), k)
+            k += 1
+        want = C.lot_throughput(spark.createDataFrame(fed, EVENTS), job.lots())
+        assert _rows(job.throughput()) == _rows(want), step
+    assert job.throughput().count() > 4
+
+
+def test_a_changed_lot_reads_the_days_of_touched_windows_only(spark, tmp_path, monkeypatch):
+    from linepulse.streaming import last_hits as H
+
+    state = {"lots": [(f"L{d}", "LINE1", _t(8, d=d), _t(20, d=d)) for d in range(1, 9)]}
+    job = SensorJob(spark, str(tmp_path / "job"), _changing_plant(spark, state), with_oee=False)
+    job.handle(_batch(spark, [_t(9, d=d) for d in range(1, 9)]), 0)
+    read = []
+    monkeypatch.setattr(H, "_hits", lambda pieces, lot, of=H._hits: (
+        read.append(sorted(r.day.day for r in pieces.select("day").distinct().collect())), of(pieces, lot))[1])
+    job.handle(_batch(spark, [_t(10, d=2)]), 1)                 # no lot has changed
+    state["lots"][4] = ("L5", "LINE1", _t(8, d=5), _t(9, d=6))  # meets L6
+    job.handle(_batch(spark, [_t(11, d=1)]), 2)
+    assert read == [[2], [1], [5, 6]]
+
+
 def test_stream_without_any_lot(spark, tmp_path):
     job = SensorJob(spark, str(tmp_path / "job"), _changing_plant(spark, {"lots": []}), with_oee=False)
     job.handle(_batch(spark, [_t(8)]), 0)
