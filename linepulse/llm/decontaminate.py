@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from linepulse.llm.common import map_slices, numbered, stage, table, texts_of
 
 WINDOW = 13
 SHINGLE = 5
-BLOCK_BYTES = 32 << 20       # text of items broadcast at once; more items go in blocks
+BLOCK_BYTES = 8 << 20        # text of items broadcast at once; more items go in blocks
 
 # Word bytes: digits, a-z after lower-casing A-Z, and everything beyond ASCII.
 _TO_WORDS = bytes(
@@ -110,18 +111,19 @@ def corpus_counts(docs: DataFrame, items: list[str | None], text: str = "text",
     return {bytes(r["shingle"]): r["n"] for r in rows}
 
 
-def item_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> list[list[tuple]]:
-    """The items in blocks of at most ``block_bytes`` of text (a longer item
-    alone), in the order of their ids."""
+def item_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple]]:
+    """The items in blocks of about ``block_bytes`` of text (a longer item
+    goes alone or with few), each fetched when it is asked for: the driver
+    holds one block at a time."""
     size = F.coalesce(F.octet_length(F.col("text")), F.lit(0)) + 32
     held = stage(items.select(F.col(f"`{item_id}`").cast("string").alias("id"),
                               F.col(f"`{text}`").alias("text")).withColumn("size", size), "items")
     total = held.agg(F.sum("size")).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     part = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
-    return [[(r["id"], r["text"]) for r in
-             held.filter(part == b).orderBy("id", "text").select("id", "text").collect()]
-            for b in range(blocks)]
+    for b in range(blocks):
+        yield [(r["id"], r["text"]) for r in
+               held.filter(part == b).orderBy("id", "text").select("id", "text").collect()]
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text",
