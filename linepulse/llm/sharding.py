@@ -74,7 +74,9 @@ def write_shards(records: DataFrame, path: str, shards: int = 40, seed: int = 0,
 
     kept = without(scattered, ["bucket", "tie"]).schema
     schema = kept.add("slot", "long").add("shard", "integer")
-    shuffled = scattered.groupBy("bucket").applyInArrow(shuffle, schema).toDF(*names, "slot", "shard")
+    # As many tasks as buckets, whatever the session's number of partitions.
+    shuffled = scattered.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(shuffle, schema).toDF(
+        *names, "slot", "shard")
     shuffled.write.partitionBy("shard").option("compression", "zstd").parquet(path)
     return spark.read.schema(shuffled.schema).parquet(path)
 
