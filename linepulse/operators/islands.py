@@ -20,7 +20,7 @@ and ends at its **last** sample (not at the next island's start).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,9 +64,9 @@ def _in_units(df: DataFrame, part: Sequence[str], ts: str, order: Sequence[Colum
 def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_input",
                   state: str = "state", tie: str | None = "event_id",
                   with_last_flag: bool = False, with_first_tie: bool = False,
-                  with_last_tie: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+                  with_last_tie: bool = False, with_number: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(key, state, start_time, end_time[, is_last][, first_tie]
-    [, last_tie]) per run of equal states.
+    [, last_tie][, number]) per run of equal states.
 
     ``tie`` orders samples sharing a timestamp (the host database leaves
     that order arbitrary); NULL ties come last and the state orders samples
@@ -75,7 +75,7 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     group like any other key.
     ``is_last`` (C9) marks intervals ending at the machine's last sample;
     ``first_tie`` and ``last_tie`` are the tie values of the island's first and
-    last sample.
+    last sample; ``number`` is the island's place among its key's.
     """
     cols = [key, ts, state, *([tie] if tie else [])]
     order = [*([F.col(tie).asc_nulls_last()] if tie else []), F.col(state).asc_nulls_last()]
@@ -91,6 +91,13 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     runs = base.groupBy("_pk", "_unit", "_j").agg(
         F.first(state).alias(state), F.min(ts).alias("start_time"), F.max(ts).alias("end_time"),
         *[f(place).alias(f"_{c}") for c, f in ties.items()])
+    return _joined(runs, key, state, ties, with_last_flag, with_number)
+
+
+def _joined(runs: DataFrame, key: str, state: str, ties: Mapping[str, Callable] = {},
+            with_last_flag: bool = False, with_number: bool = False) -> DataFrame:
+    """The islands of keys ``_pk`` from the runs of their units ``_unit``, numbered
+    by ``_j`` from 1: a unit's first run may continue the unit before."""
     units = runs.groupBy("_pk", "_unit").agg(
         F.max("_j").alias("_n"), F.min_by(state, "_j").alias("_first"),
         F.max_by(state, "_j").alias("_last"), F.max("end_time").alias("_end"))
@@ -112,7 +119,29 @@ def state_islands(samples: DataFrame, key: str = "machine_id", ts: str = "time_i
     out_cols: list[Column | str] = [F.col(f"_pk.{key}").alias(key), state, "start_time", "end_time"]
     if with_last_flag:
         out_cols.append((F.col("end_time") == F.col("_machine_end")).alias("is_last"))
-    return out.select(*out_cols, *ties)
+    return out.select(*out_cols, *ties, *([F.col("_island").alias("number")] if with_number else []))
+
+
+def numbered_runs(samples: DataFrame, keys: Sequence[str], ts: str, state: str, tie: str) -> DataFrame:
+    """(keys, state, start_time, end_time, number): the islands of keys of some
+    samples each, a key's samples being sorted as one unit.  Equal to
+    ``state_islands``, which also takes keys of any size."""
+    w = Window.partitionBy(*keys).orderBy(epoch_micros(ts), F.col(tie).asc_nulls_last(),
+                                          F.col(state).asc_nulls_last())
+    change = (F.lag(F.lit(1)).over(w).isNull()
+              | ~F.col(state).eqNullSafe(F.lag(state).over(w))).cast("bigint")
+    numbered = samples.withColumn("_change", change).withColumn(
+        "number", F.sum("_change").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*keys, "number").agg(
+        F.first(state).alias(state), F.min(ts).alias("start_time"), F.max(ts).alias("end_time")) \
+        .select(*keys, state, "start_time", "end_time", "number")
+
+
+def joined_runs(runs: DataFrame, key: str, unit: str, state: str = "state") -> DataFrame:
+    """(key, state, start_time, end_time): the islands of keys from the numbered
+    runs (state, start_time, end_time, number) of their units."""
+    return _joined(runs.select(F.struct(key).alias("_pk"), F.col(unit).alias("_unit"), state, "start_time",
+                               "end_time", F.col("number").alias("_j")), key, state)
 
 
 def row_numbers(df: DataFrame, partition: Sequence[str], ts: str, tie: str,

@@ -10,9 +10,10 @@ days that its samples fall in.  Per batch:
   operator from the samples stored there, and replace what was there.
 
 A replayed batch replaces its own samples and makes the same runs again, so a
-crash at any point is repaired by the replay.  ``read`` merges the runs of
-neighbouring days: a run's first and last sample stand for all of it, so the
-batch operator over these samples gives the islands of all samples.
+crash at any point is repaired by the replay.  A run has its number within the
+machine and day, so ``read`` merges the runs of neighbouring days without
+another sort of them.  A machine's day is sorted as one unit, but in (bucket,
+day) pairs of more than ``hot_rows`` samples, which the batch operator cuts.
 
 With ``lateness`` the job has a watermark: rows earlier than the greatest time
 of the batches before less ``lateness`` are late.  They are counted, not
@@ -23,12 +24,13 @@ the job reads and keeps beside the runs is bounded by the lateness.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linepulse.functions import ntz_literal
-from linepulse.operators.islands import state_islands
+from linepulse.operators.islands import HOT_ROWS, joined_runs, numbered_runs, state_islands
 from linepulse.sources.versioned import delete_path, path_exists
 
 DEFAULT_BUCKETS = 4
@@ -36,7 +38,7 @@ ISLAND_COLUMNS = ["machine_id", "state", "start_time", "end_time"]
 SAMPLES = "machine_id string, state string, time_input timestamp_ntz, event_id bigint"
 PARTS = "mbucket int, day date"
 RUNS = f"{', '.join(f'{c} string' for c in ISLAND_COLUMNS[:2])}, start_time timestamp_ntz, " \
-       f"end_time timestamp_ntz, first_tie bigint, last_tie bigint, {PARTS}"
+       f"end_time timestamp_ntz, number bigint, {PARTS}"
 LOG = "batch_id bigint, newest timestamp_ntz, late bigint"
 
 
@@ -50,13 +52,14 @@ class IslandsJob:
     ``lateness``: None absorbs every late row and keeps all samples."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = DEFAULT_BUCKETS,
-                 lateness: dt.timedelta | None = None):
+                 lateness: dt.timedelta | None = None, hot_rows: int = HOT_ROWS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.lateness = lateness
+        self.hot_rows = hot_rows
         self.samples_path = f"{self.root}/samples"
-        self.runs_path = f"{self.root}/runs"
+        self.runs_path = f"{self.root}/day_runs"
         self.log_path = f"{self.root}/log"
 
     def _read(self, path: str, schema: str) -> DataFrame:
@@ -89,13 +92,16 @@ class IslandsJob:
                  .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
         # Few files a part, but a part too large for one task is split.
         self._replace(parts.hint("rebalance", "mbucket", "day"), self.samples_path, "batch_id", "mbucket", "day")
-        touched = self._samples().filter(F.col("batch_id") == batch_id).select("mbucket", "day").distinct()
-        days = [r["day"] for r in touched.select("day").distinct().collect()]
-        if days:
-            stored = (self._samples().filter(F.col("day").isin(days))
-                      .join(F.broadcast(touched), ["mbucket", "day"], "left_semi"))
-            self._replace(self._runs_of(stored).hint("rebalance", "mbucket", "day"), self.runs_path,
-                          "mbucket", "day")
+        touched = self._pairs(self._samples().filter(F.col("batch_id") == batch_id))
+        if touched:
+            stored = self._samples().filter(self._among(touched))
+            # Of these counts the files' own row counts are read, no sample.
+            hot = self._pairs(stored, self.hot_rows)
+            cold = {b: days - hot.get(b, set()) for b, days in touched.items()}
+            runs = [f(self._samples().filter(self._among(pairs))) for f, pairs in
+                    ((self._runs_of, cold), (self._hot_runs_of, hot)) if any(pairs.values())]
+            self._replace(reduce(DataFrame.unionByName, runs).hint("rebalance", "mbucket", "day"),
+                          self.runs_path, "mbucket", "day")
         if watermark is not None:
             self._expire(watermark.date())
 
@@ -106,14 +112,38 @@ class IslandsJob:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*parts).parquet(path))
 
+    def _pairs(self, samples: DataFrame, beyond: int = 0) -> dict[int, set[dt.date]]:
+        """The days by bucket of stored samples, where they are more than ``beyond``."""
+        found = samples.groupBy("mbucket", "day").count().filter(F.col("count") > beyond).collect()
+        days: dict[int, set[dt.date]] = {}
+        for r in found:
+            days.setdefault(r["mbucket"], set()).add(r["day"])
+        return days
+
+    def _among(self, pairs: dict[int, set[dt.date]]) -> Column:
+        """A filter on the partitions; buckets of the same days share a term."""
+        buckets: dict[frozenset, list[int]] = {}
+        for b, days in pairs.items():
+            buckets.setdefault(frozenset(days), []).append(b)
+        hit = F.lit(False)
+        for days, some in buckets.items():
+            if days:
+                hit = hit | (F.col("mbucket").isin(some) & F.col("day").isin(sorted(days)))
+        return hit
+
     def _runs_of(self, samples: DataFrame) -> DataFrame:
         """Runs within (machine, day) of the stored samples; a day's runs never
         go on in the next one, which ``read`` makes up for."""
+        return numbered_runs(samples.select("machine_id", "mbucket", "day", "state", "time_input", "event_id"),
+                             ["machine_id", "mbucket", "day"], "time_input", "state", "event_id")
+
+    def _hot_runs_of(self, samples: DataFrame) -> DataFrame:
+        """The same, for machines and days of any number of samples."""
         keyed = samples.select(F.struct("machine_id", "mbucket", "day").alias("_md"), "state",
                                "time_input", "event_id")
-        runs = state_islands(keyed, key="_md", with_first_tie=True, with_last_tie=True)
-        return runs.select("_md.machine_id", "state", "start_time", "end_time", "first_tie",
-                           "last_tie", "_md.mbucket", "_md.day")
+        runs = state_islands(keyed, key="_md", with_number=True, hot_rows=self.hot_rows)
+        return runs.select("_md.machine_id", "_md.mbucket", "_md.day", "state", "start_time", "end_time",
+                           "number")
 
     def _expire(self, first_day: dt.date) -> None:
         """Delete the samples of days before ``first_day``: no row to come that
@@ -129,10 +159,7 @@ class IslandsJob:
     def read(self) -> DataFrame:
         """All islands, equal to ``state_islands`` over everything received
         (but the late rows); the empty table before the first batch."""
-        runs = self._read(self.runs_path, RUNS)
-        ends = [runs.select("machine_id", "state", F.col(at).alias("time_input"), F.col(tie).alias("event_id"))
-                for at, tie in (("start_time", "first_tie"), ("end_time", "last_tie"))]
-        return state_islands(ends[0].unionByName(ends[1]))
+        return joined_runs(self._read(self.runs_path, RUNS), "machine_id", "day")
 
     def run(self, samples_stream: DataFrame, checkpoint: str) -> DataFrame:
         q = (samples_stream.writeStream.foreachBatch(self.handle)

@@ -349,6 +349,33 @@ def test_islands_without_ids_equal_batch(spark, tmp_path):
     assert _rows(job.read()) == _rows(want)
 
 
+def test_island_days_of_many_samples_are_cut(spark, tmp_path):
+    """Days beyond hot_rows go through the batch operator, the others are sorted
+    whole; runs go on over days and ties order samples of an instant."""
+    import random
+
+    rng = random.Random(7)
+    job, seen = IslandsJob(spark, str(tmp_path / "job"), buckets=2, hot_rows=15), []
+    for k in range(2):
+        rows = [(rng.choice(["M1", "M2", "M3", None]), rng.choice(["A", "A", "A", None]), t, rng.randint(1, 3))
+                for t in [_t(8, m // 4, 1) for m in range(40)] + [_t(8, m, d) for m in range(2) for d in (2, 3, 5)]]
+        seen += rows
+        job.handle(spark.createDataFrame(rows, SAMPLE + ", event_id bigint"), k)
+    pairs = job._pairs(job._samples())
+    hot = job._pairs(job._samples(), job.hot_rows)
+    assert any(hot.values()) and sum(map(len, hot.values())) < sum(map(len, pairs.values()))
+    assert _rows(job.read()) == _rows(state_islands(spark.createDataFrame(seen, SAMPLE + ", event_id bigint")))
+
+
+def test_island_days_are_made_with_one_shuffle(spark, tmp_path):
+    job = IslandsJob(spark, str(tmp_path / "job"))
+    job.handle(spark.createDataFrame([("M1", "A", _t(8)), ("M1", "B", _t(9))], SAMPLE), 0)
+    plan = job._runs_of(job._samples())._jdf.queryExecution().sparkPlan().toString()
+    made = job._runs_of(job._samples())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") and made.count("Exchange hashpartitioning") == 1
+    assert job._runs_of(job._samples()).count() == 2
+
+
 def test_islands_watermark_counts_late_rows_and_forgets_old_days(spark, tmp_path):
     import datetime as dt
 
