@@ -138,7 +138,7 @@ def _stage_key(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-_STAGED: dict[tuple[str, str], str] = {}
+_STAGED: set[tuple[str, str]] = set()
 _SCHEMAS: dict[str, T.StructType] = {}    # path -> schema: saves inference jobs
 _STAGE_LOCK = threading.Lock()
 
@@ -153,55 +153,65 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def stage_testdata(spark: SparkSession, sf_dir: str, force: bool = False) -> str:
-    """Derive and store the domain tables once; returns their folder."""
+def stage_testdata(spark: SparkSession, sf_dir: str, force: bool = False,
+                   tables: Sequence[str] | None = None) -> str:
+    """Derive and store the domain tables (``tables``: these of them) once;
+    returns their folder."""
     key = _stage_key(spark, sf_dir)
     root = work_path(spark, "domain", key)
-    memo = (spark.conf.get("spark.app.id", ""), root)
-    if not force and memo in _STAGED:
-        return root
-    with _STAGE_LOCK:
-        return _stage_locked(spark, sf_dir, key, root, memo, force)
+    _stage(spark, sf_dir, key, root, derive_tables(spark, sf_dir) if tables is None else tables, force)
+    return root
+
 
+def _stage(spark, sf_dir, key, root, names, force=False) -> None:
+    app = spark.conf.get("spark.app.id", "")
 
-def _stage_locked(spark, sf_dir, key, root, memo, force) -> str:
-    if not force and memo in _STAGED:
-        return root
-    done = False
-    if not force:
+    def missing() -> list[str]:
+        return [n for n in names if force or (app, f"{root}/{n}") not in _STAGED]
+
+    def stored(name: str) -> bool:
         try:
-            spark.read.parquet(f"{root}/_complete")
-            done = True
+            spark.read.parquet(f"{root}/_complete/{name}")
+            return True
         except AnalysisException:
-            done = False
-    if not done:
-        tables = derive_tables(spark, sf_dir)
+            return False
+
+    if not missing():
+        return
+    with _STAGE_LOCK:
+        wanted = [n for n in missing() if force or not stored(n)]
+        tables = derive_tables(spark, sf_dir) if wanted else {}
 
-        def store(item):
-            name, df = item
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-            _SCHEMAS[f"{root}/{name}"] = df.schema
+        def store(name):
+            tables[name].write.mode("overwrite").parquet(f"{root}/{name}")
+            _SCHEMAS[f"{root}/{name}"] = tables[name].schema
+            spark.createDataFrame([(key,)], "key string").write.mode("overwrite").parquet(
+                f"{root}/_complete/{name}")
 
         with ThreadPoolExecutor(max_workers=4) as pool:      # independent jobs
-            list(pool.map(store, tables.items()))
-        spark.createDataFrame([(key,)], "key string").write.mode("overwrite").parquet(
-            f"{root}/_complete")
-    _STAGED[memo] = root
-    return root
+            list(pool.map(store, wanted))
+        _STAGED.update((app, f"{root}/{n}") for n in names)
 
 
 def from_testdata(spark: SparkSession, sf_dir: str, drift_calendar: bool = False,
-                  staged: bool = True) -> Plant:
+                  staged: bool = True, tables: Sequence[str] | None = None) -> Plant:
     """Domain tables over the driver's parquet files (see ``adapters``).
 
+    ``tables``: what is stored now, all by default; any other table is stored
+    when a plan opens it.
+
     ``staged=False`` keeps every table a lazy derivation of the raw files.
     Tables are opened on first use.
     """
     cal = "calendar_drift" if drift_calendar else "calendar"
     names = {t: (cal if t == "calendar" else t) for t in TABLES}
     if staged:
-        root = stage_testdata(spark, sf_dir)
-        return Plant({t: (lambda n=n: read_stored(spark, f"{root}/{n}"))
-                      for t, n in names.items()})
+        root = stage_testdata(spark, sf_dir, tables=None if tables is None else [names[t] for t in tables])
+
+        def stored(name: str) -> DataFrame:
+            _stage(spark, sf_dir, root.rsplit("/", 1)[1], root, [name])
+            return read_stored(spark, f"{root}/{name}")
+
+        return Plant({t: (lambda n=n: stored(n)) for t, n in names.items()})
     derived = derive_tables(spark, sf_dir)
     return Plant({t: derived[n] for t, n in names.items()})

@@ -98,3 +98,16 @@ def test_scans_read_only_needed_columns(plant):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert any(s.startswith("machine_id:string,start_time") and "state" in s for s in schemas)
     assert not any("description" in s for s in schemas)
+
+
+def test_only_the_tables_asked_for_are_stored(spark, tmp_path, monkeypatch):
+    from linepulse.plans import plant as P
+
+    monkeypatch.setattr(P, "work_path", lambda spark, *parts: "/".join([str(tmp_path), *parts]))
+    names = lambda: {f.name for f in tmp_path.glob("domain/*/*")} & set(P.TABLES)
+    p = P.from_testdata(spark, SF, tables=("lot",))
+    assert names() == {"lot"}
+    assert p.machine.count() == P.from_testdata(spark, SF, staged=False).machine.count()
+    assert names() == {"lot", "machine"}
+    P.from_testdata(spark, SF)
+    assert names() == set(P.TABLES)
