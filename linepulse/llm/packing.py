@@ -100,7 +100,7 @@ class ChunkEncoder:
             new = set(parts).difference(known)
             # A part that is empty or has space at an end is no chunk of its own;
             # such parts are never among the known ones.
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in new):
+            if "" in new or any([p.strip() != p for p in new]):
                 parts = _BETWEEN_WORDS.split(text)
                 new = set(parts[1:]).difference(known)
             split.append(parts)
@@ -108,7 +108,10 @@ class ChunkEncoder:
         heads = self._encode([parts[0] for parts in split])
         once: dict[str, bytes] = {}
         for p in need:
-            if p:
+            if p.isalpha():
+                if p not in known:
+                    (known if len(p) <= CACHED_CHARS else once)[p] = self._letters(p)
+            elif p:
                 kept = len(p) <= CACHED_CHARS and not p[0].isspace() and not p[-1].isspace()
                 (known if kept else once)[p] = self._chunk(p)
         out = []
